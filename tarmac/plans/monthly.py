@@ -74,8 +74,24 @@ def run_month(
     row per flight key; ``salt_buckets`` fixes the number of write tasks per
     month instead of letting adaptive execution size them.
     """
-    paths = table_paths(root)
     raw = read_archives(spark, raw_path) if archives else read_raw(spark, raw_path)
+    return process_raw(
+        spark, raw, root, as_of=as_of, dedupe_keys=dedupe_keys, salt_buckets=salt_buckets, label=str(raw_path)
+    )
+
+
+def process_raw(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    *,
+    as_of: _dt.date | str | None = None,
+    dedupe_keys: bool = False,
+    salt_buckets: int | None = None,
+    label: str = "raw input",
+) -> RunResult:
+    """Steps 1-5 of a monthly run for raw rows from any source (batch or micro-batch)."""
+    paths = table_paths(root)
 
     # 1. raw → clean months. Counts and the set of months come from the write
     #    itself (observed metrics), not from extra scans of the source.
@@ -87,7 +103,7 @@ def run_month(
     clean_rows = int(clean_obs.get.get("clean_rows", 0))
     months = sorted((int(r["year"]), int(r["month"])) for r in months_obs.get.get("months", []))
     if not months:
-        raise ValueError(f"no rows survived cleaning in {raw_path}")
+        raise ValueError(f"no rows survived cleaning in {label}")
 
     # 2. clean months → staging → fact months (broadcast dimension join).
     clean_months = spark.read.parquet(paths["clean"]).filter(_months_predicate(months, "year", "month"))
