@@ -45,6 +45,9 @@ class RunResult:
         return quality.failed(self.checks)
 
 
+FACT_KEYS = ["flight_year", "flight_month"]
+
+
 def table_paths(root: str) -> dict[str, str]:
     root = root.rstrip("/")
     names = ["clean", "fct_flights", "agg_carrier_month", "rpt_delay_by_carrier", "rpt_delay_trend", "dq_results"]
@@ -106,20 +109,27 @@ def process_raw(
         raise ValueError(f"no rows survived cleaning in {label}")
 
     # 2. clean months → staging → fact months (broadcast dimension join).
+    #    The run's month directories are removed first, so a month whose rows
+    #    are now all filtered out disappears instead of keeping stale rows. If
+    #    the job fails in between, rerunning the month restores it.
     clean_months = spark.read.parquet(paths["clean"]).filter(_months_predicate(months, "year", "month"))
-    stg = staging.stage(clean_months, as_of, dedupe_keys=dedupe_keys)
-    fact = marts.build_fact(stg)
+    fact = marts.build_fact(staging.stage(clean_months, as_of, dedupe_keys=dedupe_keys))
+    pq.drop_partitions(spark, paths["fct_flights"], FACT_KEYS, months)
     pq.write_fact(fact, paths["fct_flights"], salt_buckets=salt_buckets)
 
-    # 3. fact months → month x carrier partials (replaced month by month).
-    fact_months = spark.read.parquet(paths["fct_flights"]).filter(
-        _months_predicate(months, "flight_year", "flight_month")
+    # 3. fact months → month x carrier partials (replaced the same way).
+    fact_months = pq.read_or_default(spark, paths["fct_flights"], fact.limit(0)).filter(
+        _months_predicate(months, *FACT_KEYS)
+    )
+    pq.drop_partitions(spark, paths["agg_carrier_month"], FACT_KEYS, months)
+    pq.write_partitioned(
+        marts.carrier_month_partials(fact_months), paths["agg_carrier_month"], FACT_KEYS, ["carrier_code"]
     )
-    partials = marts.carrier_month_partials(fact_months)
-    pq.write_partitioned(partials, paths["agg_carrier_month"], ["flight_year", "flight_month"], ["carrier_code"])
 
     # 4. all partials → both reports (tiny inputs, full replace).
-    all_partials = spark.read.parquet(paths["agg_carrier_month"])
+    all_partials = pq.read_or_default(
+        spark, paths["agg_carrier_month"], marts.carrier_month_partials(fact.limit(0))
+    )
     rc = pq.materialize(
         marts.sort_carrier_report(marts.delay_by_carrier_from_partials(all_partials)), paths["rpt_delay_by_carrier"]
     )

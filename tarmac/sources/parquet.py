@@ -159,6 +159,30 @@ def between_dates(
     return df.filter(months_between_predicate(lo_d, hi_d, year_col, month_col) & in_range)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def drop_partitions(spark: SparkSession, table_path: str, keys: list[str], values: list[tuple]) -> None:
+    """Delete the partition directories ``keys=values`` of a table (missing ones are skipped)."""
+    for vals in values:
+        sub = "/".join(f"{k}={v}" for k, v in zip(keys, vals))
+        fs, jpath = _hadoop_path(spark, f"{table_path.rstrip('/')}/{sub}")
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+
+
+def read_or_default(spark: SparkSession, path: str, default: DataFrame) -> DataFrame:
+    """Read the Parquet table at ``path``; ``default`` when it has no data files yet."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return default
+
+
 def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; ``default`` only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -73,3 +73,16 @@ def test_previous_month_rows(spark):
     df = spark.createDataFrame([(2024, 5), (2024, 6), (2023, 12)], "year int, month int")
     assert previous_month_rows(df, dt.date(2024, 6, 5)).collect()[0]["month"] == 5
     assert previous_month_rows(df, dt.date(2024, 1, 5)).collect()[0]["year"] == 2023
+
+
+def test_rerun_that_empties_a_month_removes_it(spark, raw_months, scratch):
+    _, paths = raw_months
+    run_month(spark, paths[MONTHS[0]], scratch)
+    res = run_month(spark, paths[MONTHS[1]], scratch)
+    assert len(spark.read.parquet(res.tables["rpt_delay_trend"]).collect()) == 2
+    # as_of before every April flight: April leaves the fact, partials and reports
+    res = run_month(spark, paths[MONTHS[1]], scratch, as_of="2000-04-01")
+    months = {(r["flight_year"], r["flight_month"]) for r in spark.read.parquet(res.tables["fct_flights"]).collect()}
+    assert months == {MONTHS[0]}
+    trend = spark.read.parquet(res.tables["rpt_delay_trend"]).collect()
+    assert [(r["flight_year"], r["flight_month"]) for r in trend] == [MONTHS[0]]
