@@ -14,9 +14,18 @@ from tarmac.functions import month_start, name_or_code, route, year_month
 DIM_BROADCAST_MAX_ROWS = 100_000
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
 def carrier_dimension(spark: SparkSession) -> DataFrame:
-    """The 17-row carrier code → name dimension."""
-    return spark.createDataFrame(S.CARRIERS, S.CARRIER_SCHEMA)
+    """The 17-row carrier code → name dimension.
+
+    Built as an inline ``VALUES`` table, i.e. a JVM-side local relation:
+    broadcasting it needs no Python worker and no input scan.
+    """
+    rows = ", ".join(f"({_sql_text(code)}, {_sql_text(name)})" for code, name in S.CARRIERS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS carriers(carrier_code, carrier_name)")
 
 
 def build_fact(stg: DataFrame, dim: DataFrame | None = None, *, dim_rows: int | None = None) -> DataFrame:
