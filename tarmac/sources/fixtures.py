@@ -40,7 +40,7 @@ def flights_raw(lineitem: DataFrame) -> DataFrame:
     sk = F.col("l_suppkey")
     ln = F.col("l_linenumber")
     cancelled = (F.col("l_returnflag") == "R") & (ok % 11 == 0)
-    ship_text = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
+    ship_text = F.to_date("l_shipdate").cast("string")  # ISO yyyy-MM-dd
     li = lineitem.select(*LINEITEM_COLUMNS)
 
     def cause(rule: Column) -> Column:
