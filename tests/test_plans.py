@@ -66,3 +66,14 @@ def test_registered_queries_stay_in_the_jvm_and_never_cross_join(spark):
 def test_partials_reports_read_only_partials(spark, models):
     parts = marts.carrier_month_partials(models.fact)
     assert "Window" in plan(marts.delay_trend_from_partials(parts))
+
+
+def test_narrow_scan_spread_by_key_with_row_work_above_it(models):
+    # The test files are one row group each; the spread hashes on the
+    # lineitem key (no round-robin sort), and the clean/staging filters stay
+    # above the exchange instead of sinking into the single scan task.
+    p = plan(models.staging)
+    spread_at = p.index("Exchange hashpartitioning(l_orderkey")
+    assert "RoundRobinPartitioning" not in p
+    assert p.index("+- Filter ") < spread_at
+    assert "+- Filter " not in p[spread_at:]
