@@ -150,6 +150,18 @@ def delay_trend(spark, sf_dir):
     return marts.sort_trend_report(_m(spark, sf_dir).trend_report)
 
 
+def delay_by_carrier_incremental(spark, sf_dir):
+    """The carrier report as ``run_month`` derives it: via month x carrier partials."""
+    partials = marts.carrier_month_partials(_m(spark, sf_dir).fact)
+    return marts.sort_carrier_report(marts.delay_by_carrier_from_partials(partials))
+
+
+def delay_trend_incremental(spark, sf_dir):
+    """The trend report as ``run_month`` derives it: via month x carrier partials."""
+    partials = marts.carrier_month_partials(_m(spark, sf_dir).fact)
+    return marts.sort_trend_report(marts.delay_trend_from_partials(partials))
+
+
 # --- report reads -----------------------------------------------------------
 
 
@@ -242,6 +254,8 @@ QUERIES: dict[str, Query] = {
     "fct_flights": fct_flights,
     "delay_by_carrier": delay_by_carrier,
     "delay_trend": delay_trend,
+    "delay_by_carrier_incremental": delay_by_carrier_incremental,
+    "delay_trend_incremental": delay_trend_incremental,
     "report_carrier_view": report_carrier_view,
     "report_trend_view": report_trend_view,
     "top_n_carriers": top_n_carriers,

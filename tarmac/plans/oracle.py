@@ -348,6 +348,11 @@ SELECT * EXCLUDE (rn) FROM (
     "fct_flights": _with("fct", "SELECT * FROM fct"),
     "delay_by_carrier": _with("rc", "SELECT * FROM rc ORDER BY avg_arr_delay_min DESC NULLS LAST, carrier_code"),
     "delay_trend": _with("rt", "SELECT * FROM rt ORDER BY month_start_date"),
+    # The incremental path must give the same reports as the direct one.
+    "delay_by_carrier_incremental": _with(
+        "rc", "SELECT * FROM rc ORDER BY avg_arr_delay_min DESC NULLS LAST, carrier_code"
+    ),
+    "delay_trend_incremental": _with("rt", "SELECT * FROM rt ORDER BY month_start_date"),
     "report_carrier_view": _with(
         "rc", f"SELECT {_RC_COLS} FROM rc ORDER BY avg_arr_delay_min DESC NULLS LAST, carrier_code"
     ),
