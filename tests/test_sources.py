@@ -93,6 +93,33 @@ class TestParquetSinks:
         parquet.write_clean(self._clean(raw_df, *["2024-01-15"] * 6), out, salt_buckets=3)
         assert spark.read.parquet(out).count() == 6
 
+    def test_hot_month_is_split_without_salt(self, spark, scratch):
+        # One month holds a third of all rows. The default layout (a REBALANCE
+        # on the month keys) lets adaptive execution split that month across
+        # several write tasks instead of sending it whole to one.
+        from pyspark.sql import functions as F
+
+        rows = spark.range(60000).select(
+            F.lit(2000).alias("year"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 11 + 2).alias("month"),
+            F.lit("AA").alias("mkt_carrier"),
+            F.lit("LAX").alias("origin"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "256k")
+        try:
+            out = f"{scratch}/clean"
+            parquet.write_clean(rows, out)
+        finally:
+            spark.conf.set(key, before)
+        hot = [f for f in os.listdir(f"{out}/year=2000/month=1") if f.endswith(".parquet")]
+        assert len(hot) > 1
+        back = spark.read.parquet(out)
+        assert back.count() == 60000
+        assert back.filter("month = 1").count() == 20000
+
     def test_load_staging_conforms(self, raw_df, spark, scratch):
         parquet.write_clean(self._clean(raw_df, "2024-01-15"), f"{scratch}/clean")
         table = parquet.load_staging(spark, f"{scratch}/clean", f"{scratch}/raw_flights")
