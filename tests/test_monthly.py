@@ -86,3 +86,15 @@ def test_rerun_that_empties_a_month_removes_it(spark, raw_months, scratch):
     assert months == {MONTHS[0]}
     trend = spark.read.parquet(res.tables["rpt_delay_trend"]).collect()
     assert [(r["flight_year"], r["flight_month"]) for r in trend] == [MONTHS[0]]
+
+
+def test_months_predicate_prunes_partition_directories(spark, raw_months, scratch):
+    from tarmac.plans.monthly import _months_predicate
+
+    _, paths = raw_months
+    res = run_month(spark, paths[MONTHS[0]], scratch)
+    run_month(spark, paths[MONTHS[1]], scratch)
+    read = spark.read.parquet(res.tables["clean"]).filter(_months_predicate([MONTHS[1]], "year", "month"))
+    p = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in p and "PartitionFilters: []" not in p
+    assert {(r["year"], r["month"]) for r in read.select("year", "month").distinct().collect()} == {MONTHS[1]}
