@@ -22,13 +22,26 @@ def parse_date(c: Column | str, pattern: str = DATE_PATTERN) -> Column:
     return F.try_to_date(_col(c), pattern)
 
 
+# Fixed value: the text the source job's integer cast accepts (Spark's
+# non-ANSI string → int): optional sign, digits, optional '.' and digits,
+# surrounded by blanks or control characters; the fraction is dropped.
+INT_TEXT_PATTERN = r"^[\x00-\x20]*([+-]?)([0-9]*)(?:\.[0-9]*)?[\x00-\x20]*$"
+
+
 def parse_int(c: Column | str) -> Column:
     """Text → int. Decimal text truncates (``'12.0'`` → 12); bad text → null.
 
-    Goes through double so that decimal text, which a direct ANSI cast rejects,
-    still parses; out-of-range values become null.
+    Accepts exactly what the source job's cast did with ANSI off: ``'12.7'``
+    → 12, ``'.5'`` → 0, ``' 42 '`` → 42; exponents (``'1e3'``), type suffixes
+    and hex give null, as does a value outside the int range. The whole
+    part is cut out as text and cast, so no float rounding is involved.
     """
-    return _col(c).try_cast("double").try_cast("int")
+    text = _col(c)
+    ok = text.rlike(INT_TEXT_PATTERN) & text.rlike(r"[0-9.]")
+    sign = F.regexp_extract(text, INT_TEXT_PATTERN, 1)
+    whole = F.regexp_extract(text, INT_TEXT_PATTERN, 2)
+    digits = F.when(whole == "", F.lit("0")).otherwise(whole)
+    return F.when(ok, F.concat(sign, digits).try_cast("int"))
 
 
 def parse_float(c: Column | str) -> Column:
