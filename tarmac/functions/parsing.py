@@ -35,13 +35,16 @@ def parse_int(c: Column | str) -> Column:
     → 12, ``'.5'`` → 0, ``' 42 '`` → 42; exponents (``'1e3'``), type suffixes
     and hex give null, as does a value outside the int range. The whole
     part is cut out as text and cast, so no float rounding is involved.
+
+    Plain integer text, the usual case, is cast directly; only text that
+    cast rejects goes through the pattern.
     """
     text = _col(c)
     ok = text.rlike(INT_TEXT_PATTERN) & text.rlike(r"[0-9.]")
     sign = F.regexp_extract(text, INT_TEXT_PATTERN, 1)
     whole = F.regexp_extract(text, INT_TEXT_PATTERN, 2)
     digits = F.when(whole == "", F.lit("0")).otherwise(whole)
-    return F.when(ok, F.concat(sign, digits).try_cast("int"))
+    return F.coalesce(text.try_cast("int"), F.when(ok, F.concat(sign, digits).try_cast("int")))
 
 
 def parse_float(c: Column | str) -> Column:
