@@ -77,3 +77,13 @@ def test_narrow_scan_spread_by_key_with_row_work_above_it(models):
     assert "RoundRobinPartitioning" not in p
     assert p.index("+- Filter ") < spread_at
     assert "+- Filter " not in p[spread_at:]
+
+
+def test_report_branches_read_the_source_once(spark):
+    # dq_expression checks both reports; after adaptive execution the source
+    # scan appears once and the second branch reuses its exchange.
+    df = catalog.dq_expression(spark, TESTDATA_SMALL)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "ReusedExchange" in final
