@@ -22,7 +22,7 @@ from tarmac.llm import learn, textnum
 
 BITS = 16  # buckets of each kind: words, 3-grams, 4-grams
 WIDTH = 8  # numbers in a vector
-MAX_ROWS = 4000  # labelled rows learned from
+MAX_ROWS = 3000  # labelled rows learned from
 MAX_TEXT_BYTES = 1 << 15  # longest text learned from
 EPOCHS = 6
 
@@ -89,7 +89,7 @@ def _features(chunk: textnum.Chunk):
 
 
 def _bags(chunk: textnum.Chunk) -> dict:
-    """For each row the distinct features and their counts."""
+    """For each row the distinct features and their counts, as 32-bit numbers in bytes: the driver keeps them so."""
     import pyarrow as pa
 
     parts = list(_features(chunk))
@@ -97,9 +97,9 @@ def _bags(chunk: textnum.Chunk) -> dict:
     for i in range(len(chunk)):
         got = np.concatenate([f[a[i] : b[i]] for f, a, b in parts])
         u, c = np.unique(got, return_counts=True)
-        ids.append(u.astype(np.int32))
-        counts.append(c.astype(np.int32))
-    return {"ids": pa.array(ids, pa.list_(pa.int32())), "counts": pa.array(counts, pa.list_(pa.int32()))}
+        ids.append(u.astype(np.int32).tobytes())
+        counts.append(c.astype(np.int32).tobytes())
+    return {"ids": pa.array(ids, pa.binary()), "counts": pa.array(counts, pa.binary())}
 
 
 def _fit(bags: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 11) -> Model:
@@ -140,9 +140,9 @@ def _fit(bags: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 11) -> Mode
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, max_rows: int = MAX_ROWS, max_text_bytes: int = MAX_TEXT_BYTES) -> Model:
     """Learn from at most ``max_rows`` labelled texts of at most ``max_text_bytes`` bytes."""
     sample = learn.labelled_sample(docs, labels, "quality", learnable, max_rows, max_text_bytes)
-    bags = learn.score_rows(sample, _bags, "ids array<int>, counts array<int>", text="_text")
+    bags = learn.score_rows(sample, _bags, "ids binary, counts binary", text="_text")
     rows = sorted(bags.collect(), key=lambda r: (r["_id"], r["ids"]))
-    return _fit([(np.array(r["ids"], np.int64), np.array(r["counts"], np.float32), r["_label"]) for r in rows if r["ids"]])
+    return _fit([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.int32), r["_label"]) for r in rows if r["ids"]])
 
 
 def _scorer(weight: np.ndarray, bias: float, name: str):
