@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import quality, rules, ship, simhash, toxicity
+from tarmac.llm import quality, rules, ship, simhash, substring, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.line_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -30,11 +34,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_later_copies(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_quality": op4_quality,
+    "op6_substring": op6_substring,
     "op7_rules": op7_rules,
     "op9_simhash": op9_simhash,
+    "op10_suffix": op10_suffix,
 }
 
 #: DuckDB statements of the queries that SQL can express.
