@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import quality, rules, ship, simhash, substring, suffix, toxicity
+from tarmac.llm import decontam, quality, rules, ship, simhash, substring, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.line_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op6_substring": op6_substring,
     "op7_rules": op7_rules,
+    "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
     "op10_suffix": op10_suffix,
 }

@@ -41,9 +41,6 @@ POSITIONS = [(0, 1, 2, 3), (4, 5, 6, 7)] + [
     (*low, *(4 + p for p in high)) for pairing in _PAIRINGS for low in pairing for high in pairing
 ]
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
-
 
 def chunk_fingerprints(chunk: textnum.Chunk, shingle: int = SHINGLE) -> np.ndarray:
     """Fingerprint of each row as unsigned 64-bit numbers; 0 for a text without words."""
@@ -53,7 +50,7 @@ def chunk_fingerprints(chunk: textnum.Chunk, shingle: int = SHINGLE) -> np.ndarr
     if not len(starts):
         return out
     # The words of each row joined by one space: keep words and the separator just before each but the first.
-    data = _LOWER[chunk.data]
+    data = textnum.LOWER[chunk.data]
     keep = ~textnum.SEPARATOR[data]
     follows = np.ones(len(starts), bool)
     follows[first[:-1][n_words > 0]] = False

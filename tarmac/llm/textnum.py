@@ -22,6 +22,15 @@ _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=U64)
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
+#: True for every ASCII byte that is neither a letter nor a digit.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[128:] = False
+PUNCTUATION[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = False
+
+#: Folds A-Z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -76,9 +85,12 @@ class Chunk:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of each word, and for each row the index of its first word (one more at the end)."""
-        inside = ~SEPARATOR[self.data]
+    def words(self, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of each word, and for each row the index of its first word (one more at the end).
+
+        ``separator`` says of each byte value whether it separates words.
+        """
+        inside = ~separator[self.data]
         n = len(inside)
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
