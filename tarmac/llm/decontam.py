@@ -192,14 +192,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, blo
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that leak no item."""
+    name = learn.unused(docs, "leaks")
     for index in _indexes(benchmark, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def leaky(chunk: textnum.Chunk, shared=shared) -> dict:
             flags = np.zeros(len(chunk), bool)
             flags[[r for r, *_ in chunk_leaks(chunk, shared.value, coverage)]] = True
-            return {"_leaks": flags}
+            return {name: flags}
 
-        marked = learn.score_rows(docs.withColumn("_read", F.col("text")), leaky, "_leaks boolean", text="_read")
-        docs = marked.filter(~F.col("_leaks")).drop("_leaks")
+        marked = learn.score_rows(docs, leaky, f"`{name}` boolean", keep_text=True)
+        docs = marked.filter(~F.col(name)).drop(name)
     return docs

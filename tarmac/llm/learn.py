@@ -45,17 +45,25 @@ def labelled_sample(
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def score_rows(
-    docs: DataFrame, score: Callable, schema: str, text: str = "text", max_bytes: int = 1 << 20
+    docs: DataFrame, score: Callable, schema: str, text: str = "text", max_bytes: int = 1 << 20, keep_text: bool = False
 ) -> DataFrame:
     """Append columns computed from whole texts, chunk by chunk, in Arrow tasks.
 
-    ``score(chunk)`` returns a dict of arrays, one value per row. ``docs`` carries the
-    columns to keep besides ``text``; the text itself is not returned.
+    ``score(chunk)`` returns a dict of arrays, one value per row. All columns of ``docs``
+    are kept, ``text`` only if ``keep_text``.
     """
     from tarmac.llm import textnum
 
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if keep_text or c != text]
     fields = {k: docs.schema[k] for k in kept}
     ddl = ", ".join([f"`{k}` {f.dataType.simpleString()}" for k, f in fields.items()] + [schema])
 

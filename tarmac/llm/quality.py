@@ -157,15 +157,21 @@ def _scorer(weight: np.ndarray, bias: float, name: str):
     return score
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` without its column ``text``, plus a column ``name``: the share of label 1.
+def score(docs: DataFrame, model: Model, name: str = "score", keep_text: bool = False) -> DataFrame:
+    """``docs``, its ``text`` only if ``keep_text``, plus a column ``name``: the share of label 1.
 
     A null or empty text has no feature and gets the score of the bias alone.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.weight)
     bias = model.bias
-    return learn.score_rows(docs, lambda chunk: _scorer(shared.value, bias, name)(chunk), f"`{name}` double", text)
+    return learn.score_rows(docs, lambda chunk: _scorer(shared.value, bias, name)(chunk), f"`{name}` double", keep_text=keep_text)
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score at least ``threshold``."""
+    name = learn.unused(docs, "quality_score")
+    return score(docs, model, name, keep_text=True).filter(F.col(name) >= threshold).drop(name)
 
 
 def classify(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:

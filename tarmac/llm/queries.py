@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontam, quality, rules, ship, simhash, substring, suffix, toxicity
+from tarmac.llm import decontam, html, mixing, pii, quality, rules, ship, simhash, substring, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,14 +14,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -43,13 +55,19 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_toxicity": op2_toxicity,
-    "op4_quality": op4_quality,
-    "op6_substring": op6_substring,
-    "op7_rules": op7_rules,
-    "op8_decontam": op8_decontam,
-    "op9_simhash": op9_simhash,
-    "op10_suffix": op10_suffix,
+    f.__name__: f
+    for f in (
+        op1_mixing,
+        op2_toxicity,
+        op3_html,
+        op4_quality,
+        op5_pii,
+        op6_substring,
+        op7_rules,
+        op8_decontam,
+        op9_simhash,
+        op10_suffix,
+    )
 }
 
 #: DuckDB statements of the queries that SQL can express.

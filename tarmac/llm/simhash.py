@@ -199,6 +199,15 @@ def links(nodes: DataFrame, bits: int = BITS) -> DataFrame:
     return _edges(lists, bits).distinct()
 
 
+def _named_components(rows: DataFrame, bits: int) -> DataFrame:
+    """(_fp, root, component_id) of each fingerprint of ``rows`` (_fp, doc_id)."""
+    nodes = durable.cut(rows.groupBy("_fp").agg(F.min("doc_id").alias("low")))
+    roots = graph.components(links(nodes, bits)).withColumnRenamed("node", "_fp")
+    rooted = nodes.join(roots, "_fp", "left").withColumn("root", F.coalesce("root", "_fp"))
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return rooted.join(lowest, "root").select("_fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable).
 
@@ -207,11 +216,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     Extra columns are ignored.
     """
     rows = durable.cut(fingerprints(docs.select("doc_id", "text"), shingle))
-    nodes = durable.cut(rows.groupBy("_fp").agg(F.min("doc_id").alias("low")))
-    roots = graph.components(links(nodes, bits)).withColumnRenamed("node", "_fp")
-    rooted = nodes.join(roots, "_fp", "left").withColumn("root", F.coalesce("root", "_fp"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("_fp", "component_id")
-    return rows.join(named, "_fp").select(
+    return rows.join(_named_components(rows, bits), "_fp").select(
         "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """``docs``, all columns, reduced to one row of each component: the smallest doc_id, null ids last.
+
+    Of rows with that id the one with the smallest fingerprint and text hash stays; of rows
+    that agree in these too, any.
+    """
+    digest = F.xxhash64("text").alias("_digest")
+    rows = durable.cut(fingerprints(docs.select("doc_id", digest, "text"), shingle))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_fp", "_digest"))
+    kept = rows.join(_named_components(rows, bits), "_fp").groupBy("root").agg(first.alias("k"))
+    kept = kept.select(F.col("k.doc_id").alias("_kept_id"), F.col("k._digest").alias("_kept_digest"))
+    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), digest)
+    found = whole.join(kept, whole["_id"].eqNullSafe(kept["_kept_id"]) & (whole["_digest"] == kept["_kept_digest"]), "left_semi")
+    return found.dropDuplicates(["_id", "_digest"]).select("_row.*")
