@@ -21,20 +21,26 @@ def labelled_sample(
     learnable: Column,
     max_rows: int,
     max_text_bytes: int,
+    even: bool = False,
 ) -> DataFrame:
     """At most ``max_rows`` labelled rows (doc_id, text, label), chosen by a hash of the id.
 
     ``learnable`` is a predicate on the labels' doc_id. Texts over ``max_text_bytes`` are not
     learned from (they are scored like any other). Both bounds hold at any size of the input,
     so the sample fits the driver; the labels side of the join has at most ``max_rows`` rows.
+    ``even`` takes at most half of them from either label.
     """
-    picked = (
+    known = (
         labels.filter(learnable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.max(label).cast("int").alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(max_rows)
     )
+    first = lambda some, n: some.orderBy(F.xxhash64("_id"), "_id").limit(n)
+    if even:
+        sides = [first(known.filter(F.col("_label") == y), max_rows // 2) for y in (0, 1)]
+        picked = sides[0].unionByName(sides[1])
+    else:
+        picked = first(known, max_rows)
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).filter(
         F.octet_length("_text") <= max_text_bytes
     )
