@@ -9,7 +9,7 @@ from tarmac.functions.calendar import (
     month_start,
     months_between_predicate,
     previous_month_of,
-    previous_month_start,
+    raw_month_path,
     year_month,
 )
 from tarmac.functions.delays import (
@@ -36,8 +36,8 @@ __all__ = [
     "parse_float",
     "parse_int",
     "previous_month_of",
-    "previous_month_start",
     "primary_delay_cause",
+    "raw_month_path",
     "route",
     "severity",
     "surrogate_key",

@@ -22,17 +22,18 @@ def month_start(year: Column | str, month: Column | str) -> Column:
     return F.make_date(_col(year).cast("int"), _col(month).cast("int"), F.lit(1))
 
 
-def previous_month_start(d: Column | str) -> Column:
-    """First day of the month before the month of ``d``."""
-    return F.add_months(F.trunc(_col(d), "MM"), -1)
-
-
 def previous_month_of(run_date: _dt.date) -> tuple[int, int]:
     """(year, month) before ``run_date``'s month: the month a monthly run loads."""
     last = run_date.replace(day=1) - _dt.timedelta(days=1)
     return last.year, last.month
 
 
+def raw_month_path(raw_root: str, run_date: _dt.date) -> str:
+    """Folder of the month that a run on ``run_date`` loads: ``<root>/YYYY/MM/``."""
+    year, month = previous_month_of(run_date)
+    return f"{raw_root.rstrip('/')}/{year:04d}/{month:02d}/"
+
+
 def month_key(year: Column | str, month: Column | str) -> Column:
     """``year * 100 + month``: one orderable int per month."""
     return _col(year).cast("int") * 100 + _col(month).cast("int")

@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from tarmac import schema as S
 from tarmac.functions import month_start, name_or_code, route, year_month
 
-# The built-in dimension has a fixed, known row count, so broadcasting it is
-# safe at any data size. A caller-supplied dimension is broadcast only when it
-# is proven small; otherwise the join is left to the planner (sort-merge).
-DIM_BROADCAST_MAX_ROWS = 100_000
-
-
 def _sql_text(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
@@ -28,18 +22,18 @@ def carrier_dimension(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS carriers(carrier_code, carrier_name)")
 
 
-def build_fact(stg: DataFrame, dim: DataFrame | None = None, *, dim_rows: int | None = None) -> DataFrame:
+def build_fact(stg: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     """Staging rows left-joined to the carrier dimension, 23 fact columns.
 
-    Unmatched carriers keep their code as the name. The built-in dimension (or
-    one whose ``dim_rows`` is given and at most ``DIM_BROADCAST_MAX_ROWS``) is
-    broadcast, so the fact side is never shuffled for the lookup.
+    Unmatched carriers keep their code as the name. The built-in dimension is a
+    literal of 17 rows, so it is broadcast and the fact side is never shuffled
+    for the lookup. A caller's ``dim`` gets no hint: its statistics and adaptive
+    execution decide.
     """
-    if dim is None:
-        dim = carrier_dimension(stg.sparkSession)
-        dim_rows = len(S.CARRIERS)
+    built_in = dim is None
+    dim = carrier_dimension(stg.sparkSession) if built_in else dim
     dim = dim.select(F.col("carrier_code"), F.col("carrier_name").alias("_dim_carrier_name"))
-    if dim_rows is not None and dim_rows <= DIM_BROADCAST_MAX_ROWS:
+    if built_in:
         dim = F.broadcast(dim)
     joined = stg.join(dim, on="carrier_code", how="left")
     return joined.select(

@@ -45,7 +45,6 @@ TREND_VIEW_COLUMNS = [
 ]
 
 DEFAULT_TOP_N = 10
-MIN_TOP_N = 5
 
 
 def carrier_view(rc: DataFrame) -> DataFrame:
@@ -121,12 +120,16 @@ def kpis(rc: DataFrame) -> DataFrame:
     averages, as on the dashboard. Those averages are whole cents, so the
     mean sums cents as integers: exact, and the same however the rows are
     partitioned. ``worst_carrier`` is the carrier with the highest average
-    (nulls last, ties by code). One global aggregation.
+    (nulls last, ties by code). ``weighted_avg_arr_delay_min`` weighs each
+    carrier's average with its flights, also in whole cents. One global
+    aggregation.
     """
     total = F.sum("total_flights")
     delayed = F.sum("delayed_flights")
     cents = F.round(F.col("avg_arr_delay_min") * 100).cast("bigint")
     mean_avg = F.sum(cents) / F.count(cents) / 100
+    flights = F.when(cents.isNotNull(), F.col("total_flights"))
+    weighted = F.try_divide(F.sum(cents * flights), F.sum(flights)) / 100
     rank_key = F.struct(
         F.col("avg_arr_delay_min").isNull().alias("no_avg"),
         (-F.col("avg_arr_delay_min")).alias("neg_avg"),
@@ -137,6 +140,7 @@ def kpis(rc: DataFrame) -> DataFrame:
         delayed.alias("delayed_flights"),
         F.when(total > 0, delayed / total * 100).otherwise(F.lit(0.0)).alias("delay_pct"),
         mean_avg.alias("avg_arr_delay_min"),
+        weighted.alias("weighted_avg_arr_delay_min"),
         F.min_by("carrier_name", rank_key).alias("worst_carrier"),
     )
 

@@ -87,12 +87,8 @@ def stage(
     return dedupe(staged) if dedupe_keys else staged
 
 
+# The parts of the key itself add nothing to the order of its rows.
 DEDUPE_ORDER = [
-    "fl_date",
-    "carrier_code",
-    "flight_number",
-    "origin_airport",
-    "dest_airport",
     "dep_delay",
     "arr_delay",
     *S.DELAY_CAUSE_COLUMNS,

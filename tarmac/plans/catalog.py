@@ -11,12 +11,15 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac import schema as S
-from tarmac.functions import previous_month_of
 from tarmac.operators import clean as clean_ops
 from tarmac.operators import marts, quality, reports, staging
+from tarmac.operators import deliveries
 from tarmac.plans.models import Models, from_test_data
+from tarmac.plans.monthly import previous_month_rows
+from tarmac.sources.parquet import conform
 from tarmac.sources.fixtures import load_flights_raw
 
 # Query parameters, fixed so that results are repeatable.
@@ -80,6 +83,18 @@ def date_parts(spark, sf_dir):
     return _m(spark, sf_dir).clean.select(*IDENTITY, "year", "month")
 
 
+def merge_deliveries(spark, sf_dir):
+    """Two deliveries that both hold every month; the first arrives again, complete this time."""
+    tagged = _m(spark, sf_dir).clean.withColumn("delivery", F.when(F.col("mkt_carrier") < "D", "a").otherwise("b"))
+    first = F.col("delivery") == "a"
+    stored = tagged.filter(~first | (F.dayofmonth("fl_date") <= 15))
+    return deliveries.merge(stored, tagged.filter(first))
+
+
+def conform_staging(spark, sf_dir):
+    return conform(_m(spark, sf_dir).clean, S.STAGING_SOURCE_SCHEMA)
+
+
 def row_audit(spark, sf_dir):
     return clean_ops.audit_counts(load_flights_raw(spark, sf_dir))
 
@@ -89,9 +104,8 @@ def cancelled_flights(spark, sf_dir):
 
 
 def previous_month(spark, sf_dir):
-    year, month = previous_month_of(RUN_DATE)
-    c = _m(spark, sf_dir).clean
-    return c.filter((c["year"] == year) & (c["month"] == month)).select(*IDENTITY, "arr_delay", "year", "month")
+    rows = previous_month_rows(_m(spark, sf_dir).clean, RUN_DATE)
+    return rows.select(*IDENTITY, "arr_delay", "year", "month")
 
 
 # --- staging layer ----------------------------------------------------------
@@ -210,12 +224,12 @@ def range_carrier_avg(spark, sf_dir):
 
 def dq_unique(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return quality.unique_checks(m.fact, m.dim, m.carrier_report, m.trend_report)
+    return quality.unique_from_fact(m.fact, m.dim)
 
 
 def dq_not_null(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return quality.not_null_checks(m.fact, m.dim, m.carrier_report, m.trend_report)
+    return quality.not_null_from_fact(m.fact, m.dim)
 
 
 def dq_source_not_null(spark, sf_dir):
@@ -227,8 +241,7 @@ def dq_accepted_values(spark, sf_dir):
 
 
 def dq_expression(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    return quality.expression_checks(m.carrier_report, m.trend_report)
+    return quality.expression_from_fact(_m(spark, sf_dir).fact)
 
 
 QUERIES: dict[str, Query] = {
@@ -240,6 +253,8 @@ QUERIES: dict[str, Query] = {
     "delay_bucket": delay_bucket,
     "primary_delay_cause": primary_delay_cause,
     "date_parts": date_parts,
+    "merge_deliveries": merge_deliveries,
+    "conform_staging": conform_staging,
     "row_audit": row_audit,
     "cancelled_flights": cancelled_flights,
     "previous_month": previous_month,

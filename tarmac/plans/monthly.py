@@ -1,20 +1,24 @@
-"""``run_month``: one month (or a few) from raw files to reports and checks.
+"""``run_month``: one delivery of raw files to reports and checks.
 
 Stages and their tables under ``root``:
 
-    raw CSV / zip ──clean──▶ clean/year=/month=              (months replaced)
-    clean months ──stage, join──▶ fct_flights/flight_year=/flight_month=
+    raw CSV / zip ──clean──▶ clean/delivery=/year=/month=    (the delivery replaced)
+                        └──▶ rejected/delivery=              (rows of unexpected months)
+    affected months ──stage, join──▶ fct_flights/flight_year=/flight_month=
     fact months ──aggregate──▶ agg_carrier_month/flight_year=/flight_month=
     all partials ──▶ rpt_delay_by_carrier, rpt_delay_trend   (small, replaced)
-    checks ──▶ dq_results
-
-Each stage reads the previous stage's *written* table, so a lost executor
-costs at most the stage it was running, and no stage's lineage reaches back
-to the raw files. A run touches only the months present in its input:
-clean, fact and partial tables are replaced month by month (dynamic
-partition overwrite), so rerunning a month is idempotent and other months
-are kept. Reports are re-derived from the month x carrier partials — a few
-thousand rows — never by rescanning the whole fact.
+    checks ──▶ dq_results; counts ──▶ deliveries/delivery=
+
+The unit of replacement is the delivery, not the month. A month may come in several
+deliveries, and stragglers of a month in the next one's file: rows are only ever replaced by
+the same delivery arriving again. The fact and the partials of every month the delivery
+holds, or held before, are rebuilt from all deliveries' clean rows of that month.
+
+Each stage reads the previous stage's *written* table, so a lost executor costs at most the
+stage it was running, and no stage's lineage reaches back to the raw files. Counts come from
+the written tables too, so a retried task cannot count twice. Months are written before
+emptied ones are dropped: readers keep the old rows until the new ones are committed.
+Reports are re-derived from the month x carrier partials, never by rescanning the whole fact.
 """
 
 from __future__ import annotations
@@ -22,11 +26,14 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tarmac.operators import marts, quality, staging
-from tarmac.operators.clean import observed_clean
+from tarmac import schema as S
+from tarmac.functions import previous_month_of
+from tarmac.operators import deliveries, marts, quality, staging
+from tarmac.operators.clean import clean
 from tarmac.sources import parquet as pq
 from tarmac.sources.archives import read_archives
 from tarmac.sources.raw_csv import read_raw
@@ -34,22 +41,32 @@ from tarmac.sources.raw_csv import read_raw
 
 @dataclass
 class RunResult:
-    months: list[tuple[int, int]]
+    delivery: str
+    months: list[tuple[int, int]]  # rebuilt: those the delivery holds or held before
     raw_rows: int
     clean_rows: int
+    rejected_rows: int  # clean rows of unexpected months
     tables: dict[str, str]
-    checks: DataFrame
+    checks: DataFrame | None  # None where nothing was left to check
 
-    def failed_checks(self) -> DataFrame:
-        return quality.failed(self.checks)
+    def failed_checks(self) -> DataFrame | None:
+        return None if self.checks is None else quality.failed(self.checks)
 
 
 FACT_KEYS = ["flight_year", "flight_month"]
+CLEAN_TABLE_SCHEMA = StructType([*S.CLEAN_SCHEMA.fields, StructField(deliveries.DELIVERY, StringType(), True)])
+
+
+class NoRows(ValueError):
+    """A delivery without a single usable row."""
 
 
 def table_paths(root: str) -> dict[str, str]:
     root = root.rstrip("/")
-    names = ["clean", "fct_flights", "agg_carrier_month", "rpt_delay_by_carrier", "rpt_delay_trend", "dq_results"]
+    names = [
+        "clean", "rejected", "deliveries", "fct_flights", "agg_carrier_month",
+        "rpt_delay_by_carrier", "rpt_delay_trend", "dq_results",
+    ]
     return {n: f"{root}/{n}" for n in names}
 
 
@@ -68,22 +85,39 @@ def run_month(
     raw_path: str | list[str],
     root: str,
     *,
+    run_date: _dt.date | None = None,
+    delivery: str | None = None,
     as_of: _dt.date | str | None = None,
     archives: bool = False,
     dedupe_keys: bool = False,
     salt_buckets: int | None = None,
+    dim: DataFrame | None = None,
 ) -> RunResult:
     """Process the raw files at ``raw_path`` into the tables under ``root``.
 
-    ``as_of`` (default today) bounds flight dates in staging; ``archives``
-    reads zipped monthly archives instead of CSV; ``dedupe_keys`` keeps one
-    row per flight key; ``salt_buckets`` fixes the number of write tasks per
-    month instead of letting adaptive execution size them.
+    ``run_date`` says which month is expected, the one before it: rows of other months go to
+    the ``rejected`` table and are counted. Without it every month is taken. ``delivery``
+    names what a rerun replaces (default: the path). ``as_of`` (default today) bounds flight
+    dates in staging; ``archives`` reads zipped archives instead of CSV; ``dedupe_keys``
+    keeps one row per flight key; ``salt_buckets`` fixes the number of write tasks per month;
+    ``dim`` replaces the built-in carrier dimension. A delivery without a usable row is
+    recorded and then raises :class:`NoRows`.
     """
     raw = read_archives(spark, raw_path) if archives else read_raw(spark, raw_path)
-    return process_raw(
-        spark, raw, root, as_of=as_of, dedupe_keys=dedupe_keys, salt_buckets=salt_buckets, label=str(raw_path)
+    result = process_raw(
+        spark,
+        raw,
+        root,
+        delivery=delivery or deliveries.delivery_id(raw_path),
+        expected_months=[previous_month_of(run_date)] if run_date else None,
+        as_of=as_of,
+        dedupe_keys=dedupe_keys,
+        salt_buckets=salt_buckets,
+        dim=dim,
     )
+    if not result.clean_rows:
+        raise NoRows(f"no rows survived cleaning in {raw_path} ({result.rejected_rows} of unexpected months)")
+    return result
 
 
 def process_raw(
@@ -91,48 +125,54 @@ def process_raw(
     raw: DataFrame,
     root: str,
     *,
+    delivery: str,
+    expected_months: list[tuple[int, int]] | None = None,
     as_of: _dt.date | str | None = None,
     dedupe_keys: bool = False,
     salt_buckets: int | None = None,
-    label: str = "raw input",
+    dim: DataFrame | None = None,
 ) -> RunResult:
-    """Steps 1-5 of a monthly run for raw rows from any source (batch or micro-batch)."""
+    """One delivery of raw rows from any source; one without usable rows is recorded and changes nothing else."""
     paths = table_paths(root)
-
-    # 1. raw → clean months. Counts and the set of months come from the write
-    #    itself (observed metrics), not from extra scans of the source.
-    clean_df, raw_obs, clean_obs = observed_clean(raw)
-    months_obs = Observation("run_months")
-    clean_df = clean_df.observe(months_obs, F.collect_set(F.struct("year", "month")).alias("months"))
-    pq.write_clean(clean_df, paths["clean"], salt_buckets=salt_buckets)
-    raw_rows = int(raw_obs.get.get("raw_rows", 0))
-    clean_rows = int(clean_obs.get.get("clean_rows", 0))
-    months = sorted((int(r["year"]), int(r["month"])) for r in months_obs.get.get("months", []))
+    own_path = f"{paths['clean']}/{deliveries.DELIVERY}={delivery}"
+    own_rejects = f"{paths['rejected']}/{deliveries.DELIVERY}={delivery}"
+
+    # 1. raw → this delivery's clean rows; what it held before is replaced as a whole.
+    before = pq.partition_values(spark, own_path, ["year", "month"])
+    accepted, rejected = deliveries.split_expected(clean(raw), expected_months)
+    pq.write_clean(accepted, own_path, mode=pq.OVERWRITE_TRUNCATE, salt_buckets=salt_buckets)
+    pq.materialize(rejected, own_rejects)
+    raw_rows = raw.count()
+    clean_rows = pq.read_table(spark, own_path, S.CLEAN_SCHEMA).count()
+    rejected_rows = pq.read_table(spark, own_rejects, S.CLEAN_SCHEMA).count()
+    months = sorted({*before, *pq.partition_values(spark, own_path, ["year", "month"])})
+    spark.range(1).select(
+        F.lit(raw_rows).cast("bigint").alias("raw_rows"),
+        F.lit(clean_rows).cast("bigint").alias("clean_rows"),
+        F.lit(rejected_rows).cast("bigint").alias("rejected_rows"),
+    ).write.mode("overwrite").parquet(f"{paths['deliveries']}/{deliveries.DELIVERY}={delivery}")
+    counts = dict(delivery=delivery, raw_rows=raw_rows, clean_rows=clean_rows, rejected_rows=rejected_rows, tables=paths)
     if not months:
-        raise ValueError(f"no rows survived cleaning in {label}")
-
-    # 2. clean months → staging → fact months (broadcast dimension join).
-    #    The run's month directories are removed first, so a month whose rows
-    #    are now all filtered out disappears instead of keeping stale rows. If
-    #    the job fails in between, rerunning the month restores it.
-    clean_months = spark.read.parquet(paths["clean"]).filter(_months_predicate(months, "year", "month"))
-    fact = marts.build_fact(staging.stage(clean_months, as_of, dedupe_keys=dedupe_keys))
-    pq.drop_partitions(spark, paths["fct_flights"], FACT_KEYS, months)
+        return RunResult(months=[], checks=None, **counts)
+
+    # 2. affected months of all deliveries → staging → fact months.
+    clean_table = pq.read_table(spark, paths["clean"], CLEAN_TABLE_SCHEMA)
+    clean_months = clean_table.filter(_months_predicate(months, "year", "month"))
+    source_months = pq.conform(clean_months, S.STAGING_SOURCE_SCHEMA)
+    fact = marts.build_fact(staging.stage(source_months, as_of, dedupe_keys=dedupe_keys), dim)
+    left = sorted((int(r[0]), int(r[1])) for r in fact.select(*FACT_KEYS).distinct().collect())
+    emptied = sorted({*months} - {*left})
     pq.write_fact(fact, paths["fct_flights"], salt_buckets=salt_buckets)
+    pq.drop_partitions(spark, paths["fct_flights"], FACT_KEYS, emptied)
 
     # 3. fact months → month x carrier partials (replaced the same way).
-    fact_months = pq.read_or_default(spark, paths["fct_flights"], fact.limit(0)).filter(
-        _months_predicate(months, *FACT_KEYS)
-    )
-    pq.drop_partitions(spark, paths["agg_carrier_month"], FACT_KEYS, months)
-    pq.write_partitioned(
-        marts.carrier_month_partials(fact_months), paths["agg_carrier_month"], FACT_KEYS, ["carrier_code"]
-    )
+    fact_months = pq.read_table(spark, paths["fct_flights"], fact.schema).filter(_months_predicate(months, *FACT_KEYS))
+    partials = marts.carrier_month_partials(fact_months)
+    pq.write_partitioned(partials, paths["agg_carrier_month"], FACT_KEYS, ["carrier_code"])
+    pq.drop_partitions(spark, paths["agg_carrier_month"], FACT_KEYS, emptied)
 
     # 4. all partials → both reports (tiny inputs, full replace).
-    all_partials = pq.read_or_default(
-        spark, paths["agg_carrier_month"], marts.carrier_month_partials(fact.limit(0))
-    )
+    all_partials = pq.read_table(spark, paths["agg_carrier_month"], partials.schema)
     rc = pq.materialize(
         marts.sort_carrier_report(marts.delay_by_carrier_from_partials(all_partials)), paths["rpt_delay_by_carrier"]
     )
@@ -142,15 +182,32 @@ def process_raw(
 
     # 5. checks. Fact checks cover this run's months: the flight key contains
     #    the date, so a duplicate key can only occur within one month.
-    dim = marts.carrier_dimension(spark)
-    source_months = spark.read.parquet(paths["clean"]).filter(_months_predicate(months, "year", "month"))
+    used = marts.carrier_dimension(spark) if dim is None else dim
     checks = pq.materialize(
-        quality.all_checks(fact_months, dim, rc, rt, staging_source=source_months), paths["dq_results"]
+        quality.all_checks(fact_months, used, rc, rt, staging_source=source_months), paths["dq_results"]
     )
-    return RunResult(months=months, raw_rows=raw_rows, clean_rows=clean_rows, tables=paths, checks=checks)
+    return RunResult(months=months, checks=checks, **counts)
+
+
+def register_tables(spark: SparkSession, root: str, database: str = "default") -> dict[str, DataFrame]:
+    """The tables under ``root`` by name in the session's catalog (external, created if needed)."""
+    paths = table_paths(root)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    empty = spark.createDataFrame([], S.CLEAN_SCHEMA)
+    fact = marts.build_fact(staging.stage(empty))
+    partials = marts.carrier_month_partials(fact)
+    layouts = {
+        "clean": (spark.createDataFrame([], CLEAN_TABLE_SCHEMA), [deliveries.DELIVERY, "year", "month"]),
+        "fct_flights": (fact, FACT_KEYS),
+        "agg_carrier_month": (partials, FACT_KEYS),
+        "rpt_delay_by_carrier": (marts.delay_by_carrier(fact), None),
+        "rpt_delay_trend": (marts.delay_trend(fact), None),
+    }
+    return {
+        name: pq.as_table(df, f"{database}.{name}", paths[name], partition_by=keys) for name, (df, keys) in layouts.items()
+    }
 
 
 def previous_month_rows(df: DataFrame, run_date: _dt.date, year_col: str = "year", month_col: str = "month") -> DataFrame:
     """Rows of the month a run on ``run_date`` loads (the month before it)."""
-    last = run_date.replace(day=1) - _dt.timedelta(days=1)
-    return df.filter(_months_predicate([(last.year, last.month)], year_col, month_col))
+    return df.filter(_months_predicate([previous_month_of(run_date)], year_col, month_col))

@@ -288,6 +288,10 @@ STATEMENTS: dict[str, str] = {
         "primary_delay_cause FROM clean",
     ),
     "date_parts": _with("clean", f"SELECT {_IDENT}, year, month FROM clean"),
+    "merge_deliveries": _with(
+        "clean", "SELECT *, CASE WHEN mkt_carrier < 'D' THEN 'a' ELSE 'b' END AS delivery FROM clean"
+    ),
+    "conform_staging": _with("clean", "SELECT * EXCLUDE (dep_time, arr_time) FROM clean"),
     "row_audit": _with(
         "typed",
         "SELECT CAST(count(*) AS BIGINT) AS raw_rows, "
@@ -374,6 +378,9 @@ SELECT CAST(sum(total_flights) AS BIGINT) AS total_flights,
             ELSE 0.0 END AS delay_pct,
        CAST(sum(CAST(round(avg_arr_delay_min * 100) AS BIGINT)) AS BIGINT)
            / count(avg_arr_delay_min) / 100 AS avg_arr_delay_min,
+       CAST(sum(CAST(round(avg_arr_delay_min * 100) AS BIGINT) * total_flights) AS DOUBLE)
+           / CAST(sum(CASE WHEN avg_arr_delay_min IS NOT NULL THEN total_flights END) AS DOUBLE) / 100
+           AS weighted_avg_arr_delay_min,
        (SELECT carrier_name FROM rc ORDER BY avg_arr_delay_min DESC NULLS LAST, carrier_code LIMIT 1)
            AS worst_carrier
 FROM rc

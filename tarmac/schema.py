@@ -111,9 +111,6 @@ CARRIERS = [
     ("MQ", "Envoy Air"),
 ]
 
-# Cancellation codes and meanings.
-CANCELLATION_CODES = [("A", "Carrier"), ("B", "Weather"), ("C", "NAS"), ("D", "Security")]
-
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
@@ -209,6 +206,3 @@ FACT_COLUMNS = [
     "actual_elapsed_time",
 ]
 
-CARRIER_SCHEMA = StructType(
-    [StructField("carrier_code", StringType(), False), StructField("carrier_name", StringType(), False)]
-)

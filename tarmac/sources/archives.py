@@ -4,14 +4,16 @@ Spark's CSV reader cannot open zip archives, and a zip is not splittable, so
 each archive is read by one task. The task never holds the archive or its
 CSV whole: the file listing carries paths only (``binaryFile`` reads no
 content when ``content`` is not selected), the task opens the archive by path
-through a seekable file handle and streams the first ``.csv`` member in
-row chunks, yielding one Arrow batch per chunk. Many archives (months) run in
-parallel, one input split per archive or two.
+through a seekable file handle and streams its ``.csv`` members, one after
+another, in row chunks, yielding one Arrow batch per chunk. Many archives
+(months) run in parallel, one input split per archive or two.
 """
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -20,7 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac import schema as S
 
-DEFAULT_CHUNK_ROWS = 100_000
+DEFAULT_CHUNK_ROWS = 50_000
+
+# Schemes as Spark lists them and as Arrow names the same stores.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
 
 
 def _open_binary(path: str):
@@ -32,35 +37,44 @@ def _open_binary(path: str):
         return open(local, "rb")
     from pyarrow import fs as pafs
 
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    scheme, _, rest = path.partition("://")
+    filesystem, inner = pafs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{rest}")
     return filesystem.open_input_file(inner)
 
 
-def first_csv_member(archive: zipfile.ZipFile, path: str = "") -> str:
-    members = [m for m in archive.namelist() if m.lower().endswith(".csv")]
+def csv_members(archive: zipfile.ZipFile, path: str = "") -> list[str]:
+    members = [m for m in archive.namelist() if m.lower().endswith(".csv") and not m.startswith("__MACOSX/")]
     if not members:
         raise FileNotFoundError(f"No CSV found inside archive {path}")
-    return members[0]
+    return members
+
+
+def _header(line: str) -> list[str]:
+    return next(csv.reader([line.rstrip("\r\n").lstrip("\ufeff")]), [])
 
 
 def _stream_archive(path: str, chunk_rows: int) -> Iterator[pd.DataFrame]:
+    """Rows of every CSV member, by header name.
+
+    As Spark's reader does in permissive mode, a line with fewer cells than the header is
+    filled with nulls and cells beyond it are dropped; columns never shift.
+    """
     with _open_binary(path) as handle, zipfile.ZipFile(handle) as archive:
-        member = first_csv_member(archive, path)
-        with archive.open(member) as raw:
-            text = io.TextIOWrapper(raw, encoding="utf-8", newline="")
-            reader = pd.read_csv(
-                text,
-                dtype=str,
-                keep_default_na=False,
-                na_values=[""],
-                chunksize=chunk_rows,
-            )
-            for chunk in reader:
-                missing = [c for c in S.RAW_COLUMNS if c not in chunk.columns]
+        for member in csv_members(archive, path):
+            with archive.open(member) as raw:
+                text = io.TextIOWrapper(raw, encoding="utf-8", newline="")
+                header = _header(text.readline())
+                missing = [c for c in S.RAW_COLUMNS if c not in header]
                 if missing:
                     raise ValueError(f"{path}:{member} lacks columns {missing}")
-                out = chunk[S.RAW_COLUMNS]
-                yield out.astype(object).where(out.notna(), None)
+                picks = [header.index(c) for c in S.RAW_COLUMNS]
+                lines = (row for row in csv.reader(text) if row)
+                while chunk := list(itertools.islice(lines, chunk_rows)):
+                    yield pd.DataFrame(
+                        [[(row[k] or None) if k < len(row) else None for k in picks] for row in chunk],
+                        columns=S.RAW_COLUMNS,
+                        dtype=object,
+                    )
 
 
 def read_archives(spark: SparkSession, path: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:

@@ -10,8 +10,6 @@ is a single projection, so the derived frame partitions exactly like the
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,36 +84,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
-
-
-def spread_narrow_scan(df: DataFrame, key: list[str] = LINEITEM_KEY) -> DataFrame:
-    """Spread a scan that has fewer input splits than the cluster has cores.
-
-    A single-row-group file scans as one task, and every per-row step fused
-    into that stage then runs on one core. Large inputs already split into
-    many tasks and are returned unchanged (no shuffle); the check is a
-    planning-time split count, not a job.
-
-    Rows are hashed on the table's unique key, so pieces are even and a
-    retried task gets the same rows without the local sort a round-robin
-    split needs. Catalyst moves filters below a repartition, which would pull
-    the parsing and staging predicates back into the one scan task; filters
-    do not cross an observed-metrics node, so the spread ends with one (it
-    counts the source rows read) and the row work runs on every core.
-    """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except NotImplementedError:  # Spark Connect has no split count to read; keep the scan
-        return df
-    if splits >= parallelism:
-        return df
-    spread = df.repartition(parallelism, *key)
-    return spread.observe(f"source_rows_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("source_rows"))
-
-
 def load_flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flight rows for a test-data directory (``.../sf0.01``)."""
     lineitem = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
-    return flights_raw(spread_narrow_scan(lineitem))
+    return flights_raw(lineitem)

@@ -109,7 +109,25 @@ def load_staging(
     src = spark.read.parquet(source_path)
     conformed = conform(src, S.STAGING_SOURCE_SCHEMA)
     write_clean(conformed, table_path, mode=mode, salt_buckets=salt_buckets)
-    return spark.read.parquet(table_path)
+    return spark.read.schema(S.STAGING_SOURCE_SCHEMA).parquet(table_path)
+
+
+def as_table(
+    df: DataFrame, name: str, path: str, *, partition_by: list[str] | None = None
+) -> DataFrame:
+    """Register the Parquet files at ``path`` as catalog table ``name``; return it by name.
+
+    The table is external and typed as ``df``, so partition keys keep their declared types.
+    It is created if needed; new partition directories are picked up on every call.
+    """
+    spark = df.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def materialize(
@@ -129,7 +147,7 @@ def materialize(
     else:
         writer = df.sortWithinPartitions(*cluster_by) if cluster_by else df
         writer.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -173,22 +191,17 @@ def drop_partitions(spark: SparkSession, table_path: str, keys: list[str], value
             fs.delete(jpath, True)
 
 
-def read_or_default(spark: SparkSession, path: str, default: DataFrame) -> DataFrame:
-    """Read the Parquet table at ``path``; ``default`` when it has no data files yet."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return default
+def partition_values(spark: SparkSession, table_path: str, keys: list[str]) -> list[tuple[int, ...]]:
+    """Integer values of the partition directories ``keys`` below ``table_path`` (none if it is missing)."""
+    fs, jpath = _hadoop_path(spark, "/".join([table_path.rstrip("/"), *[f"{k}=*" for k in keys]]))
+    found = fs.globStatus(jpath) or []
+    tails = [str(s.getPath().toString()).rstrip("/").split("/")[-len(keys) :] for s in found]
+    return sorted(tuple(int(part.split("=", 1)[1]) for part in tail) for tail in tails)
 
 
-def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; ``default`` only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if default is None:
-        raise ValueError("spark.checkpoint.dir is not set; pass a shared folder")
-    spark.sparkContext.setCheckpointDir(default)
-    return default
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The Parquet table at ``path`` with its declared types; empty if the path does not exist."""
+    fs, jpath = _hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

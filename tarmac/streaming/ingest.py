@@ -1,49 +1,41 @@
-"""Monthly files landing in a folder → the same tables as ``run_month``, as a stream.
+"""Raw monthly files landing in a folder → the same tables as ``run_month``, as a stream.
 
-A file-source Structured Streaming query watches a landing folder for raw
-monthly CSV files. Each micro-batch (the files that arrived since the last
-one) goes through :func:`tarmac.plans.monthly.process_raw` inside
-``foreachBatch``: clean, fact and partial tables are replaced for the months
-the batch holds, and both reports are re-derived.
+A file-source Structured Streaming query watches a landing folder. Each micro-batch is the
+list of files that arrived since the last one; only their paths are streamed, and inside
+``foreachBatch`` every file is read as the batch run reads it, by header name, so wide files
+and files with other column orders are accepted alike, and goes through
+:func:`tarmac.plans.monthly.process_raw` as a delivery of its own.
 
-Delivery: the checkpoint records which files were processed, so each file is
-taken once; if a micro-batch is retried after a failure, it rewrites the
-same months with the same rows (month replacement is idempotent), so the
-tables end up as if it had run once. As with the monthly runs, a month is
-the unit of replacement: a file re-delivered for a month replaces that month,
-and one month's rows are expected in one file (or one batch of files).
+Delivery: the checkpoint records which files were processed, so each file is taken once. If
+a micro-batch is retried after a failure, its files replace what they wrote before, so the
+tables end up as if it had run once. A month may come in several files; a file that lands
+again under its name replaces only its own rows. A file without a usable row is recorded in
+the ``deliveries`` table and the stream goes on; one that is no readable delivery (a raw
+column missing) is reported to ``on_error``, or fails the query if there is none.
 
-Late data needs no watermark here: a late file for an old month simply
-replaces that month when it lands.
+Late data needs no watermark here: a late file's rows join their month when it lands.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac import schema as S
-from tarmac.plans.monthly import RunResult, process_raw
-from tarmac.sources.parquet import checkpoint_root
+from tarmac.operators.deliveries import delivery_id
+from tarmac.plans.monthly import process_raw
+from tarmac.sources.archives import read_archives
+from tarmac.sources.raw_csv import read_raw
 
 
-def raw_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming raw rows from CSV files (with header) appearing in ``landing_dir``.
-
-    Headers are checked against the 18 raw names (``enforceSchema=false``),
-    so a file with a different layout fails instead of shifting columns.
-    """
-    reader = (
-        spark.readStream.schema(S.RAW_SCHEMA)
-        .option("header", True)
-        .option("nullValue", "")
-        .option("enforceSchema", False)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(landing_dir)
+def landed_files(spark: SparkSession, landing_dir: str, pattern: str = "*.csv", max_files: int | None = None) -> DataFrame:
+    """Stream of the paths of files appearing in ``landing_dir``; their contents are not read."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(landing_dir).select("path")
 
 
 def start_ingest(
@@ -54,25 +46,49 @@ def start_ingest(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 hour",
+    max_files_per_trigger: int | None = 100,
+    archives: bool = False,
     as_of: _dt.date | str | None = None,
-    on_batch=None,
+    dedupe_keys: bool = False,
+    salt_buckets: int | None = None,
+    dim: DataFrame | None = None,
+    on_batch: Callable | None = None,
+    on_error: Callable | None = None,
 ) -> StreamingQuery:
     """Start the ingest query; returns the running ``StreamingQuery``.
 
-    ``available_now=True`` processes every file present and stops (a
-    scheduled run); otherwise the query polls every ``processing_time``.
-    The checkpoint defaults to a folder under ``spark.checkpoint.dir``.
-    ``on_batch(epoch_id, RunResult)`` is called after each non-empty batch.
+    ``available_now=True`` processes every file present and stops (a scheduled run);
+    otherwise the query polls every ``processing_time``. The checkpoint defaults to a folder
+    under ``root``: it belongs to these tables, survives the session and is shared by no
+    other ingest. ``on_batch(epoch_id, RunResult)`` is called after each file,
+    ``on_error(epoch_id, path, error)`` for a file that cannot be read.
     """
-    location = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tarmac-ingest"
+    location = checkpoint or f"{root.rstrip('/')}/_ingest_checkpoint"
+    read = read_archives if archives else read_raw
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        result: RunResult = process_raw(spark, batch, root, as_of=as_of, label=f"micro-batch {epoch_id}")
-        if on_batch is not None:
-            on_batch(epoch_id, result)
+        for path in sorted(r["path"] for r in batch.collect()):  # at most max_files_per_trigger paths
+            try:
+                raw = read(spark, path)
+            except ValueError as error:
+                if on_error is None:
+                    raise
+                on_error(epoch_id, path, error)
+                continue
+            result = process_raw(
+                spark,
+                raw,
+                root,
+                delivery=delivery_id(path),
+                as_of=as_of,
+                dedupe_keys=dedupe_keys,
+                salt_buckets=salt_buckets,
+                dim=dim,
+            )
+            if on_batch is not None:
+                on_batch(epoch_id, result)
 
-    writer = raw_stream(spark, landing_dir).writeStream.foreachBatch(handle).option("checkpointLocation", location)
+    files = landed_files(spark, landing_dir, "*.zip" if archives else "*.csv", max_files_per_trigger)
+    writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
