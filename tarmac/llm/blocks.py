@@ -12,6 +12,7 @@ is reused by every round.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -77,6 +78,39 @@ class Block:
             row = stop
 
 
+def later_copies(rows: DataFrame) -> DataFrame:
+    """A message to each block with the places of its texts that a smaller doc_id has in full.
+
+    Only ids and digests (MD5 and length) are grouped and joined, a text's smallest id being
+    one row, so a text in a third of all rows is split like any skewed join.
+    """
+    slim = rows.select(
+        "block", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"),
+    )
+    first = slim.groupBy("digest", "size").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1")
+    copies = slim.join(first, ["digest", "size"]).filter("id > low").select("block", "id", "digest")
+
+    def pack(table: pa.Table) -> pa.Table:
+        ids = table["id"].to_numpy().astype("<i8")
+        found = sorted(i.tobytes() + d for i, d in zip(ids, table["digest"].to_pylist()))
+        return message([0], table["block"][0].as_py(), [b"".join(found)])
+
+    return copies.groupBy("block").applyInArrow(pack, MESSAGE)
+
+
+def copy_mask(block: Block, marks: dict[int, bytes]) -> np.ndarray:
+    """Which rows of the block ``later_copies`` marked."""
+    data = marks.get(0, b"")
+    marked = {data[k : k + 24] for k in range(0, len(data), 24)}
+    if not marked:
+        return np.zeros(len(block.ids), bool)
+    ids = block.ids.astype("<i8")
+    at = block.offsets
+    text = memoryview(block.data)
+    return np.array([i.tobytes() + hashlib.md5(text[a:b]).digest() in marked for i, a, b in zip(ids, at[:-1], at[1:])], bool)
+
+
 def message(parts: list[int], block: int | list[int], data: list[bytes]) -> pa.Table:
     blocks = [block] * len(parts) if isinstance(block, (int, np.integer)) else block
     return pa.table(

@@ -5,7 +5,8 @@ id. Every such string has an anchor: its ``GRAM``-byte piece with the smallest h
 strings have equal anchors, so only the pieces of text around anchors that occur more than
 once need to be compared; a piece holds exactly the strings of its anchor.
 
-Blocks of documents, and then the hash parts of the anchors, sort their pieces as a suffix
+A text that a smaller document has in full goes whole and takes no further part. Blocks of
+documents, and then the hash parts of the anchors, sort their pieces as a suffix
 array does. Pieces are first put in order of eight bytes. Where these agree, a mergesort
 compares two pieces in logarithmic time: it finds their common extension by binary search
 over prefix polynomial hashes, and then compares the next byte. Neighbours whose hashes say
@@ -28,8 +29,10 @@ from pyspark.sql import DataFrame
 from tarmac.llm import blocks, textnum
 
 LENGTH = 50  # bytes of a string
-GRAM = 12  # bytes of an anchor
+GRAM = 20  # bytes of an anchor
 STEPS = LENGTH - GRAM + 1  # places of the anchor in the string
+BLOCK_BYTES = 3 << 19  # text in a block, about
+PART_BYTES = 8 << 20  # text for each hash part, about
 CROWD = 48  # blocks; an anchor in so many sends its strings singly
 
 _POSITION = np.uint64((1 << 24) - 1)
@@ -44,11 +47,11 @@ def sort_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     if n == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     prefix = textnum.PrefixHash(data)
-    wide = np.concatenate((data, np.zeros(8, np.uint8))).astype(np.uint64)
+    wide = np.concatenate((data, np.zeros(8, np.uint8)))
     length = ends - starts
     head = np.zeros(n, np.uint64)
     for k in range(8):
-        head = (head << np.uint64(8)) | np.where(length > k, wide[np.minimum(starts + k, len(data))], 0).astype(np.uint64)
+        head = (head << np.uint64(8)) | np.where(length > k, wide[np.minimum(starts + k, len(data))], np.uint8(0)).astype(np.uint64)
     order = np.argsort(head, kind="stable")
     run_new = np.ones(n, bool)
     run_new[1:] = head[order][1:] != head[order][:-1]
@@ -135,7 +138,7 @@ def _same_bytes(data: np.ndarray, p: np.ndarray, q: np.ndarray, length: np.ndarr
 class _Anchored:
     """The anchors of a block: place, hash, and the range of string starts each one stands for."""
 
-    def __init__(self, block: blocks.Block):
+    def __init__(self, block: blocks.Block, copies: np.ndarray):
         place, key, first, last = [], [], [], []
         for chunk, base in block.chunks(1 << 19):
             n = len(chunk.data)
@@ -150,7 +153,8 @@ class _Anchored:
             low = np.minimum(low[: n - LENGTH + 1], low[STEPS - width : STEPS - width + n - LENGTH + 1])
             # Strings do not cross rows.
             left = np.repeat(chunk.offsets[1:], np.diff(chunk.offsets))[: n - LENGTH + 1] - np.arange(n - LENGTH + 1)
-            starts = np.flatnonzero(left >= LENGTH)
+            whole = np.repeat(~copies[chunk.first : chunk.first + len(chunk)], np.diff(chunk.offsets))[: n - LENGTH + 1]
+            starts = np.flatnonzero((left >= LENGTH) & whole)
             if not len(starts):
                 continue
             high = starts & ~int(_POSITION)  # a chunk over 16 MB wraps the packed position
@@ -181,8 +185,8 @@ class _Anchored:
 class _Pieces:
     """The distinct pieces a block sends: of each shared anchor its piece, of a crowded one its strings."""
 
-    def __init__(self, block: blocks.Block, parts: blocks.Parts, replies: dict[int, bytes]):
-        anchored = _Anchored(block)
+    def __init__(self, block: blocks.Block, copies: np.ndarray, parts: blocks.Parts, replies: dict[int, bytes]):
+        anchored = _Anchored(block, copies)
         keys, back, _ = anchored.keys()
         shared, hot = blocks.read_shared(parts, keys, replies)
         shared, hot = shared[back], hot[back]
@@ -307,21 +311,23 @@ def remove_later_copies(docs: DataFrame) -> DataFrame:
     document here: they do not remove from each other. Null ids come after all others and
     are alike. Null, empty and short texts have no string. Extra columns are ignored.
     """
-    rows, parts = blocks.deal(docs)
+    rows, parts = blocks.deal(docs, BLOCK_BYTES, PART_BYTES)
+    copies = blocks.later_copies(rows)
 
-    def first(block: blocks.Block) -> pa.Table:
-        keys, _, often = _Anchored(block).keys()
+    def first(block: blocks.Block, marks: dict) -> pa.Table:
+        keys, _, often = _Anchored(block, blocks.copy_mask(block, marks)).keys()
         return blocks.send_keys(parts, block.number, keys, often)
 
-    anchors = blocks.answer(blocks.ask(rows, first), blocks.reply_shared(CROWD))
+    anchors = blocks.answer(blocks.meet(rows, [copies], first, blocks.MESSAGE), blocks.reply_shared(CROWD))
 
-    def second(block: blocks.Block, replies: dict) -> pa.Table:
-        return _send_pieces(parts, block.number, _Pieces(block, parts, replies))
+    def second(block: blocks.Block, marks: dict, replies: dict) -> pa.Table:
+        return _send_pieces(parts, block.number, _Pieces(block, blocks.copy_mask(block, marks), parts, replies))
 
-    pieces = blocks.answer(blocks.meet(rows, [anchors], second, blocks.MESSAGE), _reply_pieces)
+    pieces = blocks.answer(blocks.meet(rows, [copies, anchors], second, blocks.MESSAGE), _reply_pieces)
 
-    def last(block: blocks.Block, replies: dict, verdicts: dict) -> pa.Table:
-        p = _Pieces(block, parts, replies)
+    def last(block: blocks.Block, marks: dict, replies: dict, verdicts: dict) -> pa.Table:
+        copied = blocks.copy_mask(block, marks)
+        p = _Pieces(block, copied, parts, replies)
         mask = np.zeros(len(p.sent), np.uint64)
         for part, a, b in parts.split(p.sent):
             mask[a:b] = np.frombuffer(verdicts[part], np.uint64)
@@ -332,6 +338,8 @@ def remove_later_copies(docs: DataFrame) -> DataFrame:
         step = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         gone = (mask[owner] >> step.astype(np.uint64)) & np.uint64(1) == 1
         removed = textnum.covered((p.first[owner] + step)[gone], LENGTH, len(block.data))
+        size = np.diff(block.offsets)
+        removed |= np.repeat(copied & (size >= LENGTH), size)
         total = np.concatenate(([0], np.cumsum(removed)))
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
@@ -351,4 +359,4 @@ def remove_later_copies(docs: DataFrame) -> DataFrame:
             }
         )
 
-    return blocks.meet(rows, [anchors, pieces], last, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return blocks.meet(rows, [copies, anchors, pieces], last, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
