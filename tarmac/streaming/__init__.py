@@ -1,8 +1,8 @@
 """Streaming ingest: monthly raw files landing in a folder, processed as they arrive.
 
-``ingest``  file-source stream → ``foreachBatch`` → month-replacing tables
+``ingest``  file-source stream → ``foreachBatch`` → delivery-replacing tables
 """
 
-from tarmac.streaming.ingest import raw_stream, start_ingest
+from tarmac.streaming.ingest import landed_files, start_ingest
 
-__all__ = ["raw_stream", "start_ingest"]
+__all__ = ["landed_files", "start_ingest"]

@@ -30,9 +30,13 @@ from tarmac.sources.archives import read_archives
 from tarmac.sources.raw_csv import read_raw
 
 
+# Fixed value: the columns of Spark's file listing source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def landed_files(spark: SparkSession, landing_dir: str, pattern: str = "*.csv", max_files: int | None = None) -> DataFrame:
     """Stream of the paths of files appearing in ``landing_dir``; their contents are not read."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(landing_dir).select("path")

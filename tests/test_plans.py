@@ -63,27 +63,44 @@ def test_registered_queries_stay_in_the_jvm_and_never_cross_join(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_partials_reports_read_only_partials(spark, models):
+def test_trend_from_partials_windows_months_not_cells(spark, models):
     parts = marts.carrier_month_partials(models.fact)
-    assert "Window" in plan(marts.delay_trend_from_partials(parts))
+    p = plan(marts.delay_trend_from_partials(parts))
+    assert p.index("Window") < p.index("HashAggregate")
+    assert p.count("FileScan") == 1
 
 
-def test_narrow_scan_spread_by_key_with_row_work_above_it(models):
-    # The test files are one row group each; the spread hashes on the
-    # lineitem key (no round-robin sort), and the clean/staging filters stay
-    # above the exchange instead of sinking into the single scan task.
-    p = plan(models.staging)
-    spread_at = p.index("Exchange hashpartitioning(l_orderkey")
-    assert "RoundRobinPartitioning" not in p
-    assert p.index("+- Filter ") < spread_at
-    assert "+- Filter " not in p[spread_at:]
+def test_no_source_repartition_or_metrics_node(spark):
+    for name, fn in catalog.QUERIES.items():
+        p = plan(fn(spark, TESTDATA_SMALL))
+        assert "CollectMetrics" not in p and "REPARTITION" not in p, name
 
 
-def test_report_branches_read_the_source_once(spark):
-    # dq_expression checks both reports; after adaptive execution the source
-    # scan appears once and the second branch reuses its exchange.
-    df = catalog.dq_expression(spark, TESTDATA_SMALL)
-    df.collect()
+@pytest.fixture(scope="module")
+def split_input(spark, tmp_path_factory):
+    """The lineitem table as many small files, so that the scan has more splits than cores."""
+    base = str(tmp_path_factory.mktemp("split"))
+    spark.read.parquet(f"{TESTDATA_SMALL}/lineitem.parquet").repartition(12).write.parquet(f"{base}/lineitem.parquet")
+    return base
+
+
+@pytest.mark.parametrize(
+    "query, scans", [("dq_accepted_values", 1), ("dq_not_null", 1), ("dq_expression", 1), ("dq_unique", 2), ("kpis", 1)]
+)
+def test_checks_scan_the_source_once(spark, split_input, query, scans):
+    df = catalog.QUERIES[query](spark, split_input)
+    rows = df.collect()
+    assert sorted(map(str, rows)) == sorted(map(str, catalog.QUERIES[query](spark, TESTDATA_SMALL).collect()))
     final = plan(df).split("Initial Plan")[0]
-    assert final.count("FileScan parquet") == 1
-    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet") - final.count("ReusedExchange") <= scans and final.count("FileScan parquet") <= scans
+
+
+def test_checks_over_a_fact_equal_the_checks_over_its_reports(models):
+    rc, rt = models.carrier_report, models.trend_report
+    pairs = [
+        (quality.unique_from_fact(models.fact, models.dim), quality.unique_checks(models.fact, models.dim, rc, rt)),
+        (quality.not_null_from_fact(models.fact, models.dim), quality.not_null_checks(models.fact, models.dim, rc, rt)),
+        (quality.expression_from_fact(models.fact), quality.expression_checks(rc, rt)),
+    ]
+    for once, apart in pairs:
+        assert sorted(map(tuple, once.collect())) == sorted(map(tuple, apart.collect()))

@@ -1,104 +1,105 @@
+"""Raw CSV and archive readers, Parquet sinks and their layouts."""
+
 import os
 import zipfile
 
 import pytest
-from conftest import base_row
+from flightlines import write_csv
+from pyspark.sql import functions as F
 
 from tarmac import schema as S
 from tarmac.operators import clean as C
 from tarmac.sources import archives, parquet, raw_csv
 
-
-def write_csv(path, columns, rows):
-    with open(path, "w") as f:
-        f.write(",".join(columns) + "\n")
-        for r in rows:
-            f.write(",".join("" if r.get(c) is None else str(r[c]) for c in columns) + "\n")
-
-
-class TestRawCsv:
-    def test_reads_by_header_name(self, spark, scratch):
-        cols = list(reversed(S.RAW_COLUMNS)) + ["Extra"]
-        write_csv(f"{scratch}/m.csv", cols, [{**base_row(), "Extra": "x"}, base_row(Origin=None, DepDelay="abc")])
-        raw = raw_csv.read_raw(spark, f"{scratch}/m.csv")
-        assert raw.columns == S.RAW_COLUMNS
-        out = C.clean(raw).collect()
-        assert len(out) == 1 and out[0]["origin"] == "LAX" and out[0]["dep_delay"] == 25.0
-
-    def test_empty_cell_is_null(self, spark, scratch):
-        write_csv(f"{scratch}/m.csv", S.RAW_COLUMNS, [base_row(ArrDelay=None)])
-        assert raw_csv.read_raw(spark, f"{scratch}/m.csv").first()["ArrDelay"] is None
-
-    def test_missing_column_fails(self, spark, scratch):
-        write_csv(f"{scratch}/m.csv", S.RAW_COLUMNS[:-1], [base_row()])
+LINES = ["HA/118 HNL-OGG 2021-07-04 dep=3 arr=x in=0758", "AS/7 SEA-HNL 2021-07-05", "/7 SEA-HNL 2021-07-06 off=1 why=B"]
+
+
+def zipped(path, *members):
+    """A zip of (name, file path) members."""
+    with zipfile.ZipFile(path, "w") as z:
+        for name, file in members:
+            z.write(file, arcname=name)
+    return path
+
+
+class TestRawReaders:
+    @pytest.mark.parametrize("extra, tail", [([], ""), (["Tail"], ""), ([], ","), (["Tail", "Gate"], ",,")])
+    def test_both_readers_give_the_same_rows(self, spark, scratch, extra, tail):
+        columns = [*extra, *sorted(S.RAW_COLUMNS)]
+        file = write_csv(f"{scratch}/m.csv", LINES, columns, tail)
+        zipped(f"{scratch}/m.zip", ("m.csv", file))
+        plain = raw_csv.read_raw(spark, file)
+        packed = archives.read_archives(spark, f"{scratch}/m.zip", chunk_rows=2)
+        assert plain.columns == packed.columns == S.RAW_COLUMNS
+        rows = sorted(map(tuple, plain.collect()), key=str)
+        assert rows == sorted(map(tuple, packed.collect()), key=str)
+        assert [r["Dest"] for r in plain.orderBy("FlightDate").collect()] == ["OGG", "HNL", "HNL"]
+        assert C.clean(packed).count() == 2
+
+    def test_short_and_blank_lines_do_not_shift(self, spark, scratch):
+        file = write_csv(f"{scratch}/m.csv", LINES)
+        with open(file, "a") as out:
+            out.write("2021-07-09,HA\n\n")
+        zipped(f"{scratch}/m.zip", ("m.csv", file))
+        packed = archives.read_archives(spark, f"{scratch}/m.zip").filter("FlightDate = '2021-07-09'").collect()
+        assert [(r["Reporting_Airline"], r["Dest"]) for r in packed] == [("HA", None)]
+
+    def test_every_member_of_an_archive_is_read(self, spark, scratch):
+        one, two = write_csv(f"{scratch}/1.csv", LINES[:1]), write_csv(f"{scratch}/2.csv", LINES[1:], S.RAW_COLUMNS[::-1])
+        notes = f"{scratch}/readme.txt"
+        open(notes, "w").write("not data")
+        zipped(f"{scratch}/m.zip", ("readme.txt", notes), ("a.csv", one), ("deep/B.CSV", two))
+        assert archives.read_archives(spark, f"{scratch}/m.zip").count() == 3
+
+    def test_missing_column_or_member_fails(self, spark, scratch):
+        file = write_csv(f"{scratch}/m.csv", LINES, S.RAW_COLUMNS[:-1])
         with pytest.raises(ValueError, match="ArrTime"):
-            raw_csv.read_raw(spark, f"{scratch}/m.csv")
-
-
-class TestArchives:
-    def _zip(self, path, columns, rows, member="flights.csv"):
-        csv = f"{path}.csv"
-        write_csv(csv, columns, rows)
-        with zipfile.ZipFile(path, "w") as z:
-            z.write(csv, arcname="readme.txt")
-            z.write(csv, arcname=member)
-        os.remove(csv)
-
-    def test_streams_first_csv_member(self, spark, scratch):
-        d = f"{scratch}/zips"
-        os.makedirs(d)
-        self._zip(f"{d}/a.zip", S.RAW_COLUMNS + ["Extra"], [base_row(), base_row(Dest="SEA")])
-        self._zip(f"{d}/b.zip", list(reversed(S.RAW_COLUMNS)), [base_row(FlightDate="2024-02-01")] * 5)
-        raw = archives.read_archives(spark, d, chunk_rows=2)
-        assert raw.columns == S.RAW_COLUMNS
-        rows = raw.collect()
-        assert len(rows) == 7
-        assert sorted(r["Dest"] for r in rows).count("SEA") == 1
-        assert C.clean(raw).count() == 7
-
-    def test_archive_without_csv_fails(self, spark, scratch):
-        d = f"{scratch}/zips"
-        os.makedirs(d)
-        with zipfile.ZipFile(f"{d}/empty.zip", "w") as z:
-            z.writestr("notes.txt", "nothing")
+            raw_csv.read_raw(spark, file)
+        os.makedirs(f"{scratch}/a")
+        zipped(f"{scratch}/a/m.zip", ("m.csv", file))
+        with pytest.raises(Exception, match="ArrTime"):
+            archives.read_archives(spark, f"{scratch}/a").collect()
+        os.makedirs(f"{scratch}/b")
+        zipped(f"{scratch}/b/m.zip", ("m.txt", file))
         with pytest.raises(Exception, match="No CSV found"):
-            archives.read_archives(spark, d).collect()
+            archives.read_archives(spark, f"{scratch}/b").collect()
+
+    def test_store_schemes_are_known_to_arrow(self):
+        assert archives.ARROW_SCHEMES["s3a"] == "s3" and archives.ARROW_SCHEMES["wasbs"] == "abfss"
 
 
 class TestParquetSinks:
-    def _clean(self, raw_df, *dates, arr="30.0"):
-        return C.clean(raw_df(*[base_row(FlightDate=d, ArrDelay=arr) for d in dates]))
+    def _clean(self, flights, *dates, arr="30.0"):
+        return C.clean(flights(*[f"HA/118 HNL-OGG {d} arr={arr}" for d in dates]))
 
-    def test_partitioned_layout_and_schema(self, raw_df, scratch):
+    def test_partitioned_layout_and_schema(self, flights, scratch):
         out = f"{scratch}/clean"
-        parquet.write_clean(self._clean(raw_df, "2024-01-15", "2024-02-01"), out)
+        parquet.write_clean(self._clean(flights, "2024-01-15", "2024-02-01"), out)
         assert [d for d in sorted(os.listdir(out)) if not d.startswith(("_", "."))] == ["year=2024"]
         assert sorted(os.listdir(f"{out}/year=2024")) == ["month=1", "month=2"]
 
-    def test_dynamic_overwrite_replaces_only_its_month(self, raw_df, spark, scratch):
+    def test_dynamic_overwrite_replaces_only_its_month(self, flights, spark, scratch):
         out = f"{scratch}/clean"
-        parquet.write_clean(self._clean(raw_df, "2024-01-15", "2024-02-01"), out)
-        parquet.write_clean(self._clean(raw_df, "2024-02-09", "2024-02-10", arr="5"), out)
+        parquet.write_clean(self._clean(flights, "2024-01-15", "2024-02-01"), out)
+        parquet.write_clean(self._clean(flights, "2024-02-09", "2024-02-10", arr="5"), out)
         got = sorted((r["month"], r["arr_delay"]) for r in spark.read.parquet(out).collect())
         assert got == [(1, 30.0), (2, 5.0), (2, 5.0)]
 
-    def test_truncate_mode_replaces_all(self, raw_df, spark, scratch):
+    def test_truncate_mode_replaces_all(self, flights, spark, scratch):
         out = f"{scratch}/clean"
-        parquet.write_clean(self._clean(raw_df, "2024-01-15"), out)
-        parquet.write_clean(self._clean(raw_df, "2024-02-09"), out, mode="truncate")
+        parquet.write_clean(self._clean(flights, "2024-01-15"), out)
+        parquet.write_clean(self._clean(flights, "2024-02-09"), out, mode="truncate")
         assert [r["month"] for r in spark.read.parquet(out).collect()] == [2]
 
-    def test_salted_write(self, raw_df, spark, scratch):
+    def test_salted_write(self, flights, spark, scratch):
         out = f"{scratch}/clean"
-        parquet.write_clean(self._clean(raw_df, *["2024-01-15"] * 6), out, salt_buckets=3)
+        parquet.write_clean(self._clean(flights, *["2024-01-15"] * 6), out, salt_buckets=3)
         assert spark.read.parquet(out).count() == 6
 
     def test_hot_month_is_split_without_salt(self, spark, scratch):
         # One month holds a third of all rows. The default layout (a REBALANCE
         # on the month keys) lets adaptive execution split that month across
         # several write tasks instead of sending it whole to one.
-        from pyspark.sql import functions as F
-
         rows = spark.range(60000).select(
             F.lit(2000).alias("year"),
             F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 11 + 2).alias("month"),
@@ -120,8 +121,8 @@ class TestParquetSinks:
         assert back.count() == 60000
         assert back.filter("month = 1").count() == 20000
 
-    def test_load_staging_conforms(self, raw_df, spark, scratch):
-        parquet.write_clean(self._clean(raw_df, "2024-01-15"), f"{scratch}/clean")
+    def test_load_staging_conforms(self, flights, spark, scratch):
+        parquet.write_clean(self._clean(flights, "2024-01-15"), f"{scratch}/clean")
         table = parquet.load_staging(spark, f"{scratch}/clean", f"{scratch}/raw_flights")
         assert set(table.columns) == {f.name for f in S.STAGING_SOURCE_SCHEMA.fields}
         assert table.count() == 1
@@ -130,22 +131,38 @@ class TestParquetSinks:
         with pytest.raises(ValueError):
             parquet.conform(spark.range(1), S.STAGING_SOURCE_SCHEMA)
 
-    def test_between_dates_prunes_partitions(self, raw_df, spark, scratch):
+    def test_between_dates_prunes_partitions(self, flights, spark, scratch):
         out = f"{scratch}/clean"
-        parquet.write_clean(self._clean(raw_df, "2024-01-15", "2024-02-01", "2024-03-31", "2024-05-01"), out)
+        parquet.write_clean(self._clean(flights, "2024-01-15", "2024-02-01", "2024-03-31", "2024-05-01"), out)
         df = parquet.between_dates(spark.read.parquet(out), "2024-02-01", "2024-03-31")
         assert df.count() == 2
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
-    def test_materialize_cuts_lineage(self, raw_df, spark, scratch):
-        out = parquet.materialize(self._clean(raw_df, "2024-01-15"), f"{scratch}/t")
+    def test_materialize_cuts_lineage(self, flights, spark, scratch):
+        out = parquet.materialize(self._clean(flights, "2024-01-15"), f"{scratch}/t")
         assert out.count() == 1
         assert "FileScan parquet" in out._jdf.queryExecution().executedPlan().toString()
 
-    def test_view(self, raw_df):
-        v = parquet.as_view(self._clean(raw_df, "2024-01-15"), "stg_view_test")
+    def test_view(self, flights):
+        v = parquet.as_view(self._clean(flights, "2024-01-15"), "stg_view_test")
         assert v.sparkSession.sql("select count(*) from stg_view_test").first()[0] == 1
 
-    def test_checkpoint_root_reads_session(self, spark):
-        assert parquet.checkpoint_root(spark)
+    def test_written_tables_keep_declared_types(self, flights, spark, scratch):
+        out = f"{scratch}/t"
+        df = self._clean(flights, "2024-01-15").withColumn("year", F.col("year").cast("bigint"))
+        parquet.write_partitioned(df, out, ["year", "month"], [])
+        assert dict(parquet.read_table(spark, out, df.schema).dtypes)["year"] == "bigint"
+        assert parquet.read_table(spark, f"{scratch}/none", df.schema).count() == 0
+        assert parquet.partition_values(spark, out, ["year", "month"]) == [(2024, 1)]
+
+    def test_catalog_table_by_name(self, flights, spark, scratch):
+        out = f"{scratch}/named"
+        df = self._clean(flights, "2024-01-15", "2024-02-01")
+        parquet.write_clean(df, out)
+        table = parquet.as_table(df, "named_clean_test", out, partition_by=["year", "month"])
+        assert table.count() == 2
+        parquet.write_clean(self._clean(flights, "2024-03-01"), out)
+        assert parquet.as_table(df, "named_clean_test", out, partition_by=["year", "month"]).count() == 3
+        assert spark.table("named_clean_test").filter("month = 3").count() == 1
+        spark.sql("DROP TABLE named_clean_test")
