@@ -227,7 +227,7 @@ def find(docs: DataFrame) -> DataFrame:
 def mask(docs: DataFrame) -> DataFrame:
     """``docs``, all columns and rows, with every span replaced by its kind in brackets.
 
-    Spans that overlap become one, named after the first. A null text stays null.
+    Spans that overlap become one, named after the first, of those the longest. A null text stays null.
     """
     extracted = durable.cut(extract(docs.select("text")).filter(F.col("_key").isNotNull()))
     whole = docs.select(F.struct("*").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
@@ -237,7 +237,8 @@ def mask(docs: DataFrame) -> DataFrame:
     rows = _join_spans(keyed, identifier_spans(extracted))
 
     def tagged(kind: str) -> Column:
-        return F.transform(f"_{kind}", lambda s: F.struct(s["start"], s["stop"], F.lit(f"[{kind.upper()}]").alias("tag")))
+        tag = F.lit(f"[{kind.upper()}]").alias("tag")
+        return F.transform(f"_{kind}", lambda s: F.struct(s["start"], (-s["stop"]).alias("before"), s["stop"], tag))
 
     def step(acc: Column, s: Column) -> Column:
         between = F.substr(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"])
