@@ -20,6 +20,7 @@ from tarmac.functions import months_between_predicate
 
 OVERWRITE_DYNAMIC = "dynamic"
 OVERWRITE_TRUNCATE = "truncate"
+PLAIN_SALT_BUCKETS = 8
 
 
 def _spread(df: DataFrame, keys: list[str], salt_buckets: int | None) -> DataFrame:
@@ -28,8 +29,12 @@ def _spread(df: DataFrame, keys: list[str], salt_buckets: int | None) -> DataFra
     Default: a ``REBALANCE`` on the month keys, which adaptive execution
     splits when a month is larger than the advisory partition size and
     coalesces when months are small. With ``salt_buckets`` the month is
-    hashed into that many fixed pieces instead.
+    hashed into that many fixed pieces instead; so it is, into
+    ``PLAIN_SALT_BUCKETS``, where adaptive execution is off and would drop the
+    hint.
     """
+    if not salt_buckets and df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+        salt_buckets = PLAIN_SALT_BUCKETS
     if salt_buckets:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
         return df.repartition(*[F.col(k) for k in keys], salt)

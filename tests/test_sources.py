@@ -121,6 +121,19 @@ class TestParquetSinks:
         assert back.count() == 60000
         assert back.filter("month = 1").count() == 20000
 
+    def test_layout_without_adaptive_execution(self, flights, spark, scratch):
+        out = f"{scratch}/clean"
+        rows = self._clean(flights, *["2024-01-15", "2024-02-01"] * 40).repartition(16)
+        key = "spark.sql.adaptive.enabled"
+        spark.conf.set(key, "false")
+        try:
+            parquet.write_clean(rows, out)
+        finally:
+            spark.conf.set(key, "true")
+        files = [f for f in os.listdir(f"{out}/year=2024/month=1") if f.endswith(".parquet")]
+        assert len(files) <= parquet.PLAIN_SALT_BUCKETS
+        assert spark.read.parquet(out).count() == 80
+
     def test_load_staging_conforms(self, flights, spark, scratch):
         parquet.write_clean(self._clean(flights, "2024-01-15"), f"{scratch}/clean")
         table = parquet.load_staging(spark, f"{scratch}/clean", f"{scratch}/raw_flights")
