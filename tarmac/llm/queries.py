@@ -71,4 +71,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB statements of the queries that SQL can express.
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op6_substring": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+win AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+),
+twice AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (
+    SELECT doc_id, list(DISTINCT p) AS ps
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN twice USING (s))
+    GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(w, lambda x, k: ps IS NULL OR NOT list_contains(ps, k)), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+""",
+    "op10_suffix": r"""
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+),
+win AS (
+    SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS s
+    FROM (SELECT doc_id, h, unnest(range(1, n - 48)) AS i FROM d WHERE n >= 50)
+),
+low AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+hit AS (
+    SELECT doc_id, i, coalesce(i > 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS opens
+    FROM win JOIN low USING (s) WHERE doc_id > m
+),
+run AS (SELECT doc_id, i, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM hit),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, r),
+gap AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS start FROM span
+),
+piece AS (
+    SELECT doc_id, a, substr(h, 2 * start - 1, 2 * (a - start)) AS kept FROM gap JOIN d USING (doc_id)
+    UNION ALL
+    SELECT d.doc_id, n + 1, substr(h, 2 * coalesce(max(b), 1) - 1) FROM d LEFT JOIN span ON span.doc_id = d.doc_id GROUP BY d.doc_id, h, n
+),
+kept AS (SELECT doc_id, string_agg(kept, '' ORDER BY a) AS h FROM piece GROUP BY doc_id),
+removed AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+""",
+}

@@ -241,6 +241,20 @@ def test_keep_one_of_each_group(documents, odd, clashing):
     assert 19 in {r["doc_id"] for r in kept.collect()}
 
 
+@pytest.mark.parametrize("name", ["op6_substring", "op10_suffix"])
+def test_sql_statements_agree(spark, name):
+    import duckdb
+
+    from tarmac.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    want = con.sql(queries.STATEMENTS[name])
+    got = queries.QUERIES[name](spark, sf).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_empty_tables(documents):
     empty = documents([])
     assert substring.remove_repeats(empty).count() == 0
