@@ -231,7 +231,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataF
     rows = durable.cut(fingerprints(docs.select("doc_id", digest, "text"), shingle))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_fp", "_digest"))
     kept = rows.join(_named_components(rows, bits), "_fp").groupBy("root").agg(first.alias("k"))
-    kept = kept.select(F.col("k.doc_id").alias("_kept_id"), F.col("k._digest").alias("_kept_digest"))
-    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), digest)
-    found = whole.join(kept, whole["_id"].eqNullSafe(kept["_kept_id"]) & (whole["_digest"] == kept["_kept_digest"]), "left_semi")
-    return found.dropDuplicates(["_id", "_digest"]).select("_row.*")
+    # One pair of keys without nulls serves the join and the removal of repeated rows: one shuffle of the texts.
+    kept = kept.select("k.no_id", F.coalesce("k.doc_id", F.lit(0)).alias("_id"), F.col("k._digest").alias("_digest"))
+    whole = docs.select(
+        F.struct("*").alias("_row"), F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("_id"), digest
+    )
+    keys = ["no_id", "_id", "_digest"]
+    return whole.join(kept, keys, "left_semi").dropDuplicates(keys).select("_row.*")
