@@ -9,24 +9,34 @@ parts to the Spark types.
 
 from __future__ import annotations
 
-from tarmac import schema as S
-from tarmac.plans import catalog as C
-from tarmac.sources.fixtures import FIXTURE_AIRPORTS, FIXTURE_CANCEL_CODES, FIXTURE_CARRIERS
-
-
-def _list(values: list[str]) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
-def _sql_str(v: str) -> str:
-    return "'" + v.replace("'", "''") + "'"
-
-
-_CARRIER_CODES = _list(FIXTURE_CARRIERS)
-_AIRPORTS = _list(FIXTURE_AIRPORTS)
-_CANCEL = _list(FIXTURE_CANCEL_CODES)
-_NULL_KEY = _sql_str(S.KEY_NULL_SENTINEL)
-_DIM_VALUES = ",\n        ".join(f"({_sql_str(c)}, {_sql_str(n)})" for c, n in S.CARRIERS)
+# Fixed values, written here once more rather than imported: a wrong label, code or
+# parameter on the Spark side must not be able to match itself.
+_CARRIER_CODES = """['AA', 'AS', 'B6', 'DL', 'F9', 'G4', 'HA', 'NK', 'OH', 'OO',
+              'QX', 'UA', 'WN', 'YV', 'YX', '9E', 'MQ', 'ZZ', 'XX']"""
+_AIRPORTS = "['LAX', 'JFK', 'ORD', 'ATL', 'DFW', 'SEA', 'DEN']"
+_CANCEL = "['A', 'B', 'C', 'D']"
+_NULL_KEY = "'_dbt_utils_surrogate_key_null_'"
+_DIM_VALUES = """('AA', 'American Airlines'),
+        ('AS', 'Alaska Airlines'),
+        ('B6', 'JetBlue Airways'),
+        ('DL', 'Delta Air Lines'),
+        ('F9', 'Frontier Airlines'),
+        ('G4', 'Allegiant Air'),
+        ('HA', 'Hawaiian Airlines'),
+        ('NK', 'Spirit Airlines'),
+        ('OH', 'PSA Airlines'),
+        ('OO', 'SkyWest Airlines'),
+        ('QX', 'Horizon Air'),
+        ('UA', 'United Airlines'),
+        ('WN', 'Southwest Airlines'),
+        ('YV', 'Mesa Airlines'),
+        ('YX', 'Republic Airways'),
+        ('9E', 'Endeavor Air'),
+        ('MQ', 'Envoy Air')"""
+_BUCKETS = "'On time', 'Minor (1-15 min)', 'Moderate (16-60 min)', 'Severe (1-3 hrs)', 'Extreme (>3 hrs)'"
+_RUN_DATE = "2001-06-05"
+_PAST_AS_OF = "2001-06-01"
+_RANGE = "fl_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' AND carrier_code = 'AA' "
 
 RAW_CTE = f"""
 li AS (
@@ -245,14 +255,14 @@ _RT_COLS = (
     "year_month, month_start_date, total_flights, delayed_flights, delay_pct, avg_arr_delay_min, "
     "avg_carrier_delay, avg_weather_delay, avg_nas_delay, avg_late_aircraft_delay, avg_delay_3mo_rolling"
 )
-_TOP_N_ORDER = "ORDER BY avg_arr_delay_min DESC NULLS LAST, carrier_code LIMIT " + str(C.TOP_N)
+_TOP_N_ORDER = "ORDER BY avg_arr_delay_min DESC NULLS LAST, carrier_code LIMIT 10"
 _CAUSE_UNION = """
     SELECT {id}, 'Carrier' AS cause, avg_carrier_delay AS minutes FROM {src}
     UNION ALL SELECT {id}, 'Weather', avg_weather_delay FROM {src}
     UNION ALL SELECT {id}, 'NAS', avg_nas_delay FROM {src}
     UNION ALL SELECT {id}, 'Late Aircraft', avg_late_aircraft_delay FROM {src}
 """
-_YEARS = ", ".join(str(y) for y in C.SELECTED_YEARS)
+_YEARS = "1996, 1998, 2000"
 
 
 def _check(check: str, model: str, column: str, failures: str, source: str) -> str:
@@ -306,8 +316,8 @@ STATEMENTS: dict[str, str] = {
     "previous_month": _with(
         "clean",
         f"SELECT {_IDENT}, arr_delay, year, month FROM clean "
-        f"WHERE fl_date >= CAST(date_trunc('month', DATE '{C.RUN_DATE.isoformat()}') - INTERVAL 1 MONTH AS DATE) "
-        f"AND fl_date < CAST(date_trunc('month', DATE '{C.RUN_DATE.isoformat()}') AS DATE)",
+        f"WHERE fl_date >= CAST(date_trunc('month', DATE '{_RUN_DATE}') - INTERVAL 1 MONTH AS DATE) "
+        f"AND fl_date < CAST(date_trunc('month', DATE '{_RUN_DATE}') AS DATE)",
     ),
     "stg_flights": _with("stg", "SELECT * FROM stg"),
     "surrogate_key": _with(
@@ -319,7 +329,7 @@ STATEMENTS: dict[str, str] = {
         "WHERE cancelled IS NULL OR cancelled = 0",
     ),
     "past_dates": _with(
-        "renamed", f"SELECT flight_id, fl_date FROM renamed WHERE fl_date < DATE '{C.PAST_AS_OF}'"
+        "renamed", f"SELECT flight_id, fl_date FROM renamed WHERE fl_date < DATE '{_PAST_AS_OF}'"
     ),
     "outlier_filter": _with(
         "renamed",
@@ -399,7 +409,7 @@ FROM rc
     "range_carrier_avg": _with(
         "fct",
         f"SELECT carrier_name, avg(arr_delay) AS avg_arr_delay FROM fct "
-        f"WHERE fl_date BETWEEN DATE '{C.RANGE_LO}' AND DATE '{C.RANGE_HI}' AND carrier_code = '{C.RANGE_CARRIER}' "
+        f"WHERE {_RANGE}"
         "GROUP BY carrier_name",
     ),
     "dq_unique": _with(
@@ -452,7 +462,7 @@ FROM rc
                     "fct_flights",
                     "delay_bucket",
                     "count(*) FILTER (WHERE delay_bucket IS NOT NULL AND delay_bucket NOT IN ("
-                    + ", ".join(_sql_str(b) for b in S.DELAY_BUCKETS)
+                    + _BUCKETS
                     + "))",
                     "fct",
                 ),
