@@ -26,9 +26,10 @@ def labelled_sample(
     """At most ``max_rows`` labelled rows (doc_id, text, label), chosen by a hash of the id.
 
     ``learnable`` is a predicate on the labels' doc_id. Texts over ``max_text_bytes`` are not
-    learned from (they are scored like any other). Both bounds hold at any size of the input,
-    so the sample fits the driver; the labels side of the join has at most ``max_rows`` rows.
-    ``even`` takes at most half of them from either label.
+    learned from (they are scored like any other); of several rows with one id the smallest
+    text counts. Both bounds hold at any size of the input, so the sample fits the driver; the
+    labels side of the join has at most ``max_rows`` rows. ``even`` takes at most half of them
+    from either label.
     """
     known = (
         labels.filter(learnable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
@@ -44,11 +45,7 @@ def labelled_sample(
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).filter(
         F.octet_length("_text") <= max_text_bytes
     )
-    return (
-        rows.join(F.broadcast(picked), "_id")
-        .orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text"))
-        .limit(max_rows)
-    )
+    return rows.join(F.broadcast(picked), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
 
 
 def unused(df: DataFrame, name: str) -> str:
