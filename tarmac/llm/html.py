@@ -43,6 +43,7 @@ SKIPPED_WORDS = frozenset(
     "notices cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login share sharing social "
     "related recommended widget toolbar pagination pager copyright legal search".split()
 )
+LAYOUT_WORDS = frozenset("has with no without is layout template page".split())  # "has-sidebar" is not a sidebar
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
 _TOKEN = re.compile(
@@ -64,6 +65,8 @@ class _Element:
 def _skipped_class(value: str) -> bool:
     for name in value.lower().split():
         words = re.split(r"[-_]+", name)
+        if words[0] in LAYOUT_WORDS or words[-1] in LAYOUT_WORDS:
+            continue
         if name in SKIPPED_WORDS or words[0] in SKIPPED_WORDS or words[-1] in SKIPPED_WORDS:
             return True
     return False
