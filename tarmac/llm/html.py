@@ -8,7 +8,9 @@ page is then read again and gives the text of the elements on the first winning
 or of its own best container where it has none.
 
 Pages of one host never meet in one task: votes are counted by host and path with partial
-aggregation, and the few winners of a host go back to the pages by a join on the host.
+aggregation. The winners of all hosts are broadcast if their measured size is at most
+``BROADCAST_BYTES``, so that pages are not moved at all; beyond that they are joined on the
+host and a salt, each host's winners repeated for every salt.
 """
 
 from __future__ import annotations
@@ -21,7 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm import durable
+
 VOTE_SHARE = 0.15  # of a host's pages; so a host has at most six winning paths
+BROADCAST_BYTES = 8 << 20  # winners of all hosts
+SALTS = 32
 
 # Elements by role, and class words of what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -246,6 +252,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     stay and vote each. Extra columns are ignored.
     """
     own = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    chosen = own.join(winning_paths(pages), "host", "left").select("page_id", "url", "html", "paths")
+    winners = durable.cut(winning_paths(pages))
+    size = F.octet_length("host") + F.octet_length(F.array_join("paths", "")) + 64
+    if (winners.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
+        joined = own.join(F.broadcast(winners), "host", "left")
+    else:
+        salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spread = own.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+        joined = spread.join(salted, ["host", "salt"], "left")
+    chosen = joined.select("page_id", "url", "html", "paths")
     page_type = pages.schema["page_id"].dataType.simpleString()
     return chosen.mapInArrow(_texts, f"page_id {page_type}, url string, text string, n_chars long")

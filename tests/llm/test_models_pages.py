@@ -109,7 +109,9 @@ def test_pages_of_a_host(spark):
     assert sum(map(len, got.values())) == len(rows)
 
 
-def test_host_consensus_beats_a_page_own_best(spark):
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_host_consensus_beats_a_page_own_best(spark, monkeypatch, limit):
+    monkeypatch.setattr(html, "BROADCAST_BYTES", limit)
     usual = "<body><div class='story'><p>{}</p></div><div class='extra'><p>short</p></div></body>"
     odd_one = "<body><div class='story'><p>tiny</p></div><div class='extra'><p>" + "filler " * 50 + "</p></div></body>"
     rows = [(i, "http://h.org/", usual.format("real text of some length " * 3)) for i in range(6)] + [(9, "http://h.org/", odd_one)]
