@@ -238,7 +238,7 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 def winning_paths(pages: DataFrame) -> DataFrame:
     """(host, paths): paths that at least ``VOTE_SHARE`` of the host's pages vote for, most votes first."""
     votes = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(_votes, "host string, path string")
-    counted = votes.groupBy("host", "path").agg(F.count("*").alias("n"))
+    counted = durable.cut(votes.groupBy("host", "path").agg(F.count("*").alias("n")))  # read twice below
     totals = counted.groupBy("host").agg(F.sum("n").alias("total"))
     fair = counted.join(totals, "host").filter((F.col("n") >= VOTE_SHARE * F.col("total")) & (F.col("path") != ""))
     ranked = fair.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("r"))
