@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame
 from tarmac.llm import blocks, textnum
 
 LENGTH = 50  # bytes of a string
-GRAM = 20  # bytes of an anchor
+GRAM = 24  # bytes of an anchor
 STEPS = LENGTH - GRAM + 1  # places of the anchor in the string
 BLOCK_BYTES = 3 << 19  # text in a block, about
 PART_BYTES = 8 << 20  # text for each hash part, about
+SLICES = 16  # of a part's keys, sorted one after another to bound its memory
 CROWD = 48  # blocks; an anchor in so many sends its strings singly
 
 _POSITION = np.uint64((1 << 24) - 1)
@@ -235,8 +236,9 @@ def _send_pieces(parts: blocks.Parts, number: int, p: _Pieces) -> pa.Table:
     to, data = [], []
     for part, a, b in parts.split(p.sent):
         some = p.order[a:b]
+        slices = (p.sent[a:b] << np.uint64(parts.bits)) // np.uint64((1 << 64) // SLICES)
         data.append(
-            np.uint32(b - a).tobytes()
+            np.bincount(slices.astype(np.int64), minlength=SLICES).astype(np.uint32).tobytes()
             + p.length[some].astype(np.uint8).tobytes()
             + p.shift[some].astype(np.uint8).tobytes()
             + p.low[some].tobytes()
@@ -248,16 +250,35 @@ def _send_pieces(parts: blocks.Parts, number: int, p: _Pieces) -> pa.Table:
 
 def _reply_pieces(_: list[int], messages: list[bytes]) -> list[bytes]:
     """For each piece a mask over its strings: bit k is set if a smaller document has string k."""
-    length, shift, low, text, sizes = [], [], [], [], []
+    opened = []
     for d in messages:
-        n = int(np.frombuffer(d, np.uint32, 1)[0])
-        length.append(np.frombuffer(d, np.uint8, n, 4))
-        shift.append(np.frombuffer(d, np.uint8, n, 4 + n))
-        low.append(np.frombuffer(d[4 + 2 * n : 4 + 10 * n], np.int64))
-        text.append(np.frombuffer(d, np.uint8, -1, 4 + 10 * n))
-        sizes.append(n)
-    length, shift = np.concatenate(length).astype(np.int64), np.concatenate(shift).astype(np.int64)
-    low, data = np.concatenate(low), np.concatenate(text)
+        counts = np.frombuffer(d, np.uint32, SLICES).astype(np.int64)
+        n, at = int(counts.sum()), 4 * SLICES
+        length = np.frombuffer(d, np.uint8, n, at).astype(np.int64)
+        shift = np.frombuffer(d, np.uint8, n, at + n).astype(np.int64)
+        low = np.frombuffer(d[at + 2 * n : at + 10 * n], np.int64)
+        text = np.frombuffer(d, np.uint8, -1, at + 10 * n)
+        opened.append((np.concatenate(([0], np.cumsum(counts))), length, shift, low, text, np.concatenate(([0], np.cumsum(length)))))
+    replies: list[list[bytes]] = [[] for _ in messages]
+    for k in range(SLICES):
+        some = [(c[k], c[k + 1]) for c, *_ in opened]
+        if not any(b > a for a, b in some):
+            continue
+        masks = _masks(
+            np.concatenate([m[1][a:b] for m, (a, b) in zip(opened, some)]),
+            np.concatenate([m[2][a:b] for m, (a, b) in zip(opened, some)]),
+            np.concatenate([m[3][a:b] for m, (a, b) in zip(opened, some)]),
+            np.concatenate([m[4][m[5][a] : m[5][b]] for m, (a, b) in zip(opened, some)]),
+        )
+        at = 0
+        for reply, (a, b) in zip(replies, some):
+            reply.append(masks[at : at + b - a].tobytes())
+            at += b - a
+    return [b"".join(reply) for reply in replies]
+
+
+def _masks(length: np.ndarray, shift: np.ndarray, low: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The mask of each piece among pieces that hold every string's anchor group whole."""
     ends = np.cumsum(length)
     starts = ends - length
     _, piece = sort_pieces(data, starts, ends)
@@ -290,8 +311,7 @@ def _reply_pieces(_: list[int], messages: list[bytes]) -> list[bytes]:
         smaller = table[piece[rows]] < low[rows][:, None]
         smaller &= np.arange(width) < strings[rows][:, None]
         mask[rows] = (smaller.astype(np.uint64) << np.arange(width, dtype=np.uint64)).sum(1, dtype=np.uint64)
-    stops = np.cumsum(sizes)
-    return [mask[e - n : e].tobytes() for e, n in zip(stops, sizes)]
+    return mask
 
 
 def _string_classes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
