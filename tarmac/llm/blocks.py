@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm import textnum
+from tarmac.llm import durable, textnum
 
 BLOCK_BYTES = 3 << 20  # text in a block, about
 PART_BYTES = 16 << 20  # text for each hash part, about
@@ -81,14 +81,21 @@ class Block:
 def later_copies(rows: DataFrame) -> DataFrame:
     """A message to each block with the places of its texts that a smaller doc_id has in full.
 
-    Only ids and digests (MD5 and length) are grouped and joined, a text's smallest id being
-    one row, so a text in a third of all rows is split like any skewed join.
+    Only ids and digests (MD5 and length) are grouped and joined. Both sides of the join are
+    written first and the smallest id of a text is one row there, so a text in a third of all
+    rows is split like any skewed join.
     """
-    slim = rows.select(
-        "block", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"),
+    slim = durable.cut(
+        rows.select(
+            "block",
+            F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
+            F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"),
+            F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"),
+        )
+    )
+    first = durable.cut(
+        slim.groupBy("digest", "size").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1")
     )
-    first = slim.groupBy("digest", "size").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1")
     copies = slim.join(first, ["digest", "size"]).filter("id > low").select("block", "id", "digest")
 
     def pack(table: pa.Table) -> pa.Table:
