@@ -165,7 +165,7 @@ class _Anchored:
             new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
             begin = np.flatnonzero(new)
             place.append(at[begin] + base)
-            key.append(gram[at[begin]])
+            key.append(textnum.mix(gram[at[begin]]))  # the smallest hashes crowd near zero: spread them over the parts
             first.append(starts[begin] + base)
             last.append(starts[np.append(begin[1:], len(at)) - 1] + base)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
