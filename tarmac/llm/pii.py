@@ -4,8 +4,9 @@ Base spans come from fixed patterns (email, ip, card, phone) with their checks.
 exact because a text is the alternation of what lies between matches (``split``) and the
 matches themselves (``regexp_extract_all``), both found by one regular expression.
 
-The base spans are the seeds. Words next to them are lexical patterns; every token with
-letters and digits is a possible instance. Patterns and instances form a bipartite graph over the corpus.
+The base spans are the seeds. The nearest word and the nearest two words on either side of them
+are lexical patterns; symbols and numbers between are skipped. Every token with letters and
+digits is a possible instance. Patterns and instances form a bipartite graph over the corpus.
 Scores go back and forth a few times: a pattern is as good as the mean score of its distinct
 instances, provided that enough of them are seeds; an instance is as good as its patterns
 together (noisy or). Instances that end above ``ACCEPT`` are identifiers the patterns
@@ -40,9 +41,10 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _GUARDS = {"email": "@", "phone": "+"}
-_TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+_BREAK = r"\x20\x09-\x0D=|<>()\[\]{},;\"'`"  # what a token ends at
+_TOKEN = rf"(?<![^{_BREAK}])[^{_BREAK}0-9]*+[0-9][^{_BREAK}]*+"
 
-_SPANS = "array<struct<start:int,stop:int,value:string,gap:string>>"
+_SPANS = "array<struct<start:int,stop:int,value:string,left:string,right:string>>"
 
 
 def _empty() -> Column:
@@ -50,21 +52,41 @@ def _empty() -> Column:
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """(start, stop, value, gap before) of the leftmost non-overlapping matches, in code points."""
-    zipped = F.arrays_zip(
+    """(start, stop, value, text left and right) of the leftmost non-overlapping matches, in code points.
+
+    The texts beside a match leave out the matches next to it, and look behind one of them.
+    """
+    both = F.struct(
         F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value")
     )
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         stop = start + F.length(x["value"])
-        one = F.struct(start.alias("start"), stop.alias("stop"), x["value"].alias("value"), x["gap"].alias("gap"))
+        one = F.struct(
+            start.alias("start"),
+            stop.alias("stop"),
+            x["value"].alias("value"),
+            F.right(F.concat_ws(" ", x["before"], x["gap"]), F.lit(CONTEXT)).alias("left"),
+            F.left(F.concat_ws(" ", x["after"], x["beyond"]), F.lit(CONTEXT)).alias("right"),
+        )
         return F.when(x["value"].isNull(), acc).otherwise(
             F.struct(stop.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
         )
 
-    begin = F.struct(F.lit(0).alias("at"), _empty().alias("out"))
-    return F.aggregate(zipped, begin, step, lambda acc: acc["out"])
+    def located(b: Column) -> Column:
+        gap, n = b["gap"], F.size(b["gap"])
+        zipped = F.arrays_zip(
+            gap.alias("gap"),
+            b["value"].alias("value"),
+            F.concat(F.array(F.lit("")), gap).alias("before"),
+            F.slice(gap, F.lit(2), n).alias("after"),
+            F.slice(gap, F.lit(3), n).alias("beyond"),
+        )
+        begin = F.struct(F.lit(0).alias("at"), _empty().alias("out"))
+        return F.aggregate(zipped, begin, step, lambda acc: acc["out"])
+
+    return F.transform(F.array(both), located)[0]  # split once
 
 
 def _luhn(digits: Column) -> Column:
@@ -101,33 +123,50 @@ def base_spans(kind: str, text: Column) -> Column:
     return F.when(hint, F.filter(_matches(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"]))).otherwise(_empty())
 
 
-def _left(gap: Column) -> Column:
-    """The word just before a match, lower-cased; empty if another match or the start of the text is there."""
-    return F.lower(F.regexp_extract(F.right(gap, F.lit(CONTEXT)), r"([\p{L}\p{P}]+)[\x20\x09-\x0D]*$", 1))
+def _patterns(span: Column) -> Column:
+    """(side, nearest word, pattern): the nearest word and the nearest two on either side of a span, lower-cased."""
+
+    def words(side: str) -> Column:
+        plain = F.regexp_replace(span[side], r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*", " ")
+        return F.regexp_extract_all(F.lower(plain), F.lit(r"\p{L}+"), F.lit(0))
+
+    def named(side: str, near: Column, far: Column) -> Column:
+        root = F.concat(F.lit(f"{side} "), near)
+        return F.array(
+            F.struct(root.alias("root"), root.alias("pattern")),
+            F.struct(root.alias("root"), F.concat(root, F.lit(" "), far).alias("pattern")),
+        )
+
+    found = F.concat(
+        F.transform(F.array(words("left")), lambda w: named("left", F.try_element_at(w, F.lit(-1)), F.try_element_at(w, F.lit(-2))))[0],
+        F.transform(F.array(words("right")), lambda w: named("right", F.try_element_at(w, F.lit(1)), F.try_element_at(w, F.lit(2))))[0],
+    )
+    return F.filter(found, lambda x: x["pattern"].isNotNull())
 
 
 def _candidates(text: Column, base: Column) -> Column:
-    """Base spans, as seeds, and tokens of letters and digits that meet none of them, without edge punctuation."""
+    """Base spans, as seeds, and tokens that meet none of them, without edge punctuation; long enough ones."""
+
+    def placed(s: Column, start: Column, stop: Column, value: Column, seed: bool) -> Column:
+        return F.struct(
+            start.alias("start"), stop.alias("stop"), value.alias("value"), _patterns(s).alias("patterns"), F.lit(seed).alias("seed")
+        )
 
     def seed(b: Column) -> Column:
-        return F.struct(b["start"], b["stop"], b["value"], _left(b["gap"]).alias("left"), F.lit(True).alias("seed"))
+        return placed(b, b["start"], b["stop"], b["value"], True)
 
     def token(t: Column) -> Column:
         lead = F.length(F.regexp_extract(t["value"], r"^[^\p{L}\p{N}]*+", 0))
         trail = F.length(F.regexp_extract(F.right(t["value"], F.lit(8)), r"[^\p{L}\p{N}]*$", 0))
-        return F.struct(
-            (t["start"] + lead).alias("start"),
-            (t["stop"] - trail).alias("stop"),
-            F.substr(t["value"], lead + 1, F.length(t["value"]) - lead - trail).alias("value"),
-            _left(t["gap"]).alias("left"),
-            F.lit(False).alias("seed"),
-        )
+        value = F.substr(t["value"], lead + 1, F.length(t["value"]) - lead - trail)
+        return placed(t, t["start"] + lead, t["stop"] - trail, value, False)
 
     apart = lambda t: ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
     # A token without a letter is a plain number, or one that a base pattern's check has refused.
     named = lambda t: t["value"].rlike(r"\p{L}") & apart(t)
     tokens = F.when(text.rlike("[0-9]"), F.filter(_matches(text, _TOKEN), named)).otherwise(_empty())
-    return F.concat(F.transform(base, seed), F.transform(tokens, token))
+    both = F.concat(F.transform(base, seed), F.transform(tokens, token))
+    return F.filter(both, lambda c: F.length(c["value"]) >= LEAST_LENGTH)
 
 
 _PLACES = "array<struct<start:int,stop:int>>"
@@ -156,10 +195,8 @@ def _tokens(extracted: DataFrame) -> DataFrame:
 
 def identifiers(extracted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(value) of the instances that high-confidence patterns discover; seeds are not among them."""
-    tokens = _tokens(extracted).filter((F.col("left") != "") & (F.length("value") >= LEAST_LENGTH))
-    edges = durable.cut(
-        tokens.groupBy(F.col("left").alias("pattern"), "value").agg(F.max("seed").alias("seed"))
-    )
+    tokens = _tokens(extracted).select("value", "seed", F.explode("patterns").alias("p"))
+    edges = durable.cut(tokens.groupBy("p.pattern", "value").agg(F.max("seed").alias("seed"), F.first("p.root").alias("root")))
     seeds = edges.groupBy("value").agg(F.max(F.col("seed").cast("int")).cast("double").alias("score"))
     score = seeds
     for _ in range(rounds):
@@ -170,7 +207,9 @@ def identifiers(extracted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .filter((F.col("n") >= LEAST_SEEDS) & (F.col("trust") >= TRUST))
         )
         doubt = F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))
-        told = edges.join(patterns, "pattern").groupBy("value").agg((1 - F.exp(F.sum(doubt))).alias("told"))
+        # A word and the two words that begin with it are one piece of evidence, not two.
+        sides = edges.join(patterns, "pattern").groupBy("value", "root").agg(F.max("trust").alias("trust"))
+        told = sides.groupBy("value").agg((1 - F.exp(F.sum(doubt))).alias("told"))
         score = durable.cut(
             seeds.withColumnRenamed("score", "is_seed")
             .join(told, "value", "left")

@@ -189,6 +189,13 @@ def test_contexts_discover_unseen_identifiers(documents):
     assert got[3]["spans"] == got[3]["spans"].split(",")[0] and got[3]["n_email"] == 1
 
 
+def test_contexts_beyond_symbols_and_on_the_right(documents):
+    rows = [(i, f'the token = "user{i}@mail.example"') for i in range(12)] + [(50, 'the token = "QX77AB41"'), (51, 'token="QX88AB41"')]
+    rows += [(100 + i, f"10.0.0.{i} connected now") for i in range(20)] + [(150, "ZZ99-KK1 | connected again")]
+    got = {r["doc_id"]: r for r in pii.find(documents(rows)).collect()}
+    assert got[50]["spans"] == "id:13:21" and got[51]["spans"] == "id:7:15" and got[150]["spans"] == "id:0:8"
+
+
 def test_mask_replaces_spans_and_keeps_columns(documents, odd, clashing):
     rows = [*odd, (100, "mail a@b.cc, 😀 call +1 234 567 8901 or 10.0.0.1"), (101, "1.2.3.4@example.org")]
     docs = documents(rows, clashing)
