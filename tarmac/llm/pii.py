@@ -8,7 +8,7 @@ The base spans are the seeds. The nearest word and the nearest two words on eith
 are lexical patterns; symbols and numbers between are skipped. Every token with letters and
 digits is a possible instance. Patterns and instances form a bipartite graph over the corpus.
 Scores go back and forth a few times: a pattern is as good as the mean score of its distinct
-instances, provided that enough of them are seeds; an instance is as good as its patterns
+instances, provided that enough of them are seeds or were accepted in a round before; an instance is as good as its patterns
 together (noisy or). Instances that end above ``ACCEPT`` are identifiers the patterns
 discovered, and every occurrence of them becomes a span of kind ``id``.
 
@@ -26,7 +26,7 @@ from tarmac.llm import durable
 
 KINDS = ["email", "ip", "card", "phone"]
 ROUNDS = 3  # of scores going back and forth
-LEAST_SEEDS = 5  # distinct seeds next to a pattern before it scores
+LEAST_SEEDS = 5  # distinct seeds or discovered identifiers next to a pattern before it scores
 TRUST = 0.8  # score from which a pattern is a high-confidence one
 ACCEPT = 0.9  # score from which an instance is an identifier
 LEAST_LENGTH = 6  # characters of an identifier
@@ -203,7 +203,7 @@ def identifiers(extracted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         weighted = edges.join(score, "value")
         patterns = (
             weighted.groupBy("pattern")
-            .agg(F.avg("score").alias("trust"), F.sum(F.col("seed").cast("int")).alias("n"))
+            .agg(F.avg("score").alias("trust"), F.sum((F.col("score") >= ACCEPT).cast("int")).alias("n"))
             .filter((F.col("n") >= LEAST_SEEDS) & (F.col("trust") >= TRUST))
         )
         doubt = F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))

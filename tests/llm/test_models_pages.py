@@ -196,6 +196,14 @@ def test_contexts_beyond_symbols_and_on_the_right(documents):
     assert got[50]["spans"] == "id:13:21" and got[51]["spans"] == "id:7:15" and got[150]["spans"] == "id:0:8"
 
 
+def test_discovered_identifiers_vouch_for_further_contexts(documents):
+    rows = [(i, f"please contact user{i}@mail.example about it") for i in range(60)]
+    rows += [(100 + i, f"please contact QX{i}77-AB41 about it") for i in range(12)]
+    rows += [(200 + i, f"his account QX{i}77-AB41 was closed") for i in range(12)] + [(300, "his account ZK-90417 was closed")]
+    got = {r["doc_id"]: r for r in pii.find(documents(rows)).collect()}
+    assert got[100]["n_id"] == got[200]["n_id"] == 1 and got[300]["spans"] == "id:12:20"
+
+
 def test_mask_replaces_spans_and_keeps_columns(documents, odd, clashing):
     rows = [*odd, (100, "mail a@b.cc, 😀 call +1 234 567 8901 or 10.0.0.1"), (101, "1.2.3.4@example.org")]
     docs = documents(rows, clashing)
