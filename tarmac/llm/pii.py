@@ -5,8 +5,8 @@ exact because a text is the alternation of what lies between matches (``split``)
 matches themselves (``regexp_extract_all``), both found by one regular expression.
 
 The base spans are the seeds. The nearest word and the nearest two words on either side of them
-are lexical patterns; symbols and numbers between are skipped. Every token with letters and
-digits is a possible instance. Patterns and instances form a bipartite graph over the corpus.
+are lexical patterns; symbols and numbers between are skipped. Every token with a
+digit, and every handle or dotted name, is a possible instance. Patterns and instances form a bipartite graph over the corpus.
 Scores go back and forth a few times: a pattern is as good as the mean score of its distinct
 instances, provided that enough of them are seeds or were accepted in a round before; an instance is as good as its patterns
 together (noisy or). Instances that end above ``ACCEPT`` are identifiers the patterns
@@ -42,7 +42,9 @@ PATTERNS = {
 }
 _GUARDS = {"email": "@", "phone": "+"}
 _BREAK = r"\x20\x09-\x0D=|<>()\[\]{},;\"'`"  # what a token ends at
-_TOKEN = rf"(?<![^{_BREAK}])[^{_BREAK}0-9]*+[0-9][^{_BREAK}]*+"
+# A digit, or a handle or name: "@" before a letter, "_" or "." between letters.
+_MARK = r"[0-9]|@\p{L}|\p{L}[_.]\p{L}"
+_TOKEN = rf"(?<![^{_BREAK}])(?=[^{_BREAK}]*?(?:{_MARK}))[^{_BREAK}]++"
 
 _SPANS = "array<struct<start:int,stop:int,value:string,left:string,right:string>>"
 
@@ -162,9 +164,7 @@ def _candidates(text: Column, base: Column) -> Column:
         return placed(t, t["start"] + lead, t["stop"] - trail, value, False)
 
     apart = lambda t: ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
-    # A token without a letter is a plain number, or one that a base pattern's check has refused.
-    named = lambda t: t["value"].rlike(r"\p{L}") & apart(t)
-    tokens = F.when(text.rlike("[0-9]"), F.filter(_matches(text, _TOKEN), named)).otherwise(_empty())
+    tokens = F.when(text.rlike(_MARK), F.filter(_matches(text, _TOKEN), apart)).otherwise(_empty())
     both = F.concat(F.transform(base, seed), F.transform(tokens, token))
     return F.filter(both, lambda c: F.length(c["value"]) >= LEAST_LENGTH)
 
@@ -271,7 +271,7 @@ def mask(docs: DataFrame) -> DataFrame:
     extracted = durable.cut(extract(docs.select("text")).filter(F.col("_key").isNotNull()))
     whole = docs.select(F.struct("*").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
     spans = whole.select("*", *[base_spans(k, F.col("_text")).alias(f"_{k}") for k in KINDS])
-    tokens = F.col("_text").rlike("[0-9]")
+    tokens = F.col("_text").rlike(_MARK)
     keyed = spans.withColumn("_key", F.when(tokens, F.sha2("_text", 256)))
     rows = _join_spans(keyed, identifier_spans(extracted))
 

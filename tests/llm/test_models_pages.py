@@ -204,6 +204,17 @@ def test_discovered_identifiers_vouch_for_further_contexts(documents):
     assert got[100]["n_id"] == got[200]["n_id"] == 1 and got[300]["spans"] == "id:12:20"
 
 
+def test_identifiers_without_letters_or_digits(documents):
+    rows = [(i, f"please contact user{i}@mail.example about it") for i in range(60)]
+    odd_ones = ["555-123-4567", "123-45-6789", "40017223", "4111111111111112", "john.doe", "night_owl"]
+    rows += [(100 + i, f"please contact {v} about it") for i, v in enumerate(odd_ones)] + [(200, "see john.doe, or see jane.roe")]
+    got = {r["doc_id"]: r for r in pii.find(documents(rows)).collect()}
+    assert [got[100 + i]["spans"] for i in range(6)] == [f"id:15:{15 + len(v)}" for v in odd_ones]
+    assert got[200]["spans"] == "id:4:12"
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(documents(rows)).collect()}
+    assert masked[100] == masked[104] == "please contact [ID] about it" and masked[200] == "see [ID], or see jane.roe"
+
+
 def test_mask_replaces_spans_and_keeps_columns(documents, odd, clashing):
     rows = [*odd, (100, "mail a@b.cc, 😀 call +1 234 567 8901 or 10.0.0.1"), (101, "1.2.3.4@example.org")]
     docs = documents(rows, clashing)
