@@ -55,7 +55,8 @@ SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search di
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)|[^>]*)>", re.S
 )
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# Attributes one after another, values consumed whole; a quoted text without a name is passed over.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _DIGITS = re.compile(r"[0-9]+")
 
 
@@ -90,7 +91,7 @@ def _open(tag: str, attributes: str, parent: _Element | None) -> _Element:
             skip = skip or tag not in ("article", "main", "body", "html") and _skipped_class(value)
         elif name == "role":
             skip = skip or value.lower() in SKIPPED_ROLES
-        elif name == "hidden" or value.lower() == "true":
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             skip = True
     label = f"{tag}.{classes}" if classes else tag
     path = f"{parent.path}/{label}" if parent else label

@@ -119,6 +119,12 @@ def test_host_consensus_beats_a_page_own_best(spark, monkeypatch, limit):
     assert got.filter("page_id = 9").first()["text"] == "tiny"
 
 
+def test_attribute_values_are_not_names():
+    shown = "<div style='overflow: hidden' title=\"The hidden cost\" data-x=hidden data-y='a class=\"ad\" b'><p>kept text</p></div>"
+    gone = "<div class='a'hidden><p>one</p></div><div HIDDEN=''><p>two</p></div><div aria-hidden=true><p>three</p></div>"
+    assert html.extract(f"<body>{shown}{gone}<div aria-hidden=false><p>x</p></div></body>", ["/body"]) == "kept text x"
+
+
 def test_articles_of_the_table(spark):
     from html import unescape
 
