@@ -1,11 +1,12 @@
 """Main text of web pages by consensus paths of each host.
 
 Every page is read once to score its containers: text of paragraphs, headings and list items
-outside of links counts for the container it lies in, and half for the one around that. The
-page votes for the path of its best container, a path being tags with their classes, digits
-generalised. Spark counts the votes of each host; paths with a fair share of them win. Every
-page is then read again and gives the text of the elements on the first winning path it has,
-or of its own best container where it has none.
+outside of links counts for the container it lies in, and half for the one around that. From
+the best one the page climbs to the article or main element around it, or else to the lowest
+element with nearly all of the text and every h1, and votes for its path, a path being tags with their
+classes, digits generalised. Spark counts the votes of each host; paths with a fair share of
+them win. Every page is then read again and gives the text of the elements on the first winning
+path that has more than a small share of its text, or of its own container where there is none.
 
 Pages of one host never meet in one task: votes are counted by host and path with partial
 aggregation. The winners of all hosts are broadcast if their measured size is at most
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from tarmac.llm import durable
 
 VOTE_SHARE = 0.15  # of a host's pages; so a host has at most six winning paths
+NEARLY = 0.93  # of a page's text, in the element it climbs to
+SMALL = 0.1  # of a page's text: with less a winning path gives way to the page's own container
 BROADCAST_BYTES = 8 << 20  # winners of all hosts
 SALTS = 32
 
@@ -61,11 +64,12 @@ _DIGITS = re.compile(r"[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "skip", "score", "holder", "parent")
+    __slots__ = ("tag", "path", "skip", "score", "total", "title", "seen", "holder", "parent")
 
     def __init__(self, tag, path, skip, parent):
         self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
-        self.score = 0.0
+        self.score = self.total = self.title = 0.0
+        self.seen = False
         self.holder = self if tag in CONTAINERS else (parent.holder if parent else None)
 
 
@@ -159,9 +163,27 @@ def pieces(html: str) -> Iterator[tuple[_Element, str, bool]]:
         stack.append(_open(tag, m[3], stack[-1]))
 
 
+def _container(best: _Element, order: list[_Element]) -> _Element:
+    """The article or main element around the best container, or the lowest element with nearly all text and every h1."""
+    e = best
+    while e:
+        if e.tag in ("article", "main"):
+            return e
+        e = e.parent
+    for e in reversed(order):
+        if e.parent:
+            e.parent.total += e.total
+            e.parent.title += e.title
+    e = best
+    while e.parent and (e.total < NEARLY * order[0].total or e.title < order[0].title):
+        e = e.parent
+    return e
+
+
 def best_path(html: str) -> str:
-    """Path of the page's best container; "" (the whole page) where no container has text."""
+    """Path of the page's own container; "" (the whole page) where no container has text."""
     holders: dict[int, _Element] = {}
+    order: list[_Element] = []  # elements with text and those around them, the outer first
     for element, text, _ in pieces(html):
         if element.skip:
             continue
@@ -170,6 +192,15 @@ def best_path(html: str) -> str:
             if e.tag == "a":
                 weight = 0.0
             e = e.parent
+        element.total += weight
+        if e and e.tag == "h1":
+            element.title += len(text)
+        chain, e = [], element
+        while e and not e.seen:
+            e.seen = True
+            chain.append(e)
+            e = e.parent
+        order.extend(reversed(chain))
         holder = element.holder
         if weight and holder is not None and holder.tag:
             holder.score += weight
@@ -179,29 +210,37 @@ def best_path(html: str) -> str:
                 around.score += weight / 2
                 holders[id(around)] = around
     best = max(holders.values(), key=lambda h: h.score, default=None)  # of equals the first met
-    return best.path if best else ""
+    return _container(best, order).path if best else ""
 
 
 def extract(html: str, paths: list[str]) -> str:
-    """Text of the elements on the first of ``paths`` that the page has text on, else of its best container."""
+    """Text of the elements on the first of ``paths`` with more than a small share of the page's text.
+
+    Where there is none: of the page's own container, if it is one of ``paths``, or encloses
+    the first with text, or none has text; else of that first one.
+    """
     found: dict[str, list[str]] = {}
-    own = None
-    wanted = set(paths)
+    wanted, total = set(paths), 0
     for element, text, fresh in pieces(html):
         if element.skip:
             continue
+        total += len(text.strip())
         e = element
         while e is not None:
             if e.path in wanted:
                 found.setdefault(e.path, []).append(" " + text if fresh else text)
             e = e.parent
-    for path in paths:
-        joined = " ".join("".join(found.get(path, ())).split())
-        if joined:
+    texts = {p: " ".join("".join(found[p]).split()) for p in paths if p in found}
+    texts = {p: joined for p, joined in texts.items() if joined}
+    for joined in texts.values():
+        if len(joined) > SMALL * total:
             return joined
     own = best_path(html)
     if own in wanted:
-        return ""
+        return texts.get(own, "")
+    first = next(iter(texts), None)
+    if first is not None and not first.startswith(own + "/"):
+        return texts[first]
     return extract(html, [own])
 
 

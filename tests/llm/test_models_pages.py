@@ -125,6 +125,26 @@ def test_attribute_values_are_not_names():
     assert html.extract(f"<body>{shown}{gone}<div aria-hidden=false><p>x</p></div></body>", ["/body"]) == "kept text x"
 
 
+def test_whole_article_around_a_dominant_child():
+    parts = "<h1>The heading here</h1><div class='lead'><p>" + "lead " * 40 + "</p></div><div class='body'><p>" + "body " * 400 + "</p></div>"
+    whole = "The heading here " + "lead " * 40 + ("body " * 400).strip()
+    cells = "<table><tr><td>" + "cell " * 300 + "</td></tr></table><p>" + "after " * 60 + "</p>"
+    for page, text in [
+        (f"<body><nav>menu</nav><article>{parts}</article></body>", whole),
+        (f"<body><nav>menu</nav><div class='post'>{parts}</div><div><p>x</p></div></body>", whole),
+        (parts, whole),
+        (f"<main>{cells}</main>", "cell " * 300 + ("after " * 60).strip()),
+    ]:
+        assert html.extract(page, [html.best_path(page)]) == text
+
+
+def test_hosts_with_two_templates(spark):
+    first, second = "<body><div class='a'><p>{}</p></div><div class='b'><p>{}</p></div></body>", "words of the text " * 9
+    rows = [(i, "http://two.org/", first.format(second, "")) for i in range(8)] + [(10 + i, "http://two.org/", first.format("tag", second)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert set(got.values()) == {second.strip()}
+
+
 def test_articles_of_the_table(spark):
     from html import unescape
 
