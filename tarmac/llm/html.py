@@ -34,8 +34,9 @@ SALTS = 32
 
 # Elements by role, and class words of what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
-SKIPPED = frozenset("nav footer aside form button dialog menu fieldset".split())
+RAW = frozenset("script style textarea title noscript iframe".split())
+FOREIGN = frozenset("svg math".split())
+SKIPPED = frozenset("nav footer aside form button dialog menu fieldset template svg select".split())
 CONTAINERS = frozenset("article main section div td body center".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
@@ -52,6 +53,13 @@ SKIPPED_WORDS = frozenset(
     "notices cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login share sharing social "
     "related recommended widget toolbar pagination pager copyright legal search".split()
 )
+# With a skipped word and nothing else these make a whole name: "ad-box".
+PLACE_WORDS = frozenset(
+    "area bar block bottom box button buttons col column container desktop group holder icon icons inner item items js left "
+    "link links list mobile module outer panel primary region right row secondary section site slot sticky strip top unit "
+    "wrap wrapper zone".split()
+)
+LINKED = 0.5  # of the text of an element with a skipped word in its name: with more in links it is skipped
 LAYOUT_WORDS = frozenset("has with no without is layout template page".split())  # "has-sidebar" is not a sidebar
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
@@ -64,42 +72,52 @@ _DIGITS = re.compile(r"[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "skip", "score", "total", "title", "seen", "holder", "parent")
+    __slots__ = ("tag", "path", "skip", "score", "total", "title", "seen", "holder", "parent", "doubt", "length", "linked", "foreign")
 
-    def __init__(self, tag, path, skip, parent):
+    def __init__(self, tag, path, skip, parent, doubt=False):
         self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
         self.score = self.total = self.title = 0.0
+        self.doubt = self if doubt else (parent.doubt if parent else None)  # innermost element of doubtful name
+        self.length = self.linked = 0
+        self.foreign = tag in FOREIGN or bool(parent and parent.foreign)
         self.seen = False
         self.holder = self if tag in CONTAINERS else (parent.holder if parent else None)
 
 
-def _skipped_class(value: str) -> bool:
+def _skipped_class(value: str) -> tuple[bool, bool]:
+    """Whether a class or id is, as a whole name, of what is not the article; whether it begins or ends like one."""
+    whole = part = False
     for name in value.lower().split():
-        words = re.split(r"[-_]+", name)
-        if words[0] in LAYOUT_WORDS or words[-1] in LAYOUT_WORDS:
+        words = [w for w in re.split(r"[-_]+", _DIGITS.sub("", name)) if w]
+        if not words or words[0] in LAYOUT_WORDS or words[-1] in LAYOUT_WORDS:
             continue
-        if name in SKIPPED_WORDS or words[0] in SKIPPED_WORDS or words[-1] in SKIPPED_WORDS:
-            return True
-    return False
+        part = part or words[0] in SKIPPED_WORDS or words[-1] in SKIPPED_WORDS
+        known = [w in SKIPPED_WORDS for w in words]
+        whole = whole or any(known) and all(k or w in PLACE_WORDS for k, w in zip(known, words))
+    return whole, part
 
 
 def _open(tag: str, attributes: str, parent: _Element | None) -> _Element:
-    classes, skip = "", tag in SKIPPED or (tag == "header" and not _inside_article(parent))
+    classes, doubt, skip = "", False, tag in SKIPPED or (tag == "header" and not _inside_article(parent))
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), unescape(value.strip("\"'"))
         if name == "class":
             classes = ".".join(sorted(set(_DIGITS.sub("#", value).split())))
-            skip = skip or tag not in ("article", "main", "body", "html") and _skipped_class(value)
+            if tag not in ("article", "main", "body", "html"):
+                whole, part = _skipped_class(value)
+                skip, doubt = skip or whole, doubt or part
             skip = skip or tag == "article" and value.lower().startswith(("comment", "reply", "ad-", "promo"))
         elif name == "id":
-            skip = skip or tag not in ("article", "main", "body", "html") and _skipped_class(value)
+            if tag not in ("article", "main", "body", "html"):
+                whole, part = _skipped_class(value)
+                skip, doubt = skip or whole, doubt or part
         elif name == "role":
             skip = skip or value.lower() in SKIPPED_ROLES
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             skip = True
     label = f"{tag}.{classes}" if classes else tag
     path = f"{parent.path}/{label}" if parent else label
-    return _Element(tag, path, skip or bool(parent and parent.skip), parent)
+    return _Element(tag, path, skip or bool(parent and parent.skip), parent, doubt)
 
 
 def _inside_article(element: _Element | None) -> bool:
@@ -140,6 +158,8 @@ def pieces(html: str) -> Iterator[tuple[_Element, str, bool]]:
             continue
         if tag in VOID:
             continue
+        if m[3].endswith("/") and (tag in FOREIGN or stack[-1].foreign):
+            continue
         if tag in RAW:
             if not m[3].endswith("/"):
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -163,6 +183,37 @@ def pieces(html: str) -> Iterator[tuple[_Element, str, bool]]:
         stack.append(_open(tag, m[3], stack[-1]))
 
 
+def _shown(html: str) -> list[tuple[_Element, str, bool, bool]]:
+    """Pieces that are not skipped, and whether they lie in a link.
+
+    An element that only begins or ends like a skipped name goes if most of its text is links.
+    """
+    found = []
+    for element, text, fresh in pieces(html):
+        if element.skip:
+            continue
+        e, n = element, len(text.strip())
+        while e and e.tag in INLINE and e.tag != "a":
+            e = e.parent
+        linked = bool(e) and e.tag == "a"
+        found.append((element, text, fresh, linked))
+        d = element.doubt
+        while d:
+            d.length += n
+            d.linked += n * linked
+            d = d.parent.doubt
+
+    def kept(element: _Element) -> bool:
+        d = element.doubt
+        while d:
+            if d.linked > LINKED * d.length:
+                return False
+            d = d.parent.doubt
+        return True
+
+    return [f for f in found if kept(f[0])]
+
+
 def _container(best: _Element, order: list[_Element]) -> _Element:
     """The article or main element around the best container, or the lowest element with nearly all text and every h1."""
     e = best
@@ -184,13 +235,12 @@ def best_path(html: str) -> str:
     """Path of the page's own container; "" (the whole page) where no container has text."""
     holders: dict[int, _Element] = {}
     order: list[_Element] = []  # elements with text and those around them, the outer first
-    for element, text, _ in pieces(html):
-        if element.skip:
-            continue
-        weight, e = float(len(text.strip())), element
+    for element, text, _, linked in _shown(html):
+        weight = 0.0 if linked else float(len(text.strip()))
+        if element.doubt:
+            weight /= 2  # it may be no part of the article
+        e = element
         while e and e.tag in INLINE:
-            if e.tag == "a":
-                weight = 0.0
             e = e.parent
         element.total += weight
         if e and e.tag == "h1":
@@ -221,9 +271,7 @@ def extract(html: str, paths: list[str]) -> str:
     """
     found: dict[str, list[str]] = {}
     wanted, total = set(paths), 0
-    for element, text, fresh in pieces(html):
-        if element.skip:
-            continue
+    for element, text, fresh, _ in _shown(html):
         total += len(text.strip())
         e = element
         while e is not None:

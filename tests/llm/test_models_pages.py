@@ -145,6 +145,17 @@ def test_hosts_with_two_templates(spark):
     assert set(got.values()) == {second.strip()}
 
 
+def test_names_that_only_begin_like_a_skipped_one():
+    page = (
+        "<body><article><p>Opening words.</p><section class='social-impact'><p>Impact on people.</p></section><div id='legal-analysis'>"
+        "<p>Of the law.</p></div><div class='related-reading'><a href='/'>Read this</a></div><div class='ad-box'>Buy</div>"
+        "<p>Let <math><mi>x</mi><mspace/></math> be.</p><object><p>Object text.</p></object>"
+        "<div><svg><text>drawn</div><p>After svg.</p><div><select><option>pick</div><p>After <svg/>select.</p></article></body>"
+    )
+    got = html.extract(page, [html.best_path(page)])
+    assert got == "Opening words. Impact on people. Of the law. Let x be. Object text. After svg. After select."
+
+
 def test_articles_of_the_table(spark):
     from html import unescape
 
