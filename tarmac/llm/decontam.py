@@ -1,12 +1,14 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are runs of letters and digits, A-Z folded. Documents and benchmark items are joined
+Tokens are runs of letters and digits, A-Z folded, and single characters in scripts without
+spaces. Documents and benchmark items are joined
 on seeds, the hashes of ``SEED`` consecutive tokens. For each joined pair the running
 Karp-Rabin tiling starts: seeds on one diagonal grow to maximal matches, which are verified
 token by token; the longest match whose tokens are all free becomes a tile, matches that it
 cuts into go back with what is left of them, and so on until none has ``SEED`` tokens. Tiles
 may lie in any order, so passages that were reordered are caught too. A document leaks an
-item when tiles cover at least ``COVERAGE`` of the item's tokens.
+item when tiles cover at least ``COVERAGE`` of the item's tokens. An item with fewer than
+``SEED`` tokens has its whole token sequence for a seed, and leaks where that is found.
 
 The benchmark is read in blocks of bounded size; each is broadcast and meets every document
 in Arrow tasks, so the documents are never shuffled and no document is compared with another.
@@ -41,23 +43,27 @@ class Index:
     item: np.ndarray
     at: np.ndarray
     maybe: np.ndarray  # by the top bits of a hash: some seed has them
+    short: dict[int, dict[int, list[int]]]  # items of fewer than SEED tokens: by number of tokens and hash of all
 
 
 _TOP = 20
 
 
 def _tokens(chunk: textnum.Chunk):
-    starts, ends, first = chunk.words(textnum.PUNCTUATION)
+    starts, ends, first = chunk.words(textnum.PUNCTUATION, apart=True)
     return textnum.PrefixHash(textnum.LOWER[chunk.data]).of(starts, ends), first
 
 
 def build_index(items: list[tuple]) -> Index:
-    """From (item_id, text) rows; items with fewer than ``SEED`` tokens have no seed."""
-    ids, tokens, hashes, owner, place = [], [], [], [], []
+    """From (item_id, text) rows."""
+    ids, tokens, hashes, owner, place, short = [], [], [], [], [], {}
     for item_id, text in items:
         data = np.frombuffer((text or "").encode(), np.uint8)
         own, _ = _tokens(textnum.Chunk(data, np.array([0, len(data)]), 0))
         seeds = textnum.PrefixHash(own).windows(SEED)
+        if 0 < len(own) < SEED:
+            whole = int(textnum.PrefixHash(own).windows(len(own))[0])
+            short.setdefault(len(own), {}).setdefault(whole, []).append(len(ids))
         hashes.append(seeds)
         owner.append(np.full(len(seeds), len(ids)))
         place.append(np.arange(len(seeds)))
@@ -69,7 +75,7 @@ def build_index(items: list[tuple]) -> Index:
     seeds, begin = np.unique(hashes[order], return_index=True)
     maybe = np.zeros(1 << _TOP, bool)
     maybe[seeds >> np.uint64(64 - _TOP)] = True
-    return Index(ids, tokens, seeds, np.append(begin, len(order)), owner[order], place[order], maybe)
+    return Index(ids, tokens, seeds, np.append(begin, len(order)), owner[order], place[order], maybe, short)
 
 
 def tile(item: np.ndarray, doc: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int, int]]:
@@ -106,9 +112,25 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b)) for a, b in zip(edge[::2], edge[1::2]) if b - a >= SEED]
 
 
+def _short_leaks(tokens: np.ndarray, first: np.ndarray, index: Index) -> Iterator[tuple]:
+    """As ``chunk_leaks``, the items of fewer than ``SEED`` tokens that a row holds whole."""
+    for n, items in index.short.items():
+        hashes = textnum.PrefixHash(tokens).windows(n)
+        at = np.flatnonzero(np.isin(hashes, np.fromiter(items, np.uint64, len(items))))
+        row = np.searchsorted(first, at, "right") - 1
+        own = at + n <= first[row + 1]
+        seen = set()
+        for a, r in zip(at[own].tolist(), row[own].tolist()):
+            for k in items[int(hashes[a])]:
+                if (r, k) not in seen and (tokens[a : a + n] == index.tokens[k]).all():
+                    seen.add((r, k))
+                    yield r, k, 1, n
+
+
 def chunk_leaks(chunk: textnum.Chunk, index: Index, coverage: float) -> Iterator[tuple]:
     """(row, item, tiles, tiled tokens) of the pairs that reach the coverage."""
     tokens, first = _tokens(chunk)
+    yield from _short_leaks(tokens, first, index)
     if not len(index.seeds) or len(tokens) < SEED:
         return
     hashes = textnum.PrefixHash(tokens).windows(SEED)
@@ -153,7 +175,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, blo
     """One row per leaking row and leaked item: doc_id, item_id, n_tiles, n_tokens (tiled), item_tokens, coverage.
 
     Clean documents have no row. Null and empty texts and items leak nothing, items with
-    fewer than five tokens are too short to be recognised. Repeated rows and repeated items
+    fewer than five tokens are leaked by documents that hold them whole. Repeated rows and repeated items
     each count. Extra columns are ignored.
     """
     out = None

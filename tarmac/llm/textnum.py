@@ -76,6 +76,22 @@ class PrefixHash:
         return mix((self.prefix[size:] - self.prefix[:n]) * _power("down", n))
 
 
+def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and bytes of each character of a script without spaces, first byte of their punctuation marks, in UTF-8.
+
+    Thai, Lao, Myanmar, Khmer, Chinese and Japanese characters, full-width forms among them.
+    """
+    at = np.flatnonzero(data >= 0xE0)
+    a, b, c = data[at], data[at + 1], data[at + 2]
+    within = lambda x, lo, hi: (x >= lo) & (x <= hi)
+    three = (a == 0xE0) & within(b, 0xB8, 0xBB) | (a == 0xE1) & (within(b, 0x80, 0x81) | within(b, 0x9E, 0x9F))
+    three |= (a == 0xE2) & (b >= 0xBA) | within(a, 0xE3, 0xE9) | (a == 0xEF) & (within(b, 0xA4, 0xAB) | within(b, 0xBC, 0xBD))
+    four = (a == 0xF0) & within(b, 0xA0, 0xB3)
+    mark = (a == 0xE3) & (b == 0x80) | (a == 0xEF) & (b == 0xBC) & (within(c, 0x81, 0x8F) | within(c, 0x9A, 0xA0))
+    lead = three | four
+    return at[lead], np.where(four[lead], 4, 3), at[mark]
+
+
 class Chunk:
     """Whole texts of consecutive rows: ``data`` bytes, row ``i`` at ``offsets[i]:offsets[i+1]``."""
 
@@ -85,15 +101,21 @@ class Chunk:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
-    def words(self, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, separator: np.ndarray = SEPARATOR, apart: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end of each word, and for each row the index of its first word (one more at the end).
 
-        ``separator`` says of each byte value whether it separates words.
+        ``separator`` says of each byte value whether it separates words. With ``apart`` each
+        character of a script without spaces is a word, and its punctuation separates.
         """
         inside = ~separator[self.data]
         n = len(inside)
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
+        if apart:
+            lead, size, mark = unspaced(self.data)
+            edge[lead] = edge[lead + size] = True
+            for k in range(3):
+                inside[mark + k] = False
         before = np.zeros(n + 1, bool)
         before[1:] = inside
         after = np.zeros(n + 1, bool)

@@ -363,6 +363,19 @@ def test_reordered_leaks_are_found(spark, documents, odd, clashing):
     assert decontam.leaks(documents([]), bench).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark, documents):
+    said = "今日は天気がいいから散歩しましょう"
+    items = [(1, "Short, item"), (2, "one"), (3, said), (4, "ประเทศไทยรวมเลือด"), (5, "𠀀𠀁𠀂"), (6, "item one")]
+    rows = [
+        (1, "a short item here"), (2, "short"), (3, "item here is short"), (4, "昨日、彼は" + said + "と言った。"), (5, said[:4]), (6, "วันนี้ประเทศไทยรวมเลือดเนื้อ"),
+        (7, "前𠀀𠀁𠀂後"), (8, None), (9, "ONE item"), (10, "one, one one"), (11, "今日は、天気がいいから。"),
+    ]
+    docs, bench = documents(rows), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["coverage"] == 1.0) for r in decontam.leaks(docs, bench).collect())
+    assert got == [(1, 1, True), (4, 3, True), (6, 4, True), (7, 5, True), (9, 2, True), (10, 2, True), (11, 3, False)]
+    assert sorted(r["doc_id"] for r in decontam.clean(docs, bench).collect()) == [2, 3, 5, 8]
+
+
 def test_pipeline_stages_work_on_what_is_kept(spark, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "personal_data", "source_mix",
