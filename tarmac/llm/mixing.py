@@ -29,6 +29,7 @@ SEED = 20240601
 SHARD_ROWS = 2000
 BLOCKS = 1 << 20  # blocks of the whole mix, about
 LARGEST_BLOCK = 4096  # words
+LEAST_BLOCKS = 16  # of the smallest source that has a target, about
 
 
 def _in_order() -> list[Column]:
@@ -99,7 +100,9 @@ def mix(docs: DataFrame) -> DataFrame:
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")))
     every = W.partitionBy()
     total = F.sum("source_size").over(every)
-    block = F.greatest(F.lit(1), F.least(F.lit(LARGEST_BLOCK), F.floor(total / BLOCKS))).cast("long")
+    smallest = F.min(F.when(F.col("target") > 0, F.col("target"))).over(every)
+    most = F.least(F.lit(LARGEST_BLOCK), F.floor(total / BLOCKS), F.floor(smallest / LEAST_BLOCKS))
+    block = F.greatest(F.lit(1), most).cast("long")
     sources = sources.withColumn("_block", block).withColumn("_all", F.round(total / F.col("_block")).cast("long"))
     sources = sources.withColumn("_reach", F.least(F.lit(64), F.count("*").over(every)).cast("long"))
     sources = sainte_lague(sources, [], "target", F.col("_all"), F.col("_block"), ["_rank"], F.col("_reach"))

@@ -300,6 +300,15 @@ def test_mix(documents, odd, clashing, monkeypatch, shard):
     assert mixing.mix(documents([])).count() == 0
 
 
+def test_small_sources_are_mixed_whatever_the_size(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 8)
+    rows = [(i, "w " * 100, "a") for i in range(30)] + [(100, "w " * 30, "b"), (101, "", "c")]
+    got = mixing.mix(documents(rows)).collect()
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= own[0]["target"] / 16
+
+
 def test_sainte_lague_is_highest_quotients(spark):
     r = random.Random(9)
     for _ in range(4):
