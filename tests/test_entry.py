@@ -5,7 +5,7 @@ import re
 
 import duckdb
 import pytest
-from conftest import TESTDATA_SMALL
+from paths import TESTDATA_SMALL
 
 import __spark_entry__ as entry
 from tarmac.plans import catalog

@@ -10,7 +10,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import TESTDATA_SMALL
+from paths import TESTDATA_SMALL
 from flightlines import flight
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

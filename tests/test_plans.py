@@ -1,7 +1,7 @@
 """Physical-plan properties the design relies on at scale."""
 
 import pytest
-from conftest import TESTDATA_SMALL
+from paths import TESTDATA_SMALL
 
 from tarmac.operators import marts, quality, reports, staging
 from tarmac.plans import catalog
