@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontam, html, mixing, pii, quality, rules, ship, simhash, substring, suffix, toxicity
+from tarmac.llm import decontam, html, mixing, pii, prefix_trie, quality, rules, ship, simhash, substring, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_later_copies(_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontam,
         op9_simhash,
         op10_suffix,
+        op13_prefix_trie,
     )
 }
 
@@ -118,5 +123,47 @@ removed AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spa
 SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+""",
+    "op13_prefix_trie": r"""
+WITH own AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r,
+           coalesce(role, '') AS role, coalesce(text, '') AS txt
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+conv AS (
+    SELECT c, c - c % 20 AS base, xor(4294967295, list_reduce(
+               list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda a, x: list_reduce(list_concat([xor(a, x)], CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda b, i: xor(b >> 1, 3988292384 * (b & 1))))) % 4 AS h
+    FROM (SELECT DISTINCT c FROM own)
+),
+turn AS (
+    SELECT conv.c, row_number() OVER (PARTITION BY conv.c ORDER BY own.c <> base OR conv.c = base AND r > h, r) AS d, role, txt
+    FROM conv JOIN own ON own.c = base AND r <= h OR own.c = conv.c AND r > h
+),
+path AS (
+    SELECT c, d, sum(1) OVER (PARTITION BY c) AS n, len(regexp_extract_all(txt, '[^\x20\x09-\x0D]+')) AS w,
+           string_agg(sha256(strlen(role) || ':' || role || txt), '') OVER (PARTITION BY c ORDER BY d) AS k
+    FROM turn
+    UNION ALL
+    SELECT c, 0, (SELECT count(*) FROM turn WHERE turn.c = conv.c), 0, '' FROM conv
+),
+node AS (
+    SELECT d, k, min(c) AS rep, count(*) AS n_convs, any_value(w) AS w, max(n) = d AS childless,
+           sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends
+    FROM path GROUP BY d, k
+),
+place AS (SELECT path.c, path.d, rep FROM path JOIN node USING (d, k)),
+below AS (
+    SELECT p.rep, p.d, sum(CAST(childless AS BIGINT)) AS n_leaves, sum((n_convs - 1) * w) AS saved
+    FROM node JOIN place p ON p.c = node.rep AND p.d <= node.d GROUP BY p.rep, p.d
+),
+child AS (
+    SELECT p.rep, p.d, count(*) AS n FROM node JOIN place p ON p.c = node.rep AND p.d = node.d - 1 GROUP BY p.rep, p.d
+)
+SELECT node.rep AS conv_id, CAST(node.d AS BIGINT) AS depth, up.rep AS parent_conv_id, n_convs, coalesce(child.n, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM node JOIN below ON below.rep = node.rep AND below.d = node.d
+LEFT JOIN child ON child.rep = node.rep AND child.d = node.d
+LEFT JOIN place up ON up.c = node.rep AND up.d = node.d - 1
 """,
 }
