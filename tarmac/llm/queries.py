@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontam, html, mixing, pii, prefix_trie, quality, rules, ship, simhash, spelling, substring, suffix, toxicity
+from tarmac.llm import decontam, html, mixing, pii, prefix_trie, quality, rules, sentencepiece_bpe, ship, simhash, spelling, substring, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,12 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_later_copies(_table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentencepiece_bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontam,
         op9_simhash,
         op10_suffix,
+        op11_sentencepiece,
         op12_spelling,
         op13_prefix_trie,
     )
