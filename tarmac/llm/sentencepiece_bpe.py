@@ -71,7 +71,7 @@ class Encoder:
         self.ids = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.kinds[i] == NORMAL}
         #: Byte pieces come in the order of their values.
         self.first_byte = vocabulary.kinds.index(BYTE)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole = [False] * len(vocabulary.pieces)
         self.length = [len(p) for p in vocabulary.pieces]
         for piece, i in self.ids.items():
@@ -101,25 +101,29 @@ class Encoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """The two pieces, encoded together, stay these two."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
-            found = self.pairs[left, right] = self.merge(a + b) == [a, b]
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
+        found = self.pairs[left * len(self.length) + right] = self.merge(a + b) == [a, b]
         return found
 
     def encode_part(self, text: str) -> list[int]:
         """Ids of a part, from its prefix table."""
         n = len(text)
         last = np.full(n + 1, -1, np.int32) if n > 1 << 16 else [-1] * (n + 1)  # -1: a character outside the vocabulary
-        compatible, length = self.compatible, self.length
+        pairs, length, size = self.pairs, self.length, len(self.length)
         for end, i in self.automaton.iter(text):
             end += 1
+            if last[end] >= 0:  # the token is unique
+                continue
             start = end - length[i]
             # Before the start lies the text's begin or an outside character, which merges with nothing, or a token.
-            if start == 0 or last[start] < 0 or compatible(int(last[start]), i):
-                last[end] = i
+            left = int(last[start]) if start else -1
+            if left >= 0:
+                fits = pairs.get(left * size + i)
+                if not (self.compatible(left, i) if fits is None else fits):
+                    continue
+            last[end] = i
         out: list[int] = []
         while n:
             i = int(last[n])
