@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tarmac.llm import textnum
 
@@ -238,7 +239,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", end: bool = True, co
                 rows = batch.slice(first, len(texts))
                 yield pa.RecordBatch.from_arrays([*rows.columns, ids], [*rows.schema.names, column])
 
-    schema = docs.schema.add(column, "array<int>")
+    schema = StructType([*docs.schema.fields, StructField(column, ArrayType(IntegerType()))])
     return docs.mapInArrow(run, schema)
 
 
@@ -259,7 +260,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
                 texts = [encoder.decode(i or []) for i in part.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, column])
 
-    return rows.mapInArrow(run, rows.schema.add(column, "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(column, StringType())]))
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
