@@ -199,16 +199,15 @@ def _characters(data: bytes) -> str:
         return "".join(out)
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: list[tuple[Vocabulary, Encoder]] = []
 
 
 def _encoder(shared) -> Encoder:
-    """One for each Python worker and vocabulary."""
-    have = _encoders.get(shared.id)
-    if have is None:
-        _encoders.clear()
-        have = _encoders[shared.id] = Encoder(shared.value)
-    return have
+    """One for each Python worker and vocabulary; the last one used is kept."""
+    vocabulary = shared.value
+    if not _encoders or _encoders[0][0] != vocabulary:
+        _encoders[:] = [(vocabulary, Encoder(vocabulary))]
+    return _encoders[0][1]
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
