@@ -15,8 +15,10 @@ of a task's texts repeat, and are kept. A vocabulary that has such a piece is en
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ SPACE = "▁"  # stands for a blank inside pieces
 NORMAL, BYTE, CONTROL, UNKNOWN = "normal", "byte", "control", "unknown"
 UNKNOWN_TEXT = " ⁇ "  # what an unknown id decodes to
 
-KEPT_PARTS = 200_000  # parts of texts that a task keeps, each of ``KEPT_LENGTH`` code points at most
+KEPT_PARTS = 400_000  # parts of texts that a task keeps, each of ``KEPT_LENGTH`` code points at most
 KEPT_LENGTH = 48
 KEPT_PAIRS = 2_000_000
 
@@ -72,7 +74,8 @@ class Encoder:
         self.ids = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.kinds[i] == NORMAL}
         #: Byte pieces come in the order of their values.
         self.first_byte = vocabulary.kinds.index(BYTE)
-        self.pairs: dict[int, bool] = {}
+        self.pairs: list[dict[int, bool]] = [{} for _ in vocabulary.pieces]
+        self.n_pairs = 0
         self.whole = [False] * len(vocabulary.pieces)
         self.length = [len(p) for p in vocabulary.pieces]
         for piece, i in self.ids.items():
@@ -102,32 +105,38 @@ class Encoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """The two pieces, encoded together, stay these two."""
-        if len(self.pairs) >= KEPT_PAIRS:
-            self.pairs.clear()
+        if self.n_pairs >= KEPT_PAIRS:
+            self.pairs = [{} for _ in self.length]
+            self.n_pairs = 0
         a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
-        found = self.pairs[left * len(self.length) + right] = self.merge(a + b) == [a, b]
+        found = self.pairs[left][right] = self.merge(a + b) == [a, b]
+        self.n_pairs += 1
         return found
 
     def encode_part(self, text: str) -> list[int]:
         """Ids of a part, from its prefix table."""
         n = len(text)
-        last = np.full(n + 1, -1, np.int32) if n > 1 << 16 else [-1] * (n + 1)  # -1: a character outside the vocabulary
-        pairs, length, size = self.pairs, self.length, len(self.length)
+        # -1: a character outside the vocabulary
+        last = array("i", [-1]) * (n + 1) if n > 1 << 16 else [-1] * (n + 1)
+        pairs, length = self.pairs, self.length
         for end, i in self.automaton.iter(text):
             end += 1
             if last[end] >= 0:  # the token is unique
                 continue
             start = end - length[i]
             # Before the start lies the text's begin or an outside character, which merges with nothing, or a token.
-            left = int(last[start]) if start else -1
+            left = last[start]
             if left >= 0:
-                fits = pairs.get(left * size + i)
-                if not (self.compatible(left, i) if fits is None else fits):
+                fits = pairs[left].get(i)
+                if fits is None:
+                    fits = self.compatible(left, i)
+                    pairs = self.pairs
+                if not fits:
                     continue
             last[end] = i
         out: list[int] = []
         while n:
-            i = int(last[n])
+            i = last[n]
             if i >= 0:
                 out.append(i)
                 n -= length[i]
@@ -141,18 +150,21 @@ class Encoder:
         """Ids of a text as the library gives them, without control ids. An empty text has none."""
         if not text:
             return []
-        out: list[int] = []
-        kept = self.kept
-        for part in self.part.findall(SPACE + text.replace(" ", SPACE)):
-            ids = kept.get(part)
-            if ids is None:
-                ids = self.encode_part(part)
-                if len(part) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_PARTS:
-                        kept.clear()
-                    kept[part] = tuple(ids)
-            out += ids
-        return out
+        parts = self.part.findall(SPACE + text.replace(" ", SPACE))
+        found = list(map(self.kept.get, parts))
+        if None in found:
+            for k, ids in enumerate(found):
+                if ids is None:
+                    found[k] = self.kept.get(parts[k]) or self._keep(parts[k])
+        return list(chain.from_iterable(found))
+
+    def _keep(self, part: str) -> tuple[int, ...]:
+        ids = tuple(self.encode_part(part))
+        if len(part) <= KEPT_LENGTH:
+            if len(self.kept) >= KEPT_PARTS:
+                self.kept.clear()
+            self.kept[part] = ids
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: control ids give nothing, runs of byte ids are read as UTF-8, where
@@ -199,6 +211,45 @@ def _characters(data: bytes) -> str:
         return "".join(out)
 
 
+class Decoder:
+    """Decodes the id lists of a batch together: pieces as bytes, one after another."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+        vocabulary = encoder.vocabulary
+        texts = {NORMAL: lambda p, i: p.replace(SPACE, " ").encode(), UNKNOWN: lambda p, i: UNKNOWN_TEXT.encode(), CONTROL: lambda p, i: b"", BYTE: lambda p, i: bytes([i - encoder.first_byte])}
+        pieces = [texts[k](p, i) for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds))]
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+        self.blank = np.array([k == NORMAL and p.startswith(SPACE) for p, k in zip(vocabulary.pieces, vocabulary.kinds)])
+        self.control = np.array([k == CONTROL for k in vocabulary.kinds])
+
+    def decode(self, flat: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts of ``flat[offsets[k]:offsets[k + 1]]``."""
+        size = self.size[flat]
+        end = np.cumsum(size)
+        data = self.data[np.repeat(self.start[flat] - end + size, size) + np.arange(end[-1] if len(end) else 0)].tobytes()
+        at = np.concatenate(([0], end))[offsets]
+        shown = np.concatenate(([0], np.cumsum(size > 0)))  # the first id that gives text may lose its blank
+        place = np.searchsorted(shown, shown[offsets[:-1]], "right") - 1
+        # A control id inside a text parts the byte ids around it; the end id does not.
+        inside = np.concatenate(([0], np.cumsum(self.control[flat])))
+        parted = (inside[np.maximum(offsets[1:] - 1, offsets[:-1])] - inside[offsets[:-1]]).tolist()
+        out = []
+        for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+            if parted[k]:
+                out.append(self.encoder.decode(flat[offsets[k] : offsets[k + 1]].tolist()))
+                continue
+            if a < b and self.blank[flat[place[k]]]:
+                a += 1
+            try:  # pieces are whole characters, so bytes that are wrong together are wrong in a run of byte ids
+                out.append(data[a:b].decode("utf-8"))
+            except UnicodeDecodeError:
+                out.append(self.encoder.decode(flat[offsets[k] : offsets[k + 1]].tolist()))
+        return out
+
+
 _encoders: list[tuple[Vocabulary, Encoder]] = []
 
 
@@ -252,12 +303,18 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
     place = rows.columns.index(ids)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared)
+        decoder = Decoder(_encoder(shared))
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                texts = [encoder.decode(i or []) for i in part.column(place).to_pylist()]
+            lists = batch.column(place).fill_null([]) if batch.column(place).null_count else batch.column(place)
+            offsets = lists.offsets.to_numpy()
+            row = 0
+            while row < batch.num_rows:  # runs of about a million ids
+                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + (1 << 20), "right")) - 1)
+                at = offsets[row : stop + 1]
+                texts = decoder.decode(lists.values[at[0] : at[-1]].to_numpy(), at - at[0])
+                part = batch.slice(row, stop - row)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, column])
+                row = stop
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(column, StringType())]))
 
