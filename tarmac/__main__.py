@@ -48,6 +48,9 @@ def main(argv: list[str] | None = None) -> int:
             dedupe_keys=args.dedupe,
         )
         print(f"{result.raw_rows} raw, {result.clean_rows} clean, {result.rejected_rows} rejected rows; months {result.months}")
+        print(f"{result.dropped_rows} dropped rows; version {result.version}")
+        result.table("clean").printSchema()
+        result.preview().show(truncate=False)
         result.checks.show(50, truncate=False)
         failed = result.failed_checks().count()
     if args.database:

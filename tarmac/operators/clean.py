@@ -68,14 +68,19 @@ def rename_columns(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(src).alias(dst) for src, dst in RAW_TO_CLEAN.items()])
 
 
-def cast_types(renamed: DataFrame) -> DataFrame:
-    """Parse the text columns: date, int flight number, ten float32 columns."""
+def typed_columns() -> list[Column]:
+    """The parsers over the text columns: date, int flight number, ten float32 columns."""
     casts: dict[str, Column] = {
         "fl_date": parse_date("fl_date"),
         "mkt_carrier_fl_num": parse_int("mkt_carrier_fl_num"),
         **{c: parse_float(c) for c in S.FLOAT_COLUMNS},
     }
-    return renamed.select(*[casts.get(c, F.col(c)).alias(c) for c in TYPED_COLUMNS])
+    return [casts.get(c, F.col(c)).alias(c) for c in TYPED_COLUMNS]
+
+
+def cast_types(renamed: DataFrame) -> DataFrame:
+    """Parse the text columns (:func:`typed_columns`)."""
+    return renamed.select(*typed_columns())
 
 
 def require_fields(typed: DataFrame, fields: list[str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac import schema as S
@@ -99,16 +99,36 @@ DEDUPE_ORDER = [
 ]
 
 
+def _whole_order(df: DataFrame, key: str, order: list[str] | None) -> list[str]:
+    """The given order columns, then every other column: equal to the end, two rows are the same row."""
+    order = order or [c for c in DEDUPE_ORDER if c in df.columns]
+    return order + [c for c in df.columns if c != key and c not in order]
+
+
 def dedupe(df: DataFrame, key: str = "flight_id", order: list[str] | None = None) -> DataFrame:
-    """One row per ``key``: the least row by ``order`` (ascending, nulls first).
+    """One row per ``key``: the least row by ``order`` (ascending, nulls first). A null key is a key.
 
-    Repeatable, unlike ``dropDuplicates``: the same input keeps the same row.
-    Written as a grouped ``min`` of a struct, so each map task collapses its
-    copies of a key before the shuffle; a key holding a third of all rows
-    ships one row per task, not a third of the table to one task.
+    Repeatable, unlike ``dropDuplicates``: the same input keeps the same row. Written as the
+    first of a ranking, which Spark cuts to one row per key in every map task before the
+    shuffle: a key holding a third of all rows ships one row per task, and rows are sorted,
+    never aggregated.
     """
-    order = order or [c for c in DEDUPE_ORDER if c in df.columns]
-    rest = [c for c in df.columns if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
-    kept = df.groupBy(key).agg(F.min(packed).alias("_row"))
-    return kept.select(key, *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    ranked = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in _whole_order(df, key, order)])
+    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+
+
+def dedupe_stored(df: DataFrame, key: str = "flight_id", order: list[str] | None = None) -> DataFrame:
+    """:func:`dedupe` for a stored table in which repeated keys are rare: whole rows are fetched late.
+
+    A first pass reads the key's columns alone and shuffles eight bytes for each distinct key,
+    to find the hashes that occur twice. Rows without such a hash are passed on where they are;
+    only the others are ranked. Two keys that share a hash are ranked apart, so the result is
+    exact. The joins carry no hint: adaptive execution broadcasts the repeated hashes where they
+    are measured to be few and shuffles where they are not.
+    """
+    mark = F.xxhash64(key)
+    repeated = df.groupBy(mark.alias("_mark")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_mark")
+    marked = df.withColumn("_mark", mark)
+    alone = marked.join(repeated, "_mark", "left_anti").select(*df.columns)
+    again = marked.join(repeated, "_mark", "left_semi").select(*df.columns)
+    return alone.unionByName(dedupe(again, key, order))

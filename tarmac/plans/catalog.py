@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac import schema as S
+from tarmac.functions import previous_month_of
 from tarmac.operators import clean as clean_ops
-from tarmac.operators import marts, quality, reports, staging
-from tarmac.operators import deliveries
+from tarmac.operators import deliveries, intake, marts, quality, reports, staging
 from tarmac.plans.models import Models, from_test_data
 from tarmac.plans.monthly import previous_month_rows
 from tarmac.sources.parquet import conform
@@ -99,6 +99,18 @@ def row_audit(spark, sf_dir):
     return clean_ops.audit_counts(load_flights_raw(spark, sf_dir))
 
 
+def rejected_reasons(spark, sf_dir):
+    """Why rows are dropped and cells emptied, where one month is expected."""
+    expected = [previous_month_of(RUN_DATE)]
+    return intake.reason_counts(intake.tag(load_flights_raw(spark, sf_dir), expected))
+
+
+def row_fates(spark, sf_dir):
+    """Every raw row under its fate; the three add up to the raw rows."""
+    expected = [previous_month_of(RUN_DATE)]
+    return intake.tag(load_flights_raw(spark, sf_dir), expected).groupBy("fate").agg(F.count("*").alias("n_rows"))
+
+
 def cancelled_flights(spark, sf_dir):
     return clean_ops.cancelled_by_code(_m(spark, sf_dir).clean)
 
@@ -256,6 +268,8 @@ QUERIES: dict[str, Query] = {
     "merge_deliveries": merge_deliveries,
     "conform_staging": conform_staging,
     "row_audit": row_audit,
+    "rejected_reasons": rejected_reasons,
+    "row_fates": row_fates,
     "cancelled_flights": cancelled_flights,
     "previous_month": previous_month,
     "stg_flights": stg_flights,

@@ -1,30 +1,35 @@
 """``run_month``: one delivery of raw files to reports and checks.
 
-Stages and their tables under ``root``:
+Stages and their tables, each a table of one version (:mod:`tarmac.sources.snapshots`):
 
-    raw CSV / zip ──clean──▶ clean/delivery=/year=/month=    (the delivery replaced)
-                        └──▶ rejected/delivery=              (rows of unexpected months)
-    affected months ──stage, join──▶ fct_flights/flight_year=/flight_month=
+    raw CSV / zip ──tag──▶ intake/fate=/delivery=/year=/month=   (every raw row, one pass)
+    accepted rows of affected months ──stage, join──▶ fct_flights/flight_year=/flight_month=
     fact months ──aggregate──▶ agg_carrier_month/flight_year=/flight_month=
-    all partials ──▶ rpt_delay_by_carrier, rpt_delay_trend   (small, replaced)
+    all partials ──▶ rpt_delay_by_carrier, rpt_delay_trend       (small, replaced)
     checks ──▶ dq_results; counts ──▶ deliveries/delivery=
 
+The raw source is scanned once: every row is written under its fate, and all counts, the
+schema and the preview come from the written files. ``clean``, ``rejected`` (unexpected
+months) and ``dropped`` are the intake's three fates.
+
 The unit of replacement is the delivery, not the month. A month may come in several
 deliveries, and stragglers of a month in the next one's file: rows are only ever replaced by
-the same delivery arriving again. The fact and the partials of every month the delivery
-holds, or held before, are rebuilt from all deliveries' clean rows of that month.
+the same delivery arriving again. The fact and the partials of every month a delivery holds,
+or held before, are rebuilt from all deliveries' accepted rows of that month.
 
 Each stage reads the previous stage's *written* table, so a lost executor costs at most the
-stage it was running, and no stage's lineage reaches back to the raw files. Counts come from
-the written tables too, so a retried task cannot count twice. Months are written before
-emptied ones are dropped: readers keep the old rows until the new ones are committed.
-Reports are re-derived from the month x carrier partials, never by rescanning the whole fact.
+stage it was running. Nothing is visible until the last step commits all tables at once; a
+run that finds another one committed meanwhile derives its months again from there, with the
+raw rows that it has already written. Reports are re-derived from the month x carrier
+partials, never by rescanning the whole fact.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +37,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac import schema as S
 from tarmac.functions import previous_month_of
-from tarmac.operators import deliveries, marts, quality, staging
-from tarmac.operators.clean import clean
+from tarmac.operators import deliveries, intake, marts, quality, staging
+from tarmac.operators.clean import RAW_TO_CLEAN
 from tarmac.sources import parquet as pq
+from tarmac.sources import snapshots
 from tarmac.sources.archives import read_archives
 from tarmac.sources.raw_csv import read_raw
 
@@ -46,12 +52,22 @@ class RunResult:
     raw_rows: int
     clean_rows: int
     rejected_rows: int  # clean rows of unexpected months
-    tables: dict[str, str]
+    dropped_rows: int  # rows without a required field
+    root: str
+    version: int  # the version that the run committed
     checks: DataFrame | None  # None where nothing was left to check
 
     def failed_checks(self) -> DataFrame | None:
         return None if self.checks is None else quality.failed(self.checks)
 
+    def table(self, name: str) -> DataFrame:
+        """A table as this run left it."""
+        return table(SparkSession.active(), self.root, name, self.version)
+
+    def preview(self, n: int = 5) -> DataFrame:
+        """The first rows of the delivery's clean rows; its schema is that of the written table."""
+        return self.table("clean").filter(F.col(deliveries.DELIVERY) == self.delivery).limit(n)
+
 
 FACT_KEYS = ["flight_year", "flight_month"]
 CLEAN_TABLE_SCHEMA = StructType([*S.CLEAN_SCHEMA.fields, StructField(deliveries.DELIVERY, StringType(), True)])
@@ -61,13 +77,46 @@ class NoRows(ValueError):
     """A delivery without a single usable row."""
 
 
-def table_paths(root: str) -> dict[str, str]:
-    root = root.rstrip("/")
-    names = [
-        "clean", "rejected", "deliveries", "fct_flights", "agg_carrier_month",
-        "rpt_delay_by_carrier", "rpt_delay_trend", "dq_results",
+INTAKE_KEYS = ["fate", deliveries.DELIVERY, "year", "month"]
+INTAKE_SCHEMA = StructType(
+    [
+        *CLEAN_TABLE_SCHEMA.fields,
+        StructField("reasons", StringType(), True),
+        StructField(intake.CELLS, StructType([StructField(c, StringType(), True) for c in RAW_TO_CLEAN.values()]), True),
+        StructField("fate", StringType(), True),
     ]
-    return {n: f"{root}/{n}" for n in names}
+)
+DELIVERY_COUNTS = "raw_rows bigint, clean_rows bigint, rejected_rows bigint, dropped_rows bigint, delivery string"
+FATES = {"clean": intake.ACCEPTED, "rejected": intake.UNEXPECTED, "dropped": intake.DROPPED}
+
+
+def schemas(spark: SparkSession) -> dict[str, StructType]:
+    """The columns of every table."""
+    empty = spark.createDataFrame([], S.CLEAN_SCHEMA)
+    fact = marts.build_fact(staging.stage(empty))
+    refused = StructType([f for f in INTAKE_SCHEMA.fields if f.name != "fate"])
+    return {
+        "clean": CLEAN_TABLE_SCHEMA,
+        "rejected": CLEAN_TABLE_SCHEMA,
+        "dropped": refused,
+        "intake": INTAKE_SCHEMA,
+        "deliveries": StructType.fromDDL(DELIVERY_COUNTS),
+        "fct_flights": fact.schema,
+        "agg_carrier_month": marts.carrier_month_partials(fact).schema,
+        "rpt_delay_by_carrier": marts.delay_by_carrier(fact).schema,
+        "rpt_delay_trend": marts.delay_trend(fact).schema,
+        "dq_results": StructType.fromDDL("check_name string, model string, column_name string, failures bigint"),
+    }
+
+
+def table(spark: SparkSession, root: str, name: str, number: int | None = None) -> DataFrame:
+    """A table as of a version (default: the latest), by its declared types; empty before the first run."""
+    at = snapshots.version(spark, root, number)
+    schema = schemas(spark)[name]
+    if name not in FATES:
+        return snapshots.read(spark, root, at, name, schema)
+    wanted = {p for p in at.partitions("intake") if snapshots.values(p)["fate"] == FATES[name]}
+    return snapshots.read(spark, root, at, "intake", schema, wanted)
 
 
 def _months_predicate(months: list[tuple[int, int]], year_col: str, month_col: str) -> Column:
@@ -104,11 +153,10 @@ def run_month(
     recorded and then raises :class:`NoRows`.
     """
     raw = read_archives(spark, raw_path) if archives else read_raw(spark, raw_path)
-    result = process_raw(
+    (result,) = process_deliveries(
         spark,
-        raw,
+        {delivery or deliveries.delivery_id(raw_path): raw},
         root,
-        delivery=delivery or deliveries.delivery_id(raw_path),
         expected_months=[previous_month_of(run_date)] if run_date else None,
         as_of=as_of,
         dedupe_keys=dedupe_keys,
@@ -120,92 +168,164 @@ def run_month(
     return result
 
 
-def process_raw(
+def process_deliveries(
     spark: SparkSession,
-    raw: DataFrame,
+    raws: dict[str, DataFrame],
     root: str,
     *,
-    delivery: str,
     expected_months: list[tuple[int, int]] | None = None,
     as_of: _dt.date | str | None = None,
     dedupe_keys: bool = False,
     salt_buckets: int | None = None,
     dim: DataFrame | None = None,
-) -> RunResult:
-    """One delivery of raw rows from any source; one without usable rows is recorded and changes nothing else."""
-    paths = table_paths(root)
-    own_path = f"{paths['clean']}/{deliveries.DELIVERY}={delivery}"
-    own_rejects = f"{paths['rejected']}/{deliveries.DELIVERY}={delivery}"
-
-    # 1. raw → this delivery's clean rows; what it held before is replaced as a whole.
-    before = pq.partition_values(spark, own_path, ["year", "month"])
-    accepted, rejected = deliveries.split_expected(clean(raw), expected_months)
-    pq.write_clean(accepted, own_path, mode=pq.OVERWRITE_TRUNCATE, salt_buckets=salt_buckets)
-    pq.materialize(rejected, own_rejects)
-    raw_rows = raw.count()
-    clean_rows = pq.read_table(spark, own_path, S.CLEAN_SCHEMA).count()
-    rejected_rows = pq.read_table(spark, own_rejects, S.CLEAN_SCHEMA).count()
-    months = sorted({*before, *pq.partition_values(spark, own_path, ["year", "month"])})
-    spark.range(1).select(
-        F.lit(raw_rows).cast("bigint").alias("raw_rows"),
-        F.lit(clean_rows).cast("bigint").alias("clean_rows"),
-        F.lit(rejected_rows).cast("bigint").alias("rejected_rows"),
-    ).write.mode("overwrite").parquet(f"{paths['deliveries']}/{deliveries.DELIVERY}={delivery}")
-    counts = dict(delivery=delivery, raw_rows=raw_rows, clean_rows=clean_rows, rejected_rows=rejected_rows, tables=paths)
-    if not months:
-        return RunResult(months=[], checks=None, **counts)
+    on_step: Callable[[str], None] | None = None,
+) -> list[RunResult]:
+    """Raw rows by delivery, from any source, all in one pass and one commit.
 
+    A delivery without usable rows is recorded and changes nothing else. ``on_step`` is told
+    what has been written, before anything more is.
+    """
+    step = on_step or (lambda name: None)
+    # 1. raw → every row under its fate; no version names these folders yet.
+    tagged = reduce(
+        DataFrame.unionByName,
+        [intake.tag(raw, expected_months).withColumn(deliveries.DELIVERY, F.lit(name)) for name, raw in raws.items()],
+    )
+    run = snapshots.new_run()
+    pq.write_partitioned(
+        tagged, snapshots.folder(root, "intake", run), INTAKE_KEYS, ["mkt_carrier", "origin"],
+        mode=pq.OVERWRITE_TRUNCATE, salt_buckets=salt_buckets,
+    )
+    own = snapshots.written(spark, root, "intake", run, INTAKE_KEYS)
+    here = snapshots.read(spark, root, snapshots.Version().replaced("intake", [], run, own), "intake", INTAKE_SCHEMA)
+    counts = _counts(here, list(raws))
+    step("intake")
+    while True:
+        results = _derive(spark, raws, root, run, own, counts, as_of, dedupe_keys, salt_buckets, dim, step)
+        if results is not None:
+            return results
+
+
+def _counts(rows: DataFrame, names: list[str]) -> dict[str, dict[str, int]]:
+    """Rows of each delivery by fate, from the partition keys of the written files."""
+    found = {(r[deliveries.DELIVERY], r["fate"]): r["n"] for r in rows.groupBy(deliveries.DELIVERY, "fate").agg(F.count("*").alias("n")).collect()}
+    out = {}
+    for name in names:
+        clean, rejected, dropped = (found.get((name, fate), 0) for fate in FATES.values())
+        out[name] = dict(raw_rows=clean + rejected + dropped, clean_rows=clean, rejected_rows=rejected, dropped_rows=dropped)
+    return out
+
+
+def _month(partition: str) -> tuple[int, int]:
+    keys = snapshots.values(partition)
+    return int(keys["year"]), int(keys["month"])
+
+
+def _derive(spark, raws, root, run, own, counts, as_of, dedupe_keys, salt_buckets, dim, step) -> list[RunResult] | None:
+    """Everything after the intake, from the latest version; None if another run commits first."""
+    at = snapshots.version(spark, root)
+    mine = [p for p in at.partitions("intake") if snapshots.values(p)[deliveries.DELIVERY] in raws]
+    touched = {name: set() for name in raws}
+    for partition in [*mine, *own]:
+        keys = snapshots.values(partition)
+        if keys["fate"] == intake.ACCEPTED:
+            touched[keys[deliveries.DELIVERY]].add(_month(partition))
+    months = sorted(set().union(*touched.values()))
+    at = at.replaced("intake", mine, run, own)
+    run = snapshots.new_run()  # of what is derived; the raw rows keep theirs
+    rows = [(*c.values(), name) for name, c in counts.items()]
+    spark.createDataFrame(rows, DELIVERY_COUNTS).coalesce(1).write.partitionBy(deliveries.DELIVERY).parquet(
+        snapshots.folder(root, "deliveries", run)
+    )
+    recorded = [f"{deliveries.DELIVERY}={name}" for name in raws]
+    at = at.replaced("deliveries", recorded, run, recorded)
+    step("deliveries")
+    checks = None
+    if months:
+        at, checks = _rebuild(spark, root, at, run, months, as_of, dedupe_keys, salt_buckets, dim, step)
+    if not snapshots.commit(spark, root, at):
+        return None
+    return [
+        RunResult(
+            delivery=name, months=sorted(touched[name]), root=root, version=at.number + 1,
+            checks=checks if touched[name] else None, **counts[name],
+        )
+        for name in raws
+    ]
+
+
+def _rebuild(spark, root, at, run, months, as_of, dedupe_keys, salt_buckets, dim, step) -> tuple[snapshots.Version, DataFrame]:
+    """Fact, partials, reports and checks with ``months`` rebuilt."""
     # 2. affected months of all deliveries → staging → fact months.
-    clean_table = pq.read_table(spark, paths["clean"], CLEAN_TABLE_SCHEMA)
-    clean_months = clean_table.filter(_months_predicate(months, "year", "month"))
-    source_months = pq.conform(clean_months, S.STAGING_SOURCE_SCHEMA)
-    fact = marts.build_fact(staging.stage(source_months, as_of, dedupe_keys=dedupe_keys), dim)
-    left = sorted((int(r[0]), int(r[1])) for r in fact.select(*FACT_KEYS).distinct().collect())
-    emptied = sorted({*months} - {*left})
-    pq.write_fact(fact, paths["fct_flights"], salt_buckets=salt_buckets)
-    pq.drop_partitions(spark, paths["fct_flights"], FACT_KEYS, emptied)
+    wanted = {p for p in at.partitions("intake") if snapshots.values(p)["fate"] == intake.ACCEPTED and _month(p) in months}
+    source = pq.conform(snapshots.read(spark, root, at, "intake", CLEAN_TABLE_SCHEMA, wanted), S.STAGING_SOURCE_SCHEMA)
+    staged = staging.stage(source, as_of)
+    fact = marts.build_fact(staging.dedupe_stored(staged) if dedupe_keys else staged, dim)
+    old = {t: [p for p in at.partitions(t) if _fact_month(p) in months] for t in ("fct_flights", "agg_carrier_month")}
+
+    def replace(name: str, schema: StructType) -> DataFrame:
+        """The rows just written of the table, which takes their partitions."""
+        nonlocal at
+        new = snapshots.written(spark, root, name, run, FACT_KEYS)
+        at = at.replaced(name, old[name], run, new)
+        step(name)
+        return snapshots.read(spark, root, at, name, schema, set(new))
+
+    pq.write_fact(fact, snapshots.folder(root, "fct_flights", run), mode=pq.OVERWRITE_TRUNCATE, salt_buckets=salt_buckets)
+    fact_months = replace("fct_flights", fact.schema)
 
     # 3. fact months → month x carrier partials (replaced the same way).
-    fact_months = pq.read_table(spark, paths["fct_flights"], fact.schema).filter(_months_predicate(months, *FACT_KEYS))
     partials = marts.carrier_month_partials(fact_months)
-    pq.write_partitioned(partials, paths["agg_carrier_month"], FACT_KEYS, ["carrier_code"])
-    pq.drop_partitions(spark, paths["agg_carrier_month"], FACT_KEYS, emptied)
+    pq.write_partitioned(
+        partials, snapshots.folder(root, "agg_carrier_month", run), FACT_KEYS, ["carrier_code"], mode=pq.OVERWRITE_TRUNCATE
+    )
+    replace("agg_carrier_month", partials.schema)
 
     # 4. all partials → both reports (tiny inputs, full replace).
-    all_partials = pq.read_table(spark, paths["agg_carrier_month"], partials.schema)
-    rc = pq.materialize(
-        marts.sort_carrier_report(marts.delay_by_carrier_from_partials(all_partials)), paths["rpt_delay_by_carrier"]
-    )
-    rt = pq.materialize(
-        marts.sort_trend_report(marts.delay_trend_from_partials(all_partials)), paths["rpt_delay_trend"]
-    )
+    def plain(name: str, df: DataFrame) -> DataFrame:
+        nonlocal at
+        stored = pq.materialize(df, snapshots.folder(root, name, run))
+        at = at.replaced(name, [snapshots.PLAIN], run, [snapshots.PLAIN])
+        step(name)
+        return stored
+
+    every = snapshots.read(spark, root, at, "agg_carrier_month", partials.schema)
+    rc = plain("rpt_delay_by_carrier", marts.sort_carrier_report(marts.delay_by_carrier_from_partials(every)))
+    rt = plain("rpt_delay_trend", marts.sort_trend_report(marts.delay_trend_from_partials(every)))
 
     # 5. checks. Fact checks cover this run's months: the flight key contains
     #    the date, so a duplicate key can only occur within one month.
     used = marts.carrier_dimension(spark) if dim is None else dim
-    checks = pq.materialize(
-        quality.all_checks(fact_months, used, rc, rt, staging_source=source_months), paths["dq_results"]
-    )
-    return RunResult(months=months, checks=checks, **counts)
+    return at, plain("dq_results", quality.all_checks(fact_months, used, rc, rt, staging_source=source))
+
+
+def _fact_month(partition: str) -> tuple[int, int]:
+    keys = snapshots.values(partition)
+    return int(keys["flight_year"]), int(keys["flight_month"])
 
 
 def register_tables(spark: SparkSession, root: str, database: str = "default") -> dict[str, DataFrame]:
-    """The tables under ``root`` by name in the session's catalog (external, created if needed)."""
-    paths = table_paths(root)
+    """The latest version's tables by name in the session's catalog (external, created if needed).
+
+    The catalog is pointed at the folders of that version, partition by partition.
+    """
+    at = snapshots.version(spark, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    empty = spark.createDataFrame([], S.CLEAN_SCHEMA)
-    fact = marts.build_fact(staging.stage(empty))
-    partials = marts.carrier_month_partials(fact)
-    layouts = {
-        "clean": (spark.createDataFrame([], CLEAN_TABLE_SCHEMA), [deliveries.DELIVERY, "year", "month"]),
-        "fct_flights": (fact, FACT_KEYS),
-        "agg_carrier_month": (partials, FACT_KEYS),
-        "rpt_delay_by_carrier": (marts.delay_by_carrier(fact), None),
-        "rpt_delay_trend": (marts.delay_trend(fact), None),
-    }
-    return {
-        name: pq.as_table(df, f"{database}.{name}", paths[name], partition_by=keys) for name, (df, keys) in layouts.items()
-    }
+    keys = {"fct_flights": FACT_KEYS, "agg_carrier_month": FACT_KEYS, "rpt_delay_by_carrier": [], "rpt_delay_trend": []}
+    keys["clean"] = keys["dropped"] = [deliveries.DELIVERY, "year", "month"]
+    out = {}
+    for name, schema in schemas(spark).items():
+        if name not in keys:
+            continue
+        stored = "intake" if name in FATES else name
+        places = {
+            p: f"{snapshots.folder(root, stored, r)}/{p}".rstrip("/")
+            for p, r in at.partitions(stored).items()
+            if name not in FATES or snapshots.values(p)["fate"] == FATES[name]
+        }
+        base = f"{root.rstrip('/')}/data/{stored}"
+        out[name] = pq.as_snapshot_table(spark, schema, f"{database}.{name}", base, keys[name], places)
+    return out
 
 
 def previous_month_rows(df: DataFrame, run_date: _dt.date, year_col: str = "year", month_col: str = "month") -> DataFrame:

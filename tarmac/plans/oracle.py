@@ -246,6 +246,51 @@ def _with(upto: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
 
 
+_FATES_CTE = f""",
+judged AS (
+    SELECT CASE WHEN day IS NULL OR Reporting_Airline IS NULL OR Origin IS NULL OR Dest IS NULL THEN 'dropped'
+                WHEN day >= CAST(date_trunc('month', DATE '{_RUN_DATE}') - INTERVAL 1 MONTH AS DATE)
+                 AND day < CAST(date_trunc('month', DATE '{_RUN_DATE}') AS DATE) THEN 'accepted'
+                ELSE 'unexpected' END AS fate, *
+    FROM (SELECT CAST(TRY_STRPTIME(FlightDate, '%Y-%m-%d') AS DATE) AS day, * FROM raw)
+)
+"""
+
+
+def _refused(field: str, text: str, parsed: str) -> str:
+    return f"SELECT fate, 'malformed:{field}' AS reason FROM judged WHERE {text} IS NOT NULL AND {parsed} IS NULL"
+
+
+_REASONS = " UNION ALL ".join(
+    [
+        "SELECT fate, 'missing:fl_date' AS reason FROM judged WHERE FlightDate IS NULL",
+        "SELECT fate, 'missing:mkt_carrier' FROM judged WHERE Reporting_Airline IS NULL",
+        "SELECT fate, 'missing:origin' FROM judged WHERE Origin IS NULL",
+        "SELECT fate, 'missing:dest' FROM judged WHERE Dest IS NULL",
+        _refused("fl_date", "FlightDate", "day"),
+        _refused(
+            "mkt_carrier_fl_num",
+            "Flight_Number_Reporting_Airline",
+            "TRY_CAST(trunc(TRY_CAST(Flight_Number_Reporting_Airline AS DOUBLE)) AS INTEGER)",
+        ),
+        *[
+            _refused(field, text, f"TRY_CAST({text} AS FLOAT)")
+            for field, text in [
+                ("dep_delay", "DepDelay"),
+                ("arr_delay", "ArrDelay"),
+                ("cancelled", "Cancelled"),
+                ("carrier_delay", "CarrierDelay"),
+                ("weather_delay", "WeatherDelay"),
+                ("nas_delay", "NASDelay"),
+                ("security_delay", "SecurityDelay"),
+                ("late_aircraft_delay", "LateAircraftDelay"),
+                ("actual_elapsed_time", "ActualElapsedTime"),
+                ("distance", "Distance"),
+            ]
+        ],
+    ]
+)
+
 _IDENT = "fl_date, mkt_carrier, mkt_carrier_fl_num, origin, dest"
 _RC_COLS = (
     "carrier_code, carrier_name, total_flights, delayed_flights, delay_pct, avg_arr_delay_min, "
@@ -308,6 +353,10 @@ STATEMENTS: dict[str, str] = {
         "CAST(count(*) FILTER (WHERE fl_date IS NOT NULL AND mkt_carrier IS NOT NULL "
         "AND origin IS NOT NULL AND dest IS NOT NULL) AS BIGINT) AS clean_rows FROM typed",
     ),
+    "rejected_reasons": _with("raw", "")
+    + _FATES_CTE
+    + f"SELECT fate, reason, CAST(count(*) AS BIGINT) AS n_rows FROM ({_REASONS}) GROUP BY fate, reason",
+    "row_fates": _with("raw", "") + _FATES_CTE + "SELECT fate, CAST(count(*) AS BIGINT) AS n_rows FROM judged GROUP BY fate",
     "cancelled_flights": _with(
         "clean",
         "SELECT cancellation_code, CAST(count(*) AS BIGINT) AS cancelled_flights FROM clean "

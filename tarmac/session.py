@@ -25,9 +25,6 @@ def local_session(app: str = "tarmac", cores: int | str = "*", shuffle_partition
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # Fused stages whose generated method exceeds the JIT's 8000-byte limit
-        # run interpreted; above this size Spark splits the stage instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TARMAC_DRIVER_MEMORY", "8g"))
         .getOrCreate()

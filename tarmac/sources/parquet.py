@@ -135,6 +135,37 @@ def as_table(
     return spark.table(name)
 
 
+def as_snapshot_table(
+    spark: SparkSession, schema: StructType, name: str, base: str, keys: list[str], places: dict[str, str]
+) -> DataFrame:
+    """Catalog table ``name`` over exactly the folders ``places`` (partition → folder).
+
+    External and typed by ``schema``. A plain table has one folder, under the partition ``""``,
+    and is moved by its one location; a partitioned one has the partitions that differ replaced.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
+    home = base if keys or not places else places[""]
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{home}'")
+    if not keys:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{home}'")
+    else:
+        text = {f.name for f in schema.fields if f.dataType.typeName() == "string"}
+
+        def spec(values: list[str]) -> str:
+            return "PARTITION (" + ", ".join(f"`{k}` = " + ("null" if "__HIVE_DEFAULT" in v or v == "null" else f"'{v}'" if k in text else v) for k, v in zip(keys, values)) + ")"
+
+        # Partition folders may carry keys that are not the table's, in front of them.
+        wanted = {spec([dict(x.split("=", 1) for x in p.split("/"))[k] for k in keys]): place for p, place in places.items()}
+        have = [spec([x.split("=", 1)[1] for x in r[0].split("/")]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        if have:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(have)}")
+        if wanted:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"{p} LOCATION '{place}'" for p, place in wanted.items()))
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def materialize(
     df: DataFrame,
     path: str,
@@ -182,7 +213,8 @@ def between_dates(
     return df.filter(months_between_predicate(lo_d, hi_d, year_col, month_col) & in_range)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
@@ -191,14 +223,14 @@ def drop_partitions(spark: SparkSession, table_path: str, keys: list[str], value
     """Delete the partition directories ``keys=values`` of a table (missing ones are skipped)."""
     for vals in values:
         sub = "/".join(f"{k}={v}" for k, v in zip(keys, vals))
-        fs, jpath = _hadoop_path(spark, f"{table_path.rstrip('/')}/{sub}")
+        fs, jpath = hadoop_path(spark, f"{table_path.rstrip('/')}/{sub}")
         if fs.exists(jpath):
             fs.delete(jpath, True)
 
 
 def partition_values(spark: SparkSession, table_path: str, keys: list[str]) -> list[tuple[int, ...]]:
     """Integer values of the partition directories ``keys`` below ``table_path`` (none if it is missing)."""
-    fs, jpath = _hadoop_path(spark, "/".join([table_path.rstrip("/"), *[f"{k}=*" for k in keys]]))
+    fs, jpath = hadoop_path(spark, "/".join([table_path.rstrip("/"), *[f"{k}=*" for k in keys]]))
     found = fs.globStatus(jpath) or []
     tails = [str(s.getPath().toString()).rstrip("/").split("/")[-len(keys) :] for s in found]
     return sorted(tuple(int(part.split("=", 1)[1]) for part in tail) for tail in tails)
@@ -206,7 +238,7 @@ def partition_values(spark: SparkSession, table_path: str, keys: list[str]) -> l
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The Parquet table at ``path`` with its declared types; empty if the path does not exist."""
-    fs, jpath = _hadoop_path(spark, path)
+    fs, jpath = hadoop_path(spark, path)
     if not fs.exists(jpath):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)

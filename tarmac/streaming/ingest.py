@@ -3,8 +3,9 @@
 A file-source Structured Streaming query watches a landing folder. Each micro-batch is the
 list of files that arrived since the last one; only their paths are streamed, and inside
 ``foreachBatch`` every file is read as the batch run reads it, by header name, so wide files
-and files with other column orders are accepted alike, and goes through
-:func:`tarmac.plans.monthly.process_raw` as a delivery of its own.
+and files with other column orders are accepted alike. A micro-batch's files are deliveries of
+their own but go through :func:`tarmac.plans.monthly.process_deliveries` as one frame: their
+months are rebuilt once and committed together, however many files a month comes in.
 
 Delivery: the checkpoint records which files were processed, so each file is taken once. If
 a micro-batch is retried after a failure, its files replace what they wrote before, so the
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.operators.deliveries import delivery_id
-from tarmac.plans.monthly import process_raw
+from tarmac.plans.monthly import process_deliveries
 from tarmac.sources.archives import read_archives
 from tarmac.sources.raw_csv import read_raw
 
@@ -71,26 +72,21 @@ def start_ingest(
     read = read_archives if archives else read_raw
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
+        raws = {}
         for path in sorted(r["path"] for r in batch.collect()):  # at most max_files_per_trigger paths
             try:
-                raw = read(spark, path)
+                raws[delivery_id(path)] = read(spark, path)
             except ValueError as error:
                 if on_error is None:
                     raise
                 on_error(epoch_id, path, error)
-                continue
-            result = process_raw(
-                spark,
-                raw,
-                root,
-                delivery=delivery_id(path),
-                as_of=as_of,
-                dedupe_keys=dedupe_keys,
-                salt_buckets=salt_buckets,
-                dim=dim,
-            )
-            if on_batch is not None:
-                on_batch(epoch_id, result)
+        if not raws:
+            return
+        results = process_deliveries(
+            spark, raws, root, as_of=as_of, dedupe_keys=dedupe_keys, salt_buckets=salt_buckets, dim=dim
+        )
+        for result in results if on_batch is not None else []:
+            on_batch(epoch_id, result)
 
     files = landed_files(spark, landing_dir, "*.zip" if archives else "*.csv", max_files_per_trigger)
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", location)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from tarmac.__main__ import main
 from tarmac.operators import clean as C
-from tarmac.operators import deliveries, marts, staging
+from tarmac.operators import deliveries, intake, marts, staging
 from tarmac.plans import monthly
 from tarmac.plans.monthly import NoRows, register_tables, run_month
+from tarmac.sources import snapshots
 from tarmac.sources.raw_csv import read_raw
 
 
@@ -34,11 +35,11 @@ def deliver(spark, scratch):
 
 
 def table(spark, result, name):
-    return sorted(map(tuple, spark.read.parquet(result.tables[name]).drop("delivery").collect()), key=str)
+    return sorted(map(tuple, result.table(name).drop("delivery").collect()), key=str)
 
 
 def trend(spark, result):
-    rows = spark.read.parquet(result.tables["rpt_delay_trend"]).collect()
+    rows = result.table("rpt_delay_trend").collect()
     return {r["year_month"]: r["total_flights"] for r in rows}
 
 
@@ -54,9 +55,9 @@ def test_an_unexpected_month_is_rejected_and_counted(spark, deliver):
     result = deliver("2021_02", FEBRUARY + STRAGGLER, run_date=dt.date(2021, 3, 3))
     assert (result.raw_rows, result.clean_rows, result.rejected_rows) == (51, 50, 1)
     assert trend(spark, result) == {"2021-01": 50, "2021-02": 50}
-    rejected = spark.read.parquet(result.tables["rejected"]).collect()
+    rejected = result.table("rejected").collect()
     assert [r["fl_date"] for r in rejected] == [dt.date(2021, 1, 31)]
-    counts = {r["delivery"]: r["rejected_rows"] for r in spark.read.parquet(result.tables["deliveries"]).collect()}
+    counts = {r["delivery"]: r["rejected_rows"] for r in result.table("deliveries").collect()}
     assert counts[result.delivery] == 1 and len(counts) == 2
 
 
@@ -76,7 +77,7 @@ def test_a_delivery_again_replaces_itself_only(spark, deliver):
     less = deliver("a", JANUARY[:3])
     assert less.months == [(2021, 1), (2021, 2)]
     assert trend(spark, less) == {"2021-01": 33}
-    assert {r["year_month"] for r in spark.read.parquet(less.tables["fct_flights"]).collect()} == {"2021-01"}
+    assert {r["year_month"] for r in less.table("fct_flights").collect()} == {"2021-01"}
 
 
 def test_nothing_usable_is_recorded_and_changes_nothing(spark, deliver):
@@ -84,7 +85,7 @@ def test_nothing_usable_is_recorded_and_changes_nothing(spark, deliver):
     with pytest.raises(NoRows):
         deliver("empty", ["HA/1 HNL- 2021-01-05", "/1 HNL-OGG 2021-01-05"])
     assert trend(spark, good) == {"2021-01": 50}
-    assert sorted(r["clean_rows"] for r in spark.read.parquet(good.tables["deliveries"]).collect()) == [0, 50]
+    assert sorted(r["clean_rows"] for r in monthly.table(spark, good.root, "deliveries").collect()) == [0, 50]
 
 
 def test_a_month_that_filters_empty_disappears(spark, deliver):
@@ -117,13 +118,13 @@ def test_tables_equal_the_direct_computation_and_keep_their_types(spark, deliver
 def test_own_dimension(spark, deliver):
     dim = spark.createDataFrame([("HA", "Aloha")], "carrier_code string, carrier_name string")
     result = deliver("jan", JANUARY, dim=dim)
-    assert {r["carrier_name"] for r in spark.read.parquet(result.tables["rpt_delay_by_carrier"]).collect()} == {"Aloha"}
+    assert {r["carrier_name"] for r in result.table("rpt_delay_by_carrier").collect()} == {"Aloha"}
 
 
 def test_months_predicate_prunes_directories(spark, deliver):
     deliver("jan", JANUARY)
     result = deliver("feb", FEBRUARY)
-    read = spark.read.parquet(result.tables["clean"]).filter(monthly._months_predicate([(2021, 2)], "year", "month"))
+    read = result.table("clean").filter(monthly._months_predicate([(2021, 2)], "year", "month"))
     p = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in p and "PartitionFilters: []" not in p
     assert read.count() == 50
@@ -145,3 +146,112 @@ def test_command_line(spark, scratch, capsys):
     assert code == 0 and "50 raw, 50 clean, 0 rejected" in capsys.readouterr().out
     assert spark.table("cli_test.fct_flights").filter(F.col("flight_month") == 1).count() == 50
     spark.sql("DROP DATABASE cli_test CASCADE")
+
+
+def fates(spark, root):
+    return {name: monthly.table(spark, root, name).count() for name in ("clean", "rejected", "dropped")}
+
+
+MIXED = FEBRUARY + STRAGGLER + ["HA/1 HNL- 2021-02-05 arr=x", "/2 HNL-OGG 2021-02-05", "HA/3 HNL-OGG 2021-02-30", "HA/4 HNL-OGG 2021-02-06 dep=n/a"]
+
+
+def test_every_raw_row_is_kept_under_its_fate(spark, deliver, scratch):
+    result = deliver("feb", MIXED, run_date=dt.date(2021, 3, 3))
+    assert (result.raw_rows, result.clean_rows, result.rejected_rows, result.dropped_rows) == (55, 51, 1, 3)
+    assert result.raw_rows == read_raw(spark, f"{scratch}/feb.csv").count() == sum(fates(spark, result.root).values())
+    dropped = {r["raw_cells"]["mkt_carrier_fl_num"]: (r["reasons"], r["raw_cells"]["fl_date"]) for r in result.table("dropped").collect()}
+    assert dropped == {
+        "1": ("missing:dest,malformed:arr_delay", "2021-02-05"),
+        "2": ("missing:mkt_carrier", "2021-02-05"),
+        "3": ("malformed:fl_date", "2021-02-30"),
+    }
+    kept = snapshots.read(spark, result.root, snapshots.version(spark, result.root), "intake", monthly.INTAKE_SCHEMA)
+    counts = {(r["fate"], r["reason"]): r["n_rows"] for r in intake.reason_counts(kept).collect()}
+    assert counts[("accepted", "malformed:dep_delay")] == 1 and counts[("dropped", "malformed:fl_date")] == 1
+    assert result.preview(3).count() == 3 and result.preview().schema == result.table("clean").schema
+
+
+def raw_scans(spark, kind, before):
+    """Executions since ``before`` whose plan scans the raw source."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    return sum(kind in runs.apply(k).physicalPlanDescription() for k in range(before, runs.size()))
+
+
+@pytest.mark.parametrize("archives, kind", [(False, "Scan csv"), (True, "BatchScan zip_members")])
+def test_the_raw_source_is_scanned_once(spark, scratch, archives, kind):
+    import zipfile
+
+    file = write_csv(f"{scratch}/m.csv", MIXED)
+    with zipfile.ZipFile(f"{scratch}/m.zip", "w") as z:
+        z.write(file, arcname="m.csv")
+    before = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    result = run_month(spark, f"{scratch}/m.zip" if archives else file, f"{scratch}/out", run_date=dt.date(2021, 3, 3), archives=archives)
+    assert result.dropped_rows == 3
+    assert raw_scans(spark, kind, before) == 1
+
+
+STEPS = ["intake", "deliveries", "fct_flights", "agg_carrier_month", "rpt_delay_by_carrier", "rpt_delay_trend", "dq_results"]
+
+
+def everything(spark, root):
+    return {name: sorted(map(str, monthly.table(spark, root, name).collect())) for name in monthly.schemas(spark)}
+
+
+def test_a_run_killed_at_any_step_leaves_the_old_tables_whole(spark, deliver, flights, scratch):
+    good = deliver("jan", JANUARY)
+    whole = everything(spark, good.root)
+
+    class Killed(Exception):
+        pass
+
+    for last in STEPS:
+        seen = []
+
+        def kill(step, last=last, seen=seen):
+            seen.append(step)
+            if step == last:
+                raise Killed
+
+        with pytest.raises(Killed):
+            monthly.process_deliveries(spark, {"feb": flights(*FEBRUARY)}, good.root, on_step=kill)
+        assert seen == STEPS[: STEPS.index(last) + 1]
+        assert everything(spark, good.root) == whole, last
+    (after,) = monthly.process_deliveries(spark, {"feb": flights(*FEBRUARY)}, good.root)
+    assert trend(spark, after) == {"2021-01": 50, "2021-02": 50}
+    kept = everything(spark, good.root)
+    assert len(snapshots.vacuum(spark, good.root, keep=1)) > len(STEPS)  # what the killed runs and the first left
+    assert everything(spark, good.root) == kept
+
+
+def test_two_runs_of_a_month_at_once_lose_no_row(spark, flights, scratch):
+    import threading
+
+    root, gate, results = f"{scratch}/out", threading.Barrier(2, timeout=300), {}
+    halves = {"a": flights(*JANUARY[:20]), "b": flights(*JANUARY[20:])}
+
+    def run(name):
+        met = []
+
+        def wait(step):  # both have read the same version before either commits
+            if step == "dq_results" and not met:
+                met.append(gate.wait())
+
+        results[name] = monthly.process_deliveries(spark, {name: halves[name]}, root, on_step=wait)[0]
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in halves]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(r.version for r in results.values()) == [1, 2]
+    assert {r["year_month"]: r["total_flights"] for r in monthly.table(spark, root, "rpt_delay_trend").collect()} == {"2021-01": 50}
+    assert monthly.table(spark, root, "fct_flights").count() == 50
+
+
+def test_the_catalog_follows_the_latest_version(spark, deliver, scratch):
+    deliver("jan", JANUARY)
+    for rows, n in ((FEBRUARY, 100), (FEBRUARY[:10], 60)):
+        deliver("feb", rows)
+        register_tables(spark, f"{scratch}/out", "swap_test")
+        assert spark.table("swap_test.fct_flights").count() == n == spark.table("swap_test.clean").count()
+        assert spark.table("swap_test.rpt_delay_trend").selectExpr("sum(total_flights)").first()[0] == n
+    spark.sql("DROP DATABASE swap_test CASCADE")

@@ -2,10 +2,12 @@
 
 import pytest
 from paths import TESTDATA_SMALL
+from pyspark.sql import functions as F
 
-from tarmac.operators import marts, quality, reports, staging
+from tarmac.operators import clean, intake, marts, quality, reports, staging
 from tarmac.plans import catalog
 from tarmac.plans.models import from_test_data
+from tarmac.sources.fixtures import load_flights_raw
 
 
 def plan(df) -> str:
@@ -37,10 +39,51 @@ def test_reports_aggregate_map_side(models):
 
 
 def test_dedupe_and_unique_combine_before_shuffle(models):
-    assert "partial_min" in plan(staging.dedupe(models.staging))
+    p = plan(staging.dedupe(models.staging))
+    # Read from the bottom up: ranks are cut to one row per key, then rows are shuffled.
+    assert "SortAggregate" not in p and p.rindex("WindowGroupLimit") > p.rindex("Exchange hashpartitioning")
     assert "partial_count" in plan(quality.unique(models.fact, "fct_flights", "flight_id"))
 
 
+def test_a_stored_table_is_deduplicated_by_hashes_first(spark, models):
+    twice = models.staging.unionByName(models.staging.limit(20)).unionByName(models.staging.limit(7).withColumn("arr_delay", F.lit(-99.0).cast("float")))
+    late = staging.dedupe_stored(twice)
+    assert sorted(map(str, late.collect())) == sorted(map(str, staging.dedupe(twice).collect()))
+    first = plan(late).split("HashAggregate")[-1]
+    read = first.split("ReadSchema: ")[1].split("\n")[0]
+    assert "l_returnflag" in read and "SortAggregate" not in plan(late)
+
+
+#: The JIT compiles no method above this many bytes.
+LARGEST_METHOD = 8000
+
+
+def method_sizes(spark, df):
+    """Bytes of the largest generated method of each whole-stage part of a plan."""
+    debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+    parts = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [parts.apply(k)._3().maxMethodCodeSize() for k in range(parts.size())]
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, tmp_path):
+    raw = load_flights_raw(spark, TESTDATA_SMALL)
+    raw.write.parquet(f"{tmp_path}/raw")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    assert int(limit) == 65535  # Spark's default: nothing here depends on another
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans show no code before they run
+    try:
+        for rows in (raw, spark.read.parquet(f"{tmp_path}/raw")):
+            cleaned = clean.clean(rows)
+            staged = staging.stage(cleaned)
+            for df in (cleaned, intake.tag(rows), staged, marts.build_fact(staged)):
+                assert 0 < max(method_sizes(spark, df)) < LARGEST_METHOD
+        for name, query in catalog.QUERIES.items():
+            assert max(method_sizes(spark, query(spark, TESTDATA_SMALL))) < LARGEST_METHOD, name
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_rolling_window_runs_after_aggregation(models):
     p = plan(models.trend_report)
     assert p.index("Window") < p.index("HashAggregate")  # window sits above the aggregate

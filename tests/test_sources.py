@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac import schema as S
 from tarmac.operators import clean as C
+from tarmac.operators import intake
 from tarmac.sources import archives, parquet, raw_csv
 
 LINES = ["HA/118 HNL-OGG 2021-07-04 dep=3 arr=x in=0758", "AS/7 SEA-HNL 2021-07-05", "/7 SEA-HNL 2021-07-06 off=1 why=B"]
@@ -51,6 +52,33 @@ class TestRawReaders:
         zipped(f"{scratch}/m.zip", ("readme.txt", notes), ("a.csv", one), ("deep/B.CSV", two))
         assert archives.read_archives(spark, f"{scratch}/m.zip").count() == 3
 
+    def test_every_member_is_a_task_and_only_asked_columns_are_cut(self, spark, scratch):
+        os.makedirs(f"{scratch}/z")
+        files = [write_csv(f"{scratch}/{k}.csv", LINES * (k + 1)) for k in range(12)]
+        zipped(f"{scratch}/z/year.zip", *[(f"{k:02d}.csv", f) for k, f in enumerate(files)])
+        got = archives.read_archives(spark, f"{scratch}/z", columns=["Dest", "FlightDate"])
+        assert got.columns == ["Dest", "FlightDate"] and got.rdd.getNumPartitions() == 12
+        tasks = got.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sorted(r["count"] for r in tasks) == [3 * (k + 1) for k in range(12)]
+
+    def test_a_bad_byte_is_a_reason_not_a_failure(self, spark, scratch):
+        file = write_csv(f"{scratch}/m.csv", LINES[:2])
+        data = open(file, "rb").read().replace(b"OGG", b"O\xffG")
+        open(file, "wb").write(data.rstrip(b"\n") + b"\n")
+        zipped(f"{scratch}/m.zip", ("m.csv", file))
+        packed = archives.read_archives(spark, f"{scratch}/m.zip")
+        assert sorted(map(tuple, packed.collect()), key=str) == sorted(map(tuple, raw_csv.read_raw(spark, file).collect()), key=str)
+        reasons = {r["dest"]: r["reasons"] for r in intake.tag(packed).collect()}
+        assert reasons == {"O\ufffdG": "undecodable:dest,malformed:arr_delay", "HNL": None}
+        with pytest.raises(Exception, match="decode"):
+            archives.read_archives(spark, f"{scratch}/m.zip", decode="strict").collect()
+
+    def test_a_very_long_cell_is_read(self, spark, scratch):
+        file = write_csv(f"{scratch}/m.csv", LINES[1:2])
+        open(file, "a").write("x" * 300_000 + ",HA\n")
+        zipped(f"{scratch}/m.zip", ("m.csv", file))
+        assert archives.read_archives(spark, f"{scratch}/m.zip").count() == 2
+
     def test_missing_column_or_member_fails(self, spark, scratch):
         file = write_csv(f"{scratch}/m.csv", LINES, S.RAW_COLUMNS[:-1])
         with pytest.raises(ValueError, match="ArrTime"):

@@ -6,7 +6,7 @@ from flightlines import write_csv
 from test_monthly import FEBRUARY, JANUARY, STRAGGLER, lines
 
 from tarmac import schema as S
-from tarmac.plans.monthly import run_month
+from tarmac.plans.monthly import run_month, table
 from tarmac.streaming import start_ingest
 
 
@@ -18,7 +18,7 @@ def ingest(spark, scratch, **kw):
 
 
 def flights_in(spark, root):
-    return sorted(map(tuple, spark.read.parquet(f"{root}/fct_flights").collect()), key=str)
+    return sorted(map(tuple, table(spark, root, "fct_flights").collect()), key=str)
 
 
 def test_files_arrive_one_after_another(spark, scratch):
