@@ -39,7 +39,7 @@ BACK = [pow(BASE, -k, PRIME) for k in range(4)]
 ROWS_A_TASK = 1_000_000  # turns in a range, about
 CELLS_A_PREFIX = 8
 MOST_CELLS = 1 << 27  # in each of the sketch's two rows: 32 MB as bits in all
-SLICE = 1 << 20  # cells packed together
+SLICE_BITS = 20  # cells packed together, as a power of two
 
 PREFIXES = (
     "conv_id long, depth long, hi long, lo long, words long, before long, last boolean, opens boolean"
@@ -246,24 +246,24 @@ def sketch(rows: DataFrame) -> tuple[np.ndarray, int]:
 
     Counters saturate at two, so a bit each is all that is kept.
     """
-    n = rows.count()
-    cells = SLICE
+    n, at_once = rows.count(), 1 << SLICE_BITS
+    cells = at_once
     while cells < min(n * CELLS_A_PREFIX, MOST_CELLS):
         cells *= 2
     cell = F.explode(F.array(F.col("lo") % cells, F.col("hi") % cells + cells))
     full = rows.select(cell.alias("cell")).groupBy("cell").count().filter("count > 1")
-    packed = full.groupBy(F.shiftright("cell", 20).alias("slice")).agg(F.collect_list((F.col("cell") % SLICE).cast("int")).alias("at"))
+    packed = full.groupBy(F.shiftright("cell", SLICE_BITS).alias("slice")).agg(F.collect_list((F.col("cell") % at_once).cast("int")).alias("at"))
 
     def pack(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = []
             for at in batch["at"]:
-                bits = np.zeros(SLICE, bool)
+                bits = np.zeros(at_once, bool)
                 bits[at.values.to_numpy()] = True
                 data.append(np.packbits(bits).tobytes())
             yield pa.RecordBatch.from_arrays([batch["slice"], pa.array(data, pa.binary())], ["slice", "data"])
 
-    bits = np.zeros((2 * cells // SLICE, SLICE // 8), np.uint8)
+    bits = np.zeros((2 * cells // at_once, at_once // 8), np.uint8)
     for row in packed.mapInArrow(pack, "slice long, data binary").toLocalIterator():
         bits[row["slice"]] = np.frombuffer(row["data"], np.uint8)
     return bits.reshape(-1), cells

@@ -159,9 +159,10 @@ def hash_share(word: str, shares: int) -> int:
 class Trie:
     """The words of one subtree, all of one length, sorted by their counts level after level."""
 
-    def __init__(self, counts: np.ndarray):
-        # The levels that part the words best come first; the order is the same for all searches here.
-        spread = [-len(np.unique(counts[:, k])) for k in range(GROUPS)]
+    def __init__(self, counts: np.ndarray, whole: bool = True):
+        # The levels that part the words best come first. A pair is searched by the order of its
+        # subtree, so a share of one, which knows only its own words, keeps the given order.
+        spread = [-len(np.unique(counts[:, k])) if whole else 0 for k in range(GROUPS)]
         self.levels = np.argsort(spread, kind="stable")
         counts = counts[:, self.levels]
         self.order = np.lexsort(counts.T[::-1])
@@ -252,7 +253,7 @@ def near(longer: np.ndarray, found: np.ndarray) -> np.ndarray:
     return head + tail >= n
 
 
-def _search(table: pa.Table) -> pa.Table:
+def _search(table: pa.Table, whole: bool) -> pa.Table:
     """What one subtree finds: for each word of a near pair its number of near words here and the best of them."""
     empty = pa.table({"word": pa.array([], pa.string()), "near": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "form": pa.array([], pa.string())})
     table = table.combine_chunks()
@@ -273,7 +274,7 @@ def _search(table: pa.Table) -> pa.Table:
     levels = len(table["node"][0].as_py()) // 4 - 1
     asked = counts[ask]
     asked[:, :levels] = counts[data[0], :levels]
-    trie = Trie(counts[data])
+    trie = Trie(counts[data], whole)
     for searcher, found in trie.search(asked, state, longer):
         for kind in (True, False):
             pick = longer[searcher] == kind
@@ -310,7 +311,9 @@ def near_words(table: DataFrame) -> DataFrame:
     """(word, n_near, best_n, best) for each word of ``table`` (word, n) that has a near word there."""
     levels, shares = choose_levels(table)
     dealt = table.mapInArrow(_deal(levels, shares), "node binary, share int, role byte, word string, n long")
-    parts = dealt.groupBy("node", "share").applyInArrow(_search, "word string, near long, n long, form string")
+    parts = dealt.groupBy("node", "share").applyInArrow(
+        lambda part: _search(part, shares == 1), "word string, near long, n long, form string"
+    )
     best = F.min(F.struct((-F.col("n")).alias("less"), "form"))
     return parts.groupBy("word").agg(F.sum("near").alias("n_near"), (-best["less"]).alias("best_n"), best["form"].alias("best"))
 
