@@ -51,7 +51,7 @@ _TOP = 20
 
 def _tokens(chunk: textnum.Chunk):
     starts, ends, first = chunk.words(textnum.PUNCTUATION, apart=True)
-    return textnum.PrefixHash(textnum.LOWER[chunk.data]).of(starts, ends), first
+    return textnum.digests(textnum.LOWER[chunk.data], starts, ends), first
 
 
 def build_index(items: list[tuple]) -> Index:

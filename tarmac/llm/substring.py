@@ -7,8 +7,8 @@ period, that puts both on cover positions. So two equal runs, wherever they lie
 texts, share an anchor: the ``LENGTH - PERIOD + 1`` words at that shift are inside both.
 
 Round one finds the anchors that occur more than once. Round two extends them: each full
-window that contains such an anchor is compared with all its like by a hash of 96 bits, in
-block-wise distinct form. Words covered by a window found twice are removed.
+window that contains such an anchor is compared with all its like by two independent 64-bit
+digests of its words, in block-wise distinct form. Words covered by a window found twice are removed.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ PERIOD = 21
 COVER = [3, 6, 7, 12, 14]
 ANCHOR = LENGTH - PERIOD + 1
 
-_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
-
 
 class _Words:
     """The words of a block's rows, one after another."""
@@ -37,14 +35,14 @@ class _Words:
         starts, ends, hashes, counts = [], [], [], []
         for chunk, base in block.chunks():
             s, e, first = chunk.words()
-            hashes.append(textnum.PrefixHash(chunk.data).of(s, e))
+            hashes.append(textnum.digests(chunk.data, s, e))
             starts.append(s + base)
             ends.append(e + base)
             counts.append(np.diff(first))
         self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
         self.hashes = np.concatenate(hashes)
         self.first = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
-        self.prefix = textnum.PrefixHash(self.hashes)
+        self.data = block.data
         n = np.diff(self.first)
         row = np.repeat(np.arange(len(n)), n)
         position = np.arange(len(row)) - self.first[row]
@@ -57,7 +55,7 @@ class _Words:
 
     def anchor_keys(self):
         """(sorted distinct keys, index of each anchor's key, key found more than once here)."""
-        hashes = self.prefix.of(self.anchors, self.anchors + ANCHOR)
+        hashes = textnum.window_digests(self.hashes, ANCHOR)[self.anchors]
         keys, back, count = np.unique(hashes, return_inverse=True, return_counts=True)
         return keys, back, count > 1
 
@@ -71,9 +69,8 @@ class _Words:
             np.add.at(delta, anchors + 1, -1)
             mask = (np.cumsum(delta[:-1]) > 0) & self.whole
         starts = np.flatnonzero(mask)
-        one = self.prefix.of(starts, starts + LENGTH)
-        other = textnum.PrefixHash(textnum.mix(self.hashes * _SECOND + np.uint64(1)))
-        two = (other.of(starts, starts + LENGTH) >> np.uint64(32)).astype(np.uint32)
+        one = textnum.window_digests(self.hashes, LENGTH)[starts]
+        two = textnum.window_digests(textnum.digests(self.data, self.starts, self.ends, seed=1), LENGTH)[starts]
         order = np.lexsort((two, one))
         new = np.ones(len(order), bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
@@ -98,8 +95,8 @@ def _reply_windows(_: list[int], data: list[bytes]) -> list[bytes]:
     for d in data:
         n = int(np.frombuffer(d, np.uint32, 1)[0])
         one.append(np.frombuffer(d[4 : 4 + 8 * n], np.uint64))
-        two.append(np.frombuffer(d[4 + 8 * n : 4 + 12 * n], np.uint32))
-        often.append(blocks.unpack_bits(d[4 + 12 * n :], n))
+        two.append(np.frombuffer(d[4 + 8 * n : 4 + 16 * n], np.uint64))
+        often.append(blocks.unpack_bits(d[4 + 16 * n :], n))
         sizes.append(n)
     one, two = np.concatenate(one), np.concatenate(two)
     order = np.lexsort((two, one))
@@ -137,8 +134,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256.
 
     Windows are judged on the input; a window that occurs again in its own text counts.
-    Null, empty and short texts have no window and keep what they have. Extra columns are
-    ignored.
+    Null, empty and short texts have no window and keep what they have. A repeated row is a
+    text of its own, so its windows occur again. Extra columns are ignored.
     """
     rows, parts = blocks.deal(docs)
 

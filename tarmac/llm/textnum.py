@@ -2,8 +2,13 @@
 
 A chunk is a run of rows whose UTF-8 bytes lie in one buffer. Words are maximal runs of
 bytes other than space and 0x09-0x0D; these separators are ASCII, so splitting bytes and
-splitting characters agree. A substring's hash is read off prefix polynomial hashes
-(modulo 2**64, byte values mapped through a fixed random table, then mixed).
+splitting characters agree.
+
+Where equal digests decide a result, they come from ``digests`` and ``window_digests``, which
+mix eight bytes, or two halves, at a time. ``PrefixHash`` gives the hash of any substring in
+O(1) from prefix polynomial hashes modulo 2**64; sequences can be built that agree under it
+(Thue-Morse words), so it serves only where equal hashes are compared again by content, and
+for hashed features of a model.
 """
 
 from __future__ import annotations
@@ -76,6 +81,48 @@ class PrefixHash:
         return mix((self.prefix[size:] - self.prefix[:n]) * _power("down", n))
 
 
+_HALF = U64(0x9E3779B97F4A7C15)
+_OTHER = U64(0xC2B2AE3D27D4EB4F)
+LONG = 64  # bytes of a range from which on it is digested on its own
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit digest of each byte range; other seeds give independent ones.
+
+    Ranges are read eight bytes at a time, all of them together; the few long ones one by one.
+    """
+    import xxhash
+
+    size = ends - starts
+    state = mix(size.astype(U64) * _OTHER + U64(seed) * _HALF + U64(1))
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, np.uint8))), 8)
+    active = np.flatnonzero((size > 0) & (size <= LONG))
+    for k in range(0, LONG, 8):
+        active = active[size[active] > k]
+        if not len(active):
+            break
+        block = np.ascontiguousarray(eight[starts[active] + k]).view("<u8")[:, 0]
+        spare = (8 * np.maximum(k + 8 - size[active], 0)).astype(U64)
+        block = block & (U64(0xFFFFFFFFFFFFFFFF) >> spare)
+        state[active] = mix(mix(state[active] + block * _HALF) ^ (block + U64(k)))
+    view = memoryview(np.ascontiguousarray(data))
+    for k in np.flatnonzero(size > LONG).tolist():
+        state[k] = xxhash.xxh3_64_intdigest(view[starts[k] : ends[k]], seed)
+    return state
+
+
+def window_digests(values: np.ndarray, size: int) -> np.ndarray:
+    """A digest of the ``size`` digests from each place on: of two halves, each digested so."""
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.empty(0, U64)
+    have, width = values, 1
+    while 2 * width <= size:
+        have = mix(mix(have[:-width] + _HALF) * _OTHER + have[width:])
+        width *= 2
+    return mix(mix(have[:n] + _HALF) * _OTHER + have[size - width : size - width + n] + U64(size))
+
+
 def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte and bytes of each character of a script without spaces, first byte of their punctuation marks, in UTF-8.
 
