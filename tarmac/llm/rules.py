@@ -6,9 +6,13 @@ share of the text's characters in content lines decides whether it is kept. Plai
 (words, symbols, repeated lines and words) are returned beside the verdict; texts that are
 too short or mostly repetition fail on those counts alone.
 
-No line labels exist, so the field learns from document labels: the lines of a text marked
-as good are content, those of a bad one boilerplate. Weights are fitted by gradient ascent
-on the exact log-likelihood (forward-backward) in numpy, on a bounded sample.
+No line labels exist, so they are latent: a document's label only says what most of its lines
+are. Fitting starts with every line labelled like its text; these labels never change inside a
+text, so only what single lines look like is learned from them, and no move between labels.
+Then it alternates (hard expectation maximisation): the likeliest labelling of each text in
+which the lines of its own label keep the majority, and all weights by gradient ascent on the
+exact log-likelihood (forward-backward). So a good text keeps its menu and a bad one its
+paragraph, and the field sees where labels change. All in numpy, on a bounded sample.
 """
 
 from __future__ import annotations
@@ -27,7 +31,10 @@ REPEAT_WORDS = 3  # words in a window of the repetition count
 CONTENT_SHARE = 0.5
 MAX_ROWS = 3000  # labelled rows learned from
 MAX_TEXT_BYTES = 1 << 15  # longest text learned from
-STEPS = 150
+STEPS = 150  # of gradient ascent for the first labels
+ROUNDS = 3  # of labelling lines anew
+ROUND_STEPS = 60  # of gradient ascent after each
+LEAN = 0.5  # log-odds by which a line leans to its text's label when labelled anew
 
 # The characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -75,12 +82,11 @@ def _between(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 def measure(chunk: textnum.Chunk) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """(counts of each row, bins of each line with a word, characters in its words, first line of each row)."""
     data, at = chunk.data, chunk.offsets
-    prefix = textnum.PrefixHash(data)
     starts, ends, first = chunk.words()
     row = chunk.row_of(first)
     row64 = textnum.mix(row.astype(np.uint64) + np.uint64(1))
     inside = ~textnum.SEPARATOR[data]
-    hashes = prefix.of(starts, ends)
+    hashes = textnum.digests(data, starts, ends)
 
     # Windows of three words found twice or more in their own row.
     n = len(starts)
@@ -104,7 +110,7 @@ def measure(chunk: textnum.Chunk) -> tuple[dict[str, np.ndarray], np.ndarray, np
     line_end = np.minimum(line_end, at[line_row + 1])
     full = _between(inside, line_start, line_end) > 0
     line_start, line_end, line_row = line_start[full], line_end[full], line_row[full]
-    key = prefix.of(line_start, line_end) ^ textnum.mix(line_row.astype(np.uint64) + np.uint64(1))
+    key = textnum.digests(data, line_start, line_end) ^ textnum.mix(line_row.astype(np.uint64) + np.uint64(1))
     _, where, back = np.unique(key, return_index=True, return_inverse=True)
     again = where[back] != np.arange(len(key)) if len(key) else np.zeros(0, bool)
 
@@ -163,30 +169,45 @@ def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def _fit(texts: list[tuple[np.ndarray, int]]) -> Field:
-    """Gradient ascent; all texts step through their lines together, the longer ones further."""
-    field = Field(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
-    texts = sorted((t for t in texts if len(t[0])), key=lambda t: -len(t[0]))
-    if not texts:
-        return field
-    longest, n = len(texts[0][0]), len(texts)
-    bins = np.zeros((longest, n, len(_SIZES)), np.int64)
-    length = np.array([len(b) for b, _ in texts])
-    for j, (b, _) in enumerate(texts):
-        bins[: len(b), j] = b
-    label = np.array([y for _, y in texts])
-    live = np.array([(length > t).sum() for t in range(longest)])  # sorted: a prefix of the texts
-    share = np.maximum(np.bincount(label, minlength=2), 1)
-    weight = (n / (2 * share))[label] / length  # a text counts once, both labels alike
+class _Sample:
+    """Labelled texts, the longest first, that step through their lines together."""
+
+    def __init__(self, texts: list[tuple[np.ndarray, int]]):
+        texts = sorted((t for t in texts if len(t[0])), key=lambda t: -len(t[0]))
+        self.n, self.longest = len(texts), len(texts[0][0]) if texts else 0
+        self.length = np.array([len(b) for b, _ in texts], np.int64)
+        self.label = np.array([y for _, y in texts], np.int64)
+        self.bins = np.zeros((self.longest, self.n, len(_SIZES)), np.int64)
+        for j, (b, _) in enumerate(texts):
+            self.bins[: len(b), j] = b
+        self.live = np.array([(self.length > t).sum() for t in range(self.longest)])  # a prefix of the texts
+        self.lines = np.broadcast_to(self.label, (self.longest, self.n)).copy()
+        share = np.maximum(np.bincount(self.label, minlength=2), 1)
+        if self.n:
+            self.weight = (self.n / (2 * share))[self.label] / self.length  # a text counts once, both labels alike
+
+    def relabel(self, field: Field) -> None:
+        """The likeliest lines of each text, if most of them still have the text's label."""
+        for j in range(self.n):
+            scores = field.emit[self.bins[: self.length[j], j]].sum(1)
+            scores[:, self.label[j]] += LEAN
+            lines = viterbi(scores, field)
+            if 2 * (lines == self.label[j]).sum() > len(lines):
+                self.lines[: self.length[j], j] = lines
+
+
+def _ascend(field: Field, sample: _Sample, steps: int, moves: bool = True) -> None:
+    """Adagrad steps up the log-likelihood of the sample's lines; without ``moves`` lines are independent."""
+    n, longest, live, lines, weight = sample.n, sample.longest, sample.live, sample.lines, sample.weight
     parameters = [field.emit, field.move, field.begin]
     memory = [np.zeros_like(p) for p in parameters]
-    for _ in range(STEPS):
-        scores = [field.emit[bins[t, : live[t]]].sum(1) for t in range(longest)]
+    for _ in range(steps):
+        scores = [field.emit[sample.bins[t, : live[t]]].sum(1) for t in range(longest)]
         forward = [field.begin + scores[0]]
         for t in range(1, longest):
             before = forward[-1][: live[t]]
             forward.append(scores[t] + _logsumexp(before[:, :, None] + field.move, 1))
-        last = np.stack([forward[k - 1][j] for j, k in enumerate(length)])
+        last = np.stack([forward[k - 1][j] for j, k in enumerate(sample.length)])
         norm = _logsumexp(last, 1)
         gradient = [-0.01 * p for p in parameters]
         backward = np.zeros((n, 2))
@@ -197,17 +218,30 @@ def _fit(texts: list[tuple[np.ndarray, int]]) -> Field:
                 ahead = backward[:k] + scores[t + 1]
                 pair = np.exp(forward[t][:k, :, None] + field.move + ahead[:, None, :] - norm[:k, None, None])
                 gradient[1] -= (pair * weight[:k, None, None]).sum(0) / n
-                np.add.at(gradient[1], (label[:k], label[:k]), weight[:k] / n)
+                np.add.at(gradient[1], (lines[t, :k], lines[t + 1, :k]), weight[:k] / n)
                 backward[:k] = _logsumexp(field.move + ahead[:, None, :], 2)
             delta = -np.exp(forward[t] + backward[:m] - norm[:m, None])
-            delta[np.arange(m), label[:m]] += 1
+            delta[np.arange(m), lines[t, :m]] += 1
             delta *= weight[:m, None] / n
-            np.add.at(gradient[0], bins[t, :m].ravel(), np.repeat(delta, len(_SIZES), 0))
+            np.add.at(gradient[0], sample.bins[t, :m].ravel(), np.repeat(delta, len(_SIZES), 0))
             if t == 0:
                 gradient[2] += delta.sum(0)
+        if not moves:
+            gradient[1][:] = 0
         for p, g, m in zip(parameters, gradient, memory):
             m += g * g
             p += 0.3 * g / np.sqrt(m + 1e-12)
+
+
+def _fit(texts: list[tuple[np.ndarray, int]]) -> Field:
+    field = Field(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
+    sample = _Sample(texts)
+    if not sample.n:
+        return field
+    _ascend(field, sample, STEPS, moves=False)
+    for _ in range(ROUNDS):
+        sample.relabel(field)
+        _ascend(field, sample, ROUND_STEPS)
     return field
 
 

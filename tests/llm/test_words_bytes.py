@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tarmac.llm import blocks, graph, rules, simhash, substring, suffix
+from tarmac.llm import blocks, graph, rules, simhash, substring, suffix, textnum
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -261,3 +261,76 @@ def test_empty_tables(documents):
     assert suffix.remove_later_copies(empty).count() == 0
     assert simhash.near_duplicates(empty).count() == 0
     assert simhash.keep_one(empty).count() == 0
+
+
+def thue_morse(n):
+    """A word over a and b, and the word with both exchanged: equal under any odd base modulo 2**64 from 1,024 letters on."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_digests_tell_thue_morse_words_apart():
+    for n in (8, 64, 65, 1024, 2048):
+        a, b = thue_morse(n)
+        data = np.frombuffer((a + b).encode(), np.uint8)
+        start, end = np.array([0, n]), np.array([n, 2 * n])
+        one, other = textnum.digests(data, start, end)
+        assert one != other and one != textnum.digests(data, start, end, seed=1)[0]
+        flags = np.concatenate([textnum.mix(np.array([1, 2], np.uint64))[[int(c == "b") for c in w]] for w in (a, b)])
+        windows = textnum.window_digests(flags, n)
+        assert windows[0] != windows[n] and len(windows) == n + 1
+    assert len(textnum.window_digests(np.zeros(3, np.uint64), 4)) == 0
+
+
+def test_window_digests_agree_where_windows_do():
+    rng = np.random.default_rng(0)
+    values = textnum.mix(rng.integers(0, 3, 400).astype(np.uint64))
+    for size in (1, 2, 3, 5, 8, 15, 35):
+        found = textnum.window_digests(values, size)
+        seen = {}
+        for k, digest in enumerate(found.tolist()):
+            assert seen.setdefault(digest, tuple(values[k : k + size])) == tuple(values[k : k + size])
+        assert len(seen) == len({tuple(values[k : k + size]) for k in range(len(found))})
+
+
+def test_substring_dedup_of_thue_morse_words(documents):
+    a, b = thue_morse(1024)
+    shared = [f"w{k}" for k in range(17)]
+    rows = [(1, " ".join([*shared, a, *shared])), (2, " ".join([*shared, b, *shared])), (3, " ".join([*shared, a, *shared]))]
+    got = substring.remove_repeats(documents(rows)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_substring(rows)))
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {1: 35, 2: 0, 3: 35}
+
+
+def test_rules_count_thue_morse_lines(spark, documents):
+    a, b = thue_morse(2048)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    (row,) = rules.line_rules(documents([(1, f"{a}\n{b}\n{a} x y\n{b} x y")]), labels).collect()
+    assert (row["n_dup_lines"], row["n_repeat_words"]) == (0, 0)
+
+
+def test_mixed_texts_are_split_where_their_lines_change(spark, documents):
+    """Good texts hold a menu, bad ones a paragraph; only texts are labelled, lines are judged."""
+    r = random.Random(3)
+    prose = lambda: " ".join(r.choice(["river", "stone", "walks", "slowly", "the", "green"]) for _ in range(r.randint(9, 20))) + "."
+    junk = lambda: " ".join(r.choice(["$$$", "BUY", "###", "NOW", "4711", "|||"]) for _ in range(r.randint(2, 6)))
+    rows, marks, truth = [], [], {}
+    for i in range(400):
+        share = r.choice([0.0, 0.2, 0.35, 0.65, 0.8, 1.0])
+        n = r.randint(10, 20)
+        content = round(share * n)
+        lines = [prose() for _ in range(content)] + [junk() for _ in range(n - content)]
+        if r.random() < 0.5:
+            lines.reverse()
+        rows.append((i, "\n".join(lines)))
+        size = lambda text: sum(map(len, text.split()))
+        truth[i] = sum(size(x) for x in lines if x.endswith(".")) / sum(map(size, lines))
+        if i < 300:
+            marks.append((i, int(share > 0.5), 0))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    field = rules.fit(documents(rows), labels)
+    got = {g["doc_id"]: g["content_share"] for g in rules.judge(documents(rows), field).collect()}
+    held = [i for i in range(300, 400)]
+    assert np.mean([abs(got[i] - truth[i]) for i in held]) < 0.05
+    mixed = [i for i in held if 0.1 < truth[i] < 0.9]
+    assert len(mixed) > 20 and np.mean([abs(got[i] - truth[i]) < 0.1 for i in mixed]) > 0.9
