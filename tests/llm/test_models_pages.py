@@ -1,6 +1,7 @@
 """Classifiers, pages, personal data, mixing, decontamination and the pipeline."""
 
 import hashlib
+import heapq
 import random
 import re
 import zlib
@@ -309,16 +310,40 @@ def test_small_sources_are_mixed_whatever_the_size(documents, monkeypatch):
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= own[0]["target"] / 16
 
 
+def highest_quotients(votes, seats):
+    """Seats by listing quotients in a heap; ties go to the lower party."""
+    heap = [(-v, p, 0) for p, v in enumerate(votes) if v > 0]
+    heapq.heapify(heap)
+    won = [0] * len(votes)
+    for _ in range(seats if heap else 0):
+        _, p, k = heapq.heappop(heap)
+        won[p] += 1
+        heapq.heappush(heap, (-votes[p] / (2 * k + 3), p, k + 1))
+    return won
+
+
 def test_sainte_lague_is_highest_quotients(spark):
     r = random.Random(9)
-    for _ in range(4):
-        votes = [r.choice([0, 1, 7, 50, 333, 1000]) + r.random() for _ in range(6)]
-        seats = r.randint(0, 60)
-        df = spark.createDataFrame([(k, v) for k, v in enumerate(votes)], "p int, v double")
-        unit = F.lit(sum(votes) / max(seats, 1))
-        got = mixing.sainte_lague(df, [], "v", F.lit(seats), unit, ["p"], F.lit(8)).collect()
-        heap = sorted(((-v / (2 * k + 1), p) for p, v in enumerate(votes) for k in range(seats)))[:seats]
-        assert {g["p"]: g["blocks"] for g in got} == {p: sum(q == p for _, q in heap) for p in range(6)}
+    cases = [([r.choice([0, 1, 7, 50, 333, 1000]) + r.random() for _ in range(6)], r.randint(0, 60)) for _ in range(6)]
+    cases += [
+        ([16.45] * 1999 + [1_000_000.0], 1_002_000),  # one party far above many
+        ([2.4] * 999 + [2500.0], 2000),
+        ([5.0] * 40, 17),  # ties alone
+        ([3.0, 0.0, 1.0], 0),
+        ([0.0, 0.0], 5),
+        ([1e-3, 1e9, 7.0], 11),
+        ([float(r.randint(1, 9)) for _ in range(300)], 40),  # more parties than seats
+    ]
+    rows = [(None if g == 3 else f"g{g}", k, v, seats) for g, (votes, seats) in enumerate(cases) for k, v in enumerate(votes)]
+    df = spark.createDataFrame(rows, "g string, p int, v double, n long")
+    got = mixing.sainte_lague(df, "g", "v", "n", "p").collect()
+    found = {(r["g"], r["p"]): r["blocks"] for r in got}
+    assert len(got) == len(rows)
+    for g, (votes, seats) in enumerate(cases):
+        name = None if g == 3 else f"g{g}"
+        assert [found[name, p] for p in range(len(votes))] == highest_quotients(votes, seats), g
+    alone = mixing.sainte_lague(df.filter("g = 'g0'"), None, "v", "n", "p").collect()
+    assert {r["p"]: r["blocks"] for r in alone} == {p: found["g0", p] for p in range(6)}
 
 
 def brute_tiles(item, doc):
