@@ -29,6 +29,7 @@ ROUNDS = 3  # of scores going back and forth
 LEAST_SEEDS = 5  # distinct seeds or discovered identifiers next to a pattern before it scores
 TRUST = 0.8  # score from which a pattern is a high-confidence one
 ACCEPT = 0.9  # score from which an instance is an identifier
+RUN = 512  # matches that are located together
 LEAST_LENGTH = 6  # characters of an identifier
 CONTEXT = 40  # characters beside a token in which its neighbour word is looked for
 
@@ -53,6 +54,17 @@ def _empty() -> Column:
     return F.expr(f"cast(array() as {_SPANS})")
 
 
+def _in_runs(items: Column) -> Column:
+    """An array cut into runs of ``RUN``, so that lists that grow one by one stay short."""
+
+    def cut(xs: Column) -> Column:
+        last = F.floor((F.size(xs) - 1) / RUN).cast("int")
+        starts = F.when(F.size(xs) > 0, F.sequence(F.lit(0), last)).otherwise(F.expr("cast(array() as array<int>)"))
+        return F.transform(starts, lambda k: F.slice(xs, k * RUN + 1, F.lit(RUN)))
+
+    return F.transform(F.array(items), cut)[0]
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """(start, stop, value, text left and right) of the leftmost non-overlapping matches, in code points.
 
@@ -85,8 +97,15 @@ def _matches(text: Column, pattern: str) -> Column:
             F.slice(gap, F.lit(2), n).alias("after"),
             F.slice(gap, F.lit(3), n).alias("beyond"),
         )
-        begin = F.struct(F.lit(0).alias("at"), _empty().alias("out"))
-        return F.aggregate(zipped, begin, step, lambda acc: acc["out"])
+        def run(acc: Column, part: Column) -> Column:
+            begin = F.struct(acc["at"].alias("at"), _empty().alias("out"))
+            done = F.aggregate(part, begin, step)
+            joined = lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out"))
+            return F.transform(F.array(done), joined)[0]
+
+        none = F.slice(F.array(_empty()), F.lit(1), F.lit(0))
+        begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
+        return F.aggregate(_in_runs(zipped), begin, run, lambda acc: F.flatten(acc["out"]))
 
     return F.transform(F.array(both), located)[0]  # split once
 
@@ -163,8 +182,15 @@ def _candidates(text: Column, base: Column) -> Column:
         value = F.substr(t["value"], lead + 1, F.length(t["value"]) - lead - trail)
         return placed(t, t["start"] + lead, t["stop"] - trail, value, False)
 
-    apart = lambda t: ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
-    tokens = F.when(text.rlike(_MARK), F.filter(_matches(text, _TOKEN), apart)).otherwise(_empty())
+    def apart(part: Column) -> Column:
+        """The tokens of a run, in order, that meet no base span; only spans near the run are looked at."""
+        low, high = F.element_at(part, 1)["start"], F.element_at(part, -1)["stop"]
+        near = F.filter(base, lambda b: (b["start"] < high) & (low < b["stop"]))
+        meets = lambda spans, t: F.exists(spans, lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
+        return F.transform(F.array(near), lambda spans: F.filter(part, lambda t: ~meets(spans, t)))[0]
+
+    found = F.flatten(F.transform(_in_runs(_matches(text, _TOKEN)), apart))
+    tokens = F.when(text.rlike(_MARK), found).otherwise(_empty())
     both = F.concat(F.transform(base, seed), F.transform(tokens, token))
     return F.filter(both, lambda c: F.length(c["value"]) >= LEAST_LENGTH)
 

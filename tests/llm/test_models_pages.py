@@ -441,3 +441,19 @@ def test_stages_on_odd_rows(spark, documents, odd, clashing):
         assert out.count() <= len(odd), name
         if name != "source_mix":
             assert out.columns == docs.columns, name
+
+
+def test_spans_of_a_text_of_very_many_numbers(documents):
+    """Places are found in runs: the time grows with the text, not with its square."""
+    import time
+
+    r = random.Random(2)
+    words = [f"{r.randrange(10**9)}" if k % 3 else f"+49 170 {r.randrange(10**7):07d}" for k in range(60_000)]
+    text = " x ".join(words)
+    began = time.time()
+    (row,) = pii.find(documents([(1, text)])).collect()
+    assert time.time() - began < 120
+    assert row["n_phone"] == 20_000
+    phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    spans = [f"phone:{m.start()}:{m.end()}" for m in phone.finditer(text) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
+    assert [s for s in row["spans"].split(",") if s.startswith("phone")] == spans
