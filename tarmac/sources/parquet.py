@@ -110,7 +110,13 @@ def load_staging(
     By default each month in the source replaces the same month in the table
     (others are kept), so loading month by month accumulates history; with
     ``mode="truncate"`` the table holds only what this load brought.
+
+    Files whose columns do not fit the declared types are named and refused
+    (:mod:`tarmac.sources.footers`) before anything is read or replaced.
     """
+    from tarmac.sources import footers
+
+    footers.check(spark, source_path, S.STAGING_SOURCE_SCHEMA, partitions=("year", "month"))
     src = spark.read.parquet(source_path)
     conformed = conform(src, S.STAGING_SOURCE_SCHEMA)
     write_clean(conformed, table_path, mode=mode, salt_buckets=salt_buckets)

@@ -6,11 +6,12 @@ import zipfile
 import pytest
 from flightlines import write_csv
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac import schema as S
 from tarmac.operators import clean as C
 from tarmac.operators import intake
-from tarmac.sources import archives, parquet, raw_csv
+from tarmac.sources import archives, footers, parquet, raw_csv
 
 LINES = ["HA/118 HNL-OGG 2021-07-04 dep=3 arr=x in=0758", "AS/7 SEA-HNL 2021-07-05", "/7 SEA-HNL 2021-07-06 off=1 why=B"]
 
@@ -168,6 +169,27 @@ class TestParquetSinks:
         assert set(table.columns) == {f.name for f in S.STAGING_SOURCE_SCHEMA.fields}
         assert table.count() == 1
 
+    def test_a_drifted_file_is_named_and_refused(self, flights, spark, scratch):
+        parquet.write_clean(self._clean(flights, "2024-01-15"), f"{scratch}/clean")
+        table = parquet.load_staging(spark, f"{scratch}/clean", f"{scratch}/raw_flights")
+        before = sorted(map(str, table.collect()))
+        month = f"{scratch}/clean/year=2024/month=2"
+        good = self._clean(flights, "2024-02-01", arr="7").drop("year", "month")
+        good.withColumn("arr_delay", F.col("arr_delay").cast("string")).withColumn("distance", F.lit(3).cast("smallint")).coalesce(1).write.parquet(month)
+        good.drop("origin").coalesce(1).write.mode("append").parquet(month)
+        with pytest.raises(footers.DriftedSchema) as caught:
+            parquet.load_staging(spark, f"{scratch}/clean", f"{scratch}/raw_flights")
+        kinds = {(column, declared, stored, files) for column, declared, stored, files, _ in caught.value.drifts}
+        assert kinds == {("arr_delay", "float", "string", 1), ("origin", "string", "missing", 1)}  # a short distance widens
+        assert all("/month=2/" in example for *_, example in caught.value.drifts)
+        assert sorted(map(str, spark.read.schema(table.schema).parquet(f"{scratch}/raw_flights").collect())) == before
+
+    def test_widening_and_empty_folders_fit(self, spark, scratch):
+        assert footers.fits(T.DoubleType(), "float") and footers.fits(T.LongType(), "int")
+        assert not footers.fits(T.FloatType(), "double") and not footers.fits(T.StringType(), "int")
+        os.makedirs(f"{scratch}/none")
+        footers.check(spark, f"{scratch}/none", S.STAGING_SOURCE_SCHEMA)
+
     def test_conform_missing_column(self, spark):
         with pytest.raises(ValueError):
             parquet.conform(spark.range(1), S.STAGING_SOURCE_SCHEMA)
