@@ -32,7 +32,7 @@ SPACE = "▁"  # stands for a blank inside pieces
 NORMAL, BYTE, CONTROL, UNKNOWN = "normal", "byte", "control", "unknown"
 UNKNOWN_TEXT = " ⁇ "  # what an unknown id decodes to
 
-KEPT_PARTS = 400_000  # parts of texts that a task keeps, each of ``KEPT_LENGTH`` code points at most
+KEPT_PARTS = 300_000  # parts of texts that a task keeps, each of ``KEPT_LENGTH`` code points at most
 KEPT_LENGTH = 48
 KEPT_PAIRS = 2_000_000
 
@@ -308,8 +308,8 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
             lists = batch.column(place).fill_null([]) if batch.column(place).null_count else batch.column(place)
             offsets = lists.offsets.to_numpy()
             row = 0
-            while row < batch.num_rows:  # runs of about a million ids
-                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + (1 << 20), "right")) - 1)
+            while row < batch.num_rows:  # runs of ids whose text is about a megabyte
+                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + (1 << 18), "right")) - 1)
                 at = offsets[row : stop + 1]
                 texts = decoder.decode(lists.values[at[0] : at[-1]].to_numpy(), at - at[0])
                 part = batch.slice(row, stop - row)
