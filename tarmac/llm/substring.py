@@ -70,7 +70,10 @@ class _Words:
             mask = (np.cumsum(delta[:-1]) > 0) & self.whole
         starts = np.flatnonzero(mask)
         one = textnum.window_digests(self.hashes, LENGTH)[starts]
-        two = textnum.window_digests(textnum.digests(self.data, self.starts, self.ends, seed=1), LENGTH)[starts]
+        inside = np.flatnonzero(textnum.covered(starts, LENGTH, len(mask)))
+        second = np.zeros(len(mask), np.uint64)
+        second[inside] = textnum.digests(self.data, self.starts[inside], self.ends[inside], seed=1)
+        two = textnum.window_digests(second, LENGTH)[starts]
         order = np.lexsort((two, one))
         new = np.ones(len(order), bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])

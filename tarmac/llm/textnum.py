@@ -95,16 +95,16 @@ def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int =
 
     size = ends - starts
     state = mix(size.astype(U64) * _OTHER + U64(seed) * _HALF + U64(1))
-    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, np.uint8))), 8)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
     active = np.flatnonzero((size > 0) & (size <= LONG))
     for k in range(0, LONG, 8):
-        active = active[size[active] > k]
+        active = active[size[active] > k] if k else active
         if not len(active):
             break
-        block = np.ascontiguousarray(eight[starts[active] + k]).view("<u8")[:, 0]
-        spare = (8 * np.maximum(k + 8 - size[active], 0)).astype(U64)
-        block = block & (U64(0xFFFFFFFFFFFFFFFF) >> spare)
-        state[active] = mix(mix(state[active] + block * _HALF) ^ (block + U64(k)))
+        left = size[active] - k
+        block = eight[starts[active] + k] & (U64(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(8 - left, 0)).astype(U64))
+        state[active] = mix(state[active] + block * _HALF)
     view = memoryview(np.ascontiguousarray(data))
     for k in np.flatnonzero(size > LONG).tolist():
         state[k] = xxhash.xxh3_64_intdigest(view[starts[k] : ends[k]], seed)
@@ -118,9 +118,9 @@ def window_digests(values: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, U64)
     have, width = values, 1
     while 2 * width <= size:
-        have = mix(mix(have[:-width] + _HALF) * _OTHER + have[width:])
+        have = mix(have[:-width] * _OTHER + have[width:])
         width *= 2
-    return mix(mix(have[:n] + _HALF) * _OTHER + have[size - width : size - width + n] + U64(size))
+    return mix(have[:n] * _OTHER + have[size - width : size - width + n] + U64(size))
 
 
 def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
