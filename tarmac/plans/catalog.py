@@ -239,6 +239,13 @@ def dq_unique(spark, sf_dir):
     return quality.unique_from_fact(m.fact, m.dim)
 
 
+def dq_unique_by_hash(spark, sf_dir):
+    """A key, and a column that repeats: hashes first, values only where hashes repeat."""
+    fact = _m(spark, sf_dir).fact
+    columns = ["flight_id", "route"]
+    return quality.union_results([quality.unique_stored(fact, "fct_flights", c) for c in columns])
+
+
 def dq_not_null(spark, sf_dir):
     m = _m(spark, sf_dir)
     return quality.not_null_from_fact(m.fact, m.dim)
@@ -296,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "trend_years": trend_years,
     "range_carrier_avg": range_carrier_avg,
     "dq_unique": dq_unique,
+    "dq_unique_by_hash": dq_unique_by_hash,
     "dq_not_null": dq_not_null,
     "dq_source_not_null": dq_source_not_null,
     "dq_accepted_values": dq_accepted_values,

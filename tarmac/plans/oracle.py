@@ -472,6 +472,10 @@ FROM rc
             ]
         ),
     ),
+    "dq_unique_by_hash": _with(
+        "fct",
+        _unique("fct_flights", "flight_id", "fct") + "\nUNION ALL\n" + _unique("fct_flights", "route", "fct"),
+    ),
     "dq_not_null": _with(
         "rt",
         "\nUNION ALL\n".join(

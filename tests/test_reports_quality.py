@@ -152,6 +152,25 @@ class TestQuality:
         out = quality.expression_is_true(df, "m", "delay_pct", "delay_pct >= 0 and delay_pct <= 100")
         assert out.first()["failures"] == 2
 
+    def test_unique_by_hashes_first_equals_the_plain_check(self, spark):
+        keys = spark.range(2000).select(F.md5(F.col("id").cast("string")).alias("k"))
+        nulls = spark.createDataFrame([(None,), (None,)], "k string")
+        hot = spark.createDataFrame([("hot",)] * 1000 + [("twice",)] * 2, "k string")
+        for rows, failures in ((keys, 0), (keys.unionByName(nulls), 0), (keys.unionByName(hot), 2), (keys.limit(0), 0)):
+            for most in (quality.MARKS, 1):
+                got = quality.unique_stored(rows, "m", "k", most).collect()
+                assert got == quality.unique(rows, "m", "k").collect() and got[0]["failures"] == failures
+
+    def test_unique_by_hashes_first_shuffles_no_key(self, spark, scratch):
+        spark.range(500).select(F.md5(F.col("id").cast("string")).alias("k")).write.parquet(f"{scratch}/t")
+        rows = spark.read.parquet(f"{scratch}/t")
+        plan = quality.unique_stored(rows, "m", "k")._jdf.queryExecution().executedPlan().toString()
+        assert "parquet" not in plan  # no hash occurs twice: the table is read once, for its hashes
+        twice = rows.unionByName(rows.limit(3))
+        plan = quality.unique_stored(twice, "m", "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert plan.index("BroadcastHashJoin") > plan.index("Exchange hashpartitioning(k")  # joined before keys move
+
     def test_suite_passes_on_clean_reports_and_catches_planted_faults(self, spark, rc, rt):
         dim = marts.carrier_dimension(spark)
         fact = spark.createDataFrame(

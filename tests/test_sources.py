@@ -1,8 +1,10 @@
 """Raw CSV and archive readers, Parquet sinks and their layouts."""
 
+import glob
 import os
 import zipfile
 
+import pyarrow.parquet as pq
 import pytest
 from flightlines import write_csv
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from tarmac import schema as S
 from tarmac.operators import clean as C
 from tarmac.operators import intake
-from tarmac.sources import archives, footers, parquet, raw_csv
+from tarmac.sources import archives, clustering, footers, parquet, raw_csv
 
 LINES = ["HA/118 HNL-OGG 2021-07-04 dep=3 arr=x in=0758", "AS/7 SEA-HNL 2021-07-05", "/7 SEA-HNL 2021-07-06 off=1 why=B"]
 
@@ -229,3 +231,79 @@ class TestParquetSinks:
         assert parquet.as_table(df, "named_clean_test", out, partition_by=["year", "month"]).count() == 3
         assert spark.table("named_clean_test").filter("month = 3").count() == 1
         spark.sql("DROP TABLE named_clean_test")
+
+
+class TestCurve:
+    """Rows along a space-filling curve of carrier and origin."""
+
+    CARRIERS = [f"C{k:02d}" for k in range(16)]
+    AIRPORTS = [f"A{k:02d}" for k in range(32)]
+
+    def _rows(self, spark, n=40000):
+        carrier = F.array(*map(F.lit, self.CARRIERS))[(F.xxhash64("id") % 16 + 16).cast("int") % 16]
+        origin = F.array(*map(F.lit, self.AIRPORTS))[(F.xxhash64("id", F.lit(1)) % 32 + 32).cast("int") % 32]
+        return spark.range(n).select(
+            F.lit(2024).alias("flight_year"), F.lit(1).alias("flight_month"), F.col("id"),
+            carrier.alias("carrier_code"), origin.alias("origin_airport"), F.md5(F.col("id").cast("string")).alias("pad"),
+        )
+
+    @staticmethod
+    def _groups(path, column, value):
+        """(row groups that may hold ``column = value``, all row groups), by the footers."""
+        hit = total = 0
+        for name in glob.glob(f"{path}/**/*.parquet", recursive=True):
+            meta = pq.ParquetFile(name).metadata
+            at = meta.schema.names.index(column)
+            for g in range(meta.num_row_groups):
+                stats = meta.row_group(g).column(at).statistics
+                total += 1
+                hit += stats.min <= value <= stats.max
+        return hit, total
+
+    def test_a_filter_on_the_second_column_skips_row_groups(self, spark, scratch):
+        rows = self._rows(spark)
+        by = dict(partition_by=["flight_year", "flight_month"], cluster_by=["carrier_code", "origin_airport"])
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # as many files on either side
+        try:
+            with_old = spark.conf.get("spark.sql.shuffle.partitions")
+            spark.conf.set("spark.sql.shuffle.partitions", "16")
+            parquet.write_partitioned(rows, f"{scratch}/sorted", **by, salt_buckets=16)
+            clustering.write_curved(rows, f"{scratch}/curved", **by)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+            spark.conf.set("spark.sql.shuffle.partitions", with_old)
+        order = ["id", "carrier_code", "origin_airport", "pad"]
+        key = lambda p: sorted(map(tuple, spark.read.parquet(p).select(*order).collect()))
+        assert key(f"{scratch}/curved") == key(f"{scratch}/sorted")
+        for column, value in (("origin_airport", "A07"), ("carrier_code", "C05")):
+            hit, total = self._groups(f"{scratch}/curved", column, value)
+            before, all_before = self._groups(f"{scratch}/sorted", column, value)
+            assert hit / total <= 0.5 and hit / total < before / all_before
+
+    def test_places_follow_both_columns_and_nulls_come_first(self, spark):
+        rows = spark.createDataFrame(
+            [(c, o) for c in ("A", "B", "C", "D") for o in (1, 2, 3, 4)] + [(None, None)], "c string, o int"
+        )
+        borders = clustering.cell_borders(rows, ["c", "o"], bits=2)
+        got = {(r["c"], r["o"]): r["place"] for r in rows.withColumn("place", clustering.curve(rows, ["c", "o"], borders, 2)).collect()}
+        assert got[None, None] == min(got.values())
+        for o in (1, 2, 3, 4):
+            assert [got[c, o] for c in "ABCD"] == sorted(got[c, o] for c in "ABCD")
+        for c in "ABCD":
+            assert [got[c, o] for o in (1, 2, 3, 4)] == sorted(got[c, o] for o in (1, 2, 3, 4))
+        assert got["D", 4] == max(got.values()) and len(set(got.values())) > 8
+        assert got["A", 4] < got["D", 4] and got["D", 1] < got["D", 4]
+
+    def test_other_months_stay_and_an_odd_table_is_written(self, spark, scratch):
+        out = f"{scratch}/t"
+        rows = self._rows(spark, 200)
+        clustering.write_fact_curved(rows, out)
+        later = rows.limit(5).withColumn("flight_month", F.lit(2)).withColumn("_place", F.lit("x")).drop("pad")
+        clustering.write_curved(later, out, ["flight_year", "flight_month"], ["carrier_code", "origin_airport"])
+        clustering.write_fact_curved(rows.limit(0), out)
+        hot = rows.withColumn("flight_month", F.lit(3)).withColumn("carrier_code", F.lit(None).cast("string"))
+        clustering.write_fact_curved(hot, out)
+        counts = {r[0]: r[1] for r in spark.read.parquet(out).groupBy("flight_month").count().collect()}
+        assert counts == {1: 200, 2: 5, 3: 200}
+        with pytest.raises(ValueError, match="cannot be laid out"):
+            clustering.cell_borders(rows.withColumn("m", F.array("id")), ["m"])
