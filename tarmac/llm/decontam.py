@@ -5,7 +5,9 @@ spaces. Documents and benchmark items are joined
 on seeds, the hashes of ``SEED`` consecutive tokens. For each joined pair the running
 Karp-Rabin tiling starts: seeds on one diagonal grow to maximal matches, which are verified
 token by token; the longest match whose tokens are all free becomes a tile, matches that it
-cuts into go back with what is left of them, and so on until none has ``SEED`` tokens. Tiles
+cuts into go back with what is left of them, and so on until none has ``SEED`` tokens. A text
+and an item that repeat their seeds, whose pairs of places would be many, are searched by length
+instead, longest matches first, which gives the same tiles in linear memory. Tiles
 may lie in any order, so passages that were reordered are caught too. A document leaks an
 item when tiles cover at least ``COVERAGE`` of the item's tokens. An item with fewer than
 ``SEED`` tokens has its whole token sequence for a seed, and leaks where that is found.
@@ -30,6 +32,8 @@ from tarmac.llm import learn, textnum
 SEED = 5  # tokens of a seed, and the least of a tile
 COVERAGE = 0.5
 BLOCK_BYTES = 8 << 20  # benchmark text broadcast at once, about
+SEED_PAIRS = 1 << 16  # with more pairs of places of a row and an item matches are searched by length; equal results
+EXPANDED = 1 << 20  # places in items at once, about
 
 
 @dataclass
@@ -106,6 +110,69 @@ def tile(item: np.ndarray, doc: np.ndarray, i: np.ndarray, j: np.ndarray) -> lis
     return tiles
 
 
+def tile_by_length(item: np.ndarray, doc: np.ndarray, free_doc: np.ndarray) -> list[tuple[int, int, int]]:
+    """The tiles of :func:`tile`, in memory linear in item and document, however often seeds repeat.
+
+    ``free_doc`` marks the places of the document that any seed covers. Longest first: the length
+    of the longest match of free tokens is found by bisection over the digests of all windows of
+    a length, then every match of that length is marked, in the order of its places. Each round
+    leaves shorter matches only, and tiles of many lengths take many tokens of the item, so
+    rounds are few.
+    """
+    free_item, free_doc, tiles = np.ones(len(item), bool), free_doc.copy(), []
+    most = min(len(item), len(doc))
+    while most >= SEED:
+        ahead_item, ahead_doc = _ahead(free_item), _ahead(free_doc)
+
+        def windows(n: int, ahead_item=ahead_item, ahead_doc=ahead_doc):
+            """Places of free windows of ``n`` tokens that item and document share, and their digests."""
+            a, b = np.flatnonzero(ahead_item >= n), np.flatnonzero(ahead_doc >= n)
+            if not len(a) or not len(b):
+                return a[:0], b[:0], None, None
+            of_a, of_b = textnum.window_digests(item, n)[a], textnum.window_digests(doc, n)[b]
+            a_in, b_in = np.isin(of_a, of_b), np.isin(of_b, of_a)
+            return a[a_in], b[b_in], of_a[a_in], of_b[b_in]
+
+        low, high = SEED - 1, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            if len(windows(middle)[0]):
+                low = middle
+            else:
+                high = middle - 1
+        if low < SEED:
+            break
+        a, b, of_a, of_b = windows(low)
+        order = np.argsort(of_b, kind="stable")
+        b, of_b = b[order], of_b[order]
+        begin, end = np.searchsorted(of_b, of_a, "left"), np.searchsorted(of_b, of_a, "right")
+        passed: dict[int, int] = {}  # of each digest: places before this one are taken
+        for x, lo, hi in zip(a.tolist(), begin.tolist(), end.tolist()):
+            if not (free_item[x] and free_item[x + low - 1]):
+                continue  # a tile of this length took one of its ends
+            at = passed.get(lo, lo)
+            while at < hi and not (free_doc[b[at]] and free_doc[b[at] + low - 1]):
+                at += 1
+            passed[lo] = at
+            while at < hi:
+                y = int(b[at])
+                if free_doc[y] and free_doc[y + low - 1] and (item[x : x + low] == doc[y : y + low]).all():
+                    free_item[x : x + low] = False
+                    free_doc[y : y + low] = False
+                    tiles.append((x, y, low))
+                    break
+                at += 1
+        most = low - 1
+    return tiles
+
+
+def _ahead(free: np.ndarray) -> np.ndarray:
+    """How many free tokens follow from each place on."""
+    n = len(free)
+    taken = np.where(free, n, np.arange(n))
+    return np.minimum.accumulate(taken[::-1])[::-1] - np.arange(n)
+
+
 def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     """(from, to) of the runs of true values with at least ``SEED`` of them."""
     edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
@@ -141,26 +208,66 @@ def chunk_leaks(chunk: textnum.Chunk, index: Index, coverage: float) -> Iterator
     row = np.searchsorted(first, at, "right") - 1
     own = at + SEED <= first[row + 1]  # not over the end of the row
     at, found, row = at[own], found[own], row[own]
-    count = index.begin[found + 1] - index.begin[found]
-    place = np.repeat(index.begin[found], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at, row, item, i = np.repeat(at, count), np.repeat(row, count), index.item[place], index.at[place]
-    order = np.lexsort((item, row))
-    at, row, item, i = at[order], row[order], item[order], i[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
-    begin = np.append(np.flatnonzero(new), len(at))
-    for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist()):
-        r, k = int(row[lo]), int(item[lo])
+    last = None
+    for r, k, seeds, i in _shared(row, found, index):
         whole = index.tokens[k]
-        places = np.unique(i[lo:hi])
-        if textnum.covered(places, SEED, len(whole)).sum() < coverage * len(whole):
+        if textnum.covered(np.unique(i), SEED, len(whole)).sum() < coverage * len(whole):
             continue  # tiles cover no more than all seeds together
-        tiles = tile(whole, tokens[first[r] : first[r + 1]], i[lo:hi], at[lo:hi] - first[r])
+        if r != last:  # the row's seeds, in their order
+            last = r
+            part = slice(*np.searchsorted(row, [r, r + 1]).tolist())
+            order = np.argsort(found[part], kind="stable")
+            here, places = found[part][order], at[part][order] - first[r]
+        text = tokens[first[r] : first[r + 1]]
+        held = textnum.covered(np.unique(places[np.isin(here, seeds)]), SEED, len(text))
+        if held.sum() < coverage * len(whole):
+            continue  # nor more than they cover of the row
+        begin, end = np.searchsorted(here, seeds, "left"), np.searchsorted(here, seeds, "right")
+        times = end - begin
+        if times.sum() <= SEED_PAIRS:
+            j = places[np.repeat(begin, times) + _counted(times)]
+            tiles = tile(whole, text, np.repeat(i, times), j)
+        else:
+            tiles = tile_by_length(whole, text, held)
         tiled = sum(n for _, _, n in tiles)
         if tiled >= coverage * len(whole):
             yield r, k, len(tiles), tiled
 
 
+def _counted(times: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of ``times``, one after another."""
+    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+
+
+def _shared(row: np.ndarray, found: np.ndarray, index: Index) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(row, item, seeds, their places in the item) of the rows and items that share seeds, by row.
+
+    However often a row repeats a seed it counts once here. Rows are taken in runs of about
+    ``EXPANDED`` places in items, or one by one where a row alone has more.
+    """
+    rows, seeds = np.divmod(np.unique(row * len(index.seeds) + found), len(index.seeds))
+    count = index.begin[seeds + 1] - index.begin[seeds]
+    total = np.concatenate(([0], np.cumsum(count)))
+    lo = 0
+    while lo < len(rows):
+        hi = int(np.searchsorted(total, total[lo] + EXPANDED, "right")) - 1
+        if hi < len(rows):  # whole rows only
+            hi = int(np.searchsorted(rows, rows[max(hi, lo)]))
+            if hi <= lo:
+                hi = int(np.searchsorted(rows, rows[lo], "right"))
+        times = count[lo:hi]
+        place = np.repeat(index.begin[seeds[lo:hi]], times) + _counted(times)
+        r, s, item, i = np.repeat(rows[lo:hi], times), np.repeat(seeds[lo:hi], times), index.item[place], index.at[place]
+        order = np.lexsort((item, r))
+        r, s, item, i = r[order], s[order], item[order], i[order]
+        new = np.ones(len(r), bool)
+        new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1])
+        begin = np.append(np.flatnonzero(new), len(r)).tolist()
+        for x, y in zip(begin[:-1], begin[1:]):
+            yield int(r[x]), int(item[x]), s[x:y], i[x:y]
+        lo = hi
+
+
 def _indexes(benchmark: DataFrame, block_bytes: int) -> Iterator[Index]:
     """The benchmark block by block; a block is what the driver holds and broadcasts at once."""
     items = benchmark.select("item_id", "text")

@@ -4,14 +4,16 @@ import hashlib
 import heapq
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarmac.llm import decontam, html, mixing, pii, quality, toxicity
+from tarmac.llm import decontam, html, mixing, pii, quality, textnum, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -376,6 +378,45 @@ def test_tiles_equal_brute_force(seed):
     assert got == brute_tiles(item, doc)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_tiles_by_length_equal_brute_force(seed):
+    r = random.Random(seed)
+    letters = 1 + seed % 4  # one letter alone: all windows are alike
+    item = [r.randrange(letters) for _ in range(r.randrange(5, 50))]
+    doc = item[25:] + [9] * r.randrange(2) + item[:20] + [r.randrange(letters) for _ in range(r.randrange(60))]
+    item, doc = (np.array(x, np.uint64) for x in (item, doc))
+    free = np.zeros(len(doc), bool)
+    for b in range(len(doc) - 4):
+        if any((item[a : a + 5] == doc[b : b + 5]).all() for a in range(len(item) - 4)):
+            free[b : b + 5] = True
+    assert decontam.tile_by_length(item, doc, free) == brute_tiles(item, doc)
+
+
+def test_leaks_do_not_depend_on_how_matches_are_searched(monkeypatch):
+    r = random.Random(3)
+    words = [f"w{k}" for k in range(6)]
+    items = [(k, " ".join(r.choice(words[: 1 + k % 6]) for _ in range(r.randrange(1, 60)))) for k in range(40)]
+    texts = [" ".join(r.choice(words[: 1 + k % 6]) for _ in range(r.randrange(0, 200))) for k in range(60)]
+    texts += [items[5][1] + " x " + items[9][1], items[11][1]]
+    index, results = decontam.build_index(items), []
+    for pairs, expanded in ((1 << 16, 1 << 20), (0, 1), (40, 300), (1 << 16, 1)):
+        monkeypatch.setattr(decontam, "SEED_PAIRS", pairs)
+        monkeypatch.setattr(decontam, "EXPANDED", expanded)
+        results.append([(c.first + k, *x) for c in textnum.chunks(pa.array(texts)) for k, *x in decontam.chunk_leaks(c, index, 0.5)])
+    assert len(results[0]) > 40 and all(sorted(x) == sorted(results[0]) for x in results)
+
+
+def test_a_text_of_one_token_against_such_an_item_takes_little_memory():
+    index = decontam.build_index([(1, "0 " * 200), (2, "0 1 " * 300)])
+    texts = ["0 " * 500_000, "0 1 " * 100_000, *["0 0 0 0 0 0"] * 4_000]
+    tracemalloc.start()
+    got = [x for c in textnum.chunks(pa.array(texts)) for x in decontam.chunk_leaks(c, index, 0.5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(k, n, tiled) for _, k, n, tiled in got] == [(0, 1, 200), (1, 1, 600)]
+    assert peak < 300 << 20
+
+
 def test_reordered_leaks_are_found(spark, documents, odd, clashing):
     words = [f"w{k}" for k in range(30)]
     shuffled = words[20:] + ["and"] + words[10:20] + ["or"] + words[:10]
