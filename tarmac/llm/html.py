@@ -17,6 +17,7 @@ host and a salt, each host's winners repeated for every salt.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -72,16 +73,47 @@ _DIGITS = re.compile(r"[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "skip", "score", "total", "title", "seen", "holder", "parent", "doubt", "length", "linked", "foreign")
+    """An open element. What asks about the elements around it is answered once, when it opens:
+    a page nested very deep costs no more than its size."""
 
-    def __init__(self, tag, path, skip, parent, doubt=False):
-        self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
+    __slots__ = (
+        "tag", "label", "skip", "parent", "score", "total", "title", "seen", "holder", "doubt", "length", "linked", "gone",
+        "foreign", "inside", "block", "link", "reach", "within",
+    )
+
+    def __init__(self, tag, label, skip, parent, doubt=False):
+        self.tag, self.label, self.skip, self.parent = tag, label, skip, parent
         self.score = self.total = self.title = 0.0
         self.doubt = self if doubt else (parent.doubt if parent else None)  # innermost element of doubtful name
         self.length = self.linked = 0
+        self.seen = self.gone = False
         self.foreign = tag in FOREIGN or bool(parent and parent.foreign)
-        self.seen = False
+        self.inside = tag in ("article", "main") or bool(parent and parent.inside)
         self.holder = self if tag in CONTAINERS else (parent.holder if parent else None)
+        self.block = parent.block if parent and tag in INLINE else self  # innermost that is not inline
+        self.link = tag == "a" or tag in INLINE and bool(parent and parent.link)
+        self.reach, self.within = (), ()  # of wanted paths: (path, bytes so far) it may still lead to; those around it
+
+    def path(self) -> str:
+        labels, e = [], self
+        while e.parent:
+            labels.append(e.label)
+            e = e.parent
+        return "".join(f"/{label}" for label in reversed(labels))
+
+    def follow(self, wanted: list[str]) -> None:
+        """Which wanted paths begin with this element's path, and which it lies in."""
+        if self.parent is None:
+            self.reach = tuple((p, 0) for p in wanted)
+            self.within = tuple(p for p in wanted if not p)
+            return
+        self.within = self.parent.within
+        if self.parent.reach:
+            step = "/" + self.label
+            self.reach = tuple((p, n + len(step)) for p, n in self.parent.reach if p.startswith(step, n))
+            for p, n in self.reach:
+                if n == len(p):
+                    self.within += (p,)
 
 
 def _skipped_class(value: str) -> tuple[bool, bool]:
@@ -98,7 +130,7 @@ def _skipped_class(value: str) -> tuple[bool, bool]:
 
 
 def _open(tag: str, attributes: str, parent: _Element | None) -> _Element:
-    classes, doubt, skip = "", False, tag in SKIPPED or (tag == "header" and not _inside_article(parent))
+    classes, doubt, skip = "", False, tag in SKIPPED or (tag == "header" and not (parent and parent.inside))
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), unescape(value.strip("\"'"))
         if name == "class":
@@ -116,23 +148,26 @@ def _open(tag: str, attributes: str, parent: _Element | None) -> _Element:
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             skip = True
     label = f"{tag}.{classes}" if classes else tag
-    path = f"{parent.path}/{label}" if parent else label
-    return _Element(tag, path, skip or bool(parent and parent.skip), parent, doubt)
+    return _Element(tag, label, skip or bool(parent and parent.skip), parent, doubt)
 
 
-def _inside_article(element: _Element | None) -> bool:
-    while element:
-        if element.tag in ("article", "main"):
-            return True
-        element = element.parent
-    return False
+def pieces(html: str, wanted: list[str] = ()) -> Iterator[tuple[_Element, str, bool]]:
+    """(innermost element, text, a block begins here) for the pieces of text outside raw elements.
 
-
-def pieces(html: str) -> Iterator[tuple[_Element, str, bool]]:
-    """(innermost element, text, a block begins here) for the pieces of text outside raw elements."""
+    Elements know which of the ``wanted`` paths they lie in.
+    """
     root = _Element("", "", False, None)
     root.holder = root
+    if wanted:
+        root.follow(wanted)
     stack, at, fresh, n = [root], 0, True, len(html)
+    opened: dict[str, int] = defaultdict(int)  # by tag, of those on the stack
+
+    def close_from(k: int) -> None:
+        for e in stack[k:]:
+            opened[e.tag] -= 1
+        del stack[k:]
+
     while at < n:
         m = _TOKEN.search(html, at)
         text = html[at : m.start()] if m else html[at:]
@@ -149,9 +184,9 @@ def pieces(html: str) -> Iterator[tuple[_Element, str, bool]]:
         if tag not in INLINE:
             fresh = True
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close_from(k)
                     break
                 if tag in INLINE and stack[k].tag not in INLINE:
                     break  # a stray end tag closes nothing beyond its block
@@ -166,52 +201,58 @@ def pieces(html: str) -> Iterator[tuple[_Element, str, bool]]:
                 at = close.end() if close else n
             continue
         if tag in CLOSES_PARAGRAPH:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened["p"] else ():
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close_from(k)
                     break
                 if stack[k].tag not in INLINE:
                     break
         if tag in SELF_CLOSING:
             stop = SELF_CLOSING[tag].split()
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close_from(k)
                     break
                 if stack[k].tag in stop:
                     break
-        stack.append(_open(tag, m[3], stack[-1]))
+        element = _open(tag, m[3], stack[-1])
+        if wanted:
+            element.follow(wanted)
+        stack.append(element)
+        opened[tag] += 1
 
 
-def _shown(html: str) -> list[tuple[_Element, str, bool, bool]]:
+def _shown(html: str, wanted: list[str] = ()) -> list[tuple[_Element, str, bool, bool]]:
     """Pieces that are not skipped, and whether they lie in a link.
 
     An element that only begins or ends like a skipped name goes if most of its text is links.
     """
-    found = []
-    for element, text, fresh in pieces(html):
+    found, doubtful = [], []  # doubtful elements with text in or below them, the inner after the outer
+    for element, text, fresh in pieces(html, wanted):
         if element.skip:
             continue
-        e, n = element, len(text.strip())
-        while e and e.tag in INLINE and e.tag != "a":
-            e = e.parent
-        linked = bool(e) and e.tag == "a"
-        found.append((element, text, fresh, linked))
+        found.append((element, text, fresh, element.link))
         d = element.doubt
-        while d:
+        if d:
+            chain, e = [], d
+            while e and not e.seen:
+                e.seen = True
+                chain.append(e)
+                e = e.parent.doubt
+            doubtful.extend(reversed(chain))
+            n = len(text.strip())
             d.length += n
-            d.linked += n * linked
-            d = d.parent.doubt
-
-    def kept(element: _Element) -> bool:
-        d = element.doubt
-        while d:
-            if d.linked > LINKED * d.length:
-                return False
-            d = d.parent.doubt
-        return True
-
-    return [f for f in found if kept(f[0])]
+            d.linked += n * element.link
+    for d in reversed(doubtful):
+        around = d.parent.doubt
+        if around:
+            around.length += d.length
+            around.linked += d.linked
+    for d in doubtful:
+        around = d.parent.doubt
+        d.gone = d.linked > LINKED * d.length or bool(around and around.gone)
+        d.seen = False
+    return [f for f in found if not (f[0].doubt and f[0].doubt.gone)]
 
 
 def _container(best: _Element, order: list[_Element]) -> _Element:
@@ -239,11 +280,8 @@ def best_path(html: str) -> str:
         weight = 0.0 if linked else float(len(text.strip()))
         if element.doubt:
             weight /= 2  # it may be no part of the article
-        e = element
-        while e and e.tag in INLINE:
-            e = e.parent
         element.total += weight
-        if e and e.tag == "h1":
+        if element.block.tag == "h1":
             element.title += len(text)
         chain, e = [], element
         while e and not e.seen:
@@ -260,7 +298,7 @@ def best_path(html: str) -> str:
                 around.score += weight / 2
                 holders[id(around)] = around
     best = max(holders.values(), key=lambda h: h.score, default=None)  # of equals the first met
-    return _container(best, order).path if best else ""
+    return _container(best, order).path() if best else ""
 
 
 def extract(html: str, paths: list[str]) -> str:
@@ -270,14 +308,11 @@ def extract(html: str, paths: list[str]) -> str:
     the first with text, or none has text; else of that first one.
     """
     found: dict[str, list[str]] = {}
-    wanted, total = set(paths), 0
-    for element, text, fresh, _ in _shown(html):
+    wanted, total = list(dict.fromkeys(paths)), 0
+    for element, text, fresh, _ in _shown(html, wanted):
         total += len(text.strip())
-        e = element
-        while e is not None:
-            if e.path in wanted:
-                found.setdefault(e.path, []).append(" " + text if fresh else text)
-            e = e.parent
+        for path in element.within:
+            found.setdefault(path, []).append(" " + text if fresh else text)
     texts = {p: " ".join("".join(found[p]).split()) for p in paths if p in found}
     texts = {p: joined for p, joined in texts.items() if joined}
     for joined in texts.values():

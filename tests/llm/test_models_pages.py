@@ -348,6 +348,33 @@ def test_sainte_lague_is_highest_quotients(spark):
     assert {r["p"]: r["blocks"] for r in alone} == {p: found["g0", p] for p in range(6)}
 
 
+@pytest.mark.parametrize(
+    "page, path, text",
+    [
+        ("<div>x " * 50_000, "/div", "x " * 50_000),
+        ("<font>x " * 50_000, "", "x " * 50_000),
+        ("<div>" * 50_000 + "x</section>" * 50_000, "/div" * 50_000, "x " * 50_000),
+        ("<main>" + "<div class='share-a'>x " * 50_000, "/main", "x " * 50_000),
+        ("<body>" + "<b>" * 50_000 + "x" + "</i>" * 50_000, "/body", "x"),
+    ],
+)
+def test_pages_nested_very_deep_take_memory_by_their_size(page, path, text):
+    tracemalloc.start()
+    got = html.best_path(page)
+    shown = html.extract(page, [got])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == path and shown == text.strip()
+    assert peak < 150 << 20
+
+
+def test_wanted_paths_are_told_apart_whatever_their_classes():
+    page = "<body><div class='w-a/div'><p>one</p></div><div class=w-a><div><p>two</p></div></div><div class='w-ab'>three</div></body>"
+    assert html.extract(page, ["/body/div.w-a/div"]) == "one two"  # one path in writing
+    assert html.extract(page, ["/body/div.w-a"]) == "two"
+    assert html.extract(page, ["/body/div.w-ab", "/body/div.w-a"]) == "three"
+
+
 def brute_tiles(item, doc):
     """Greedy string tiling by trying every pair of places each time."""
     free_i, free_d, tiles = [True] * len(item), [True] * len(doc), []
