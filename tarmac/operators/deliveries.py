@@ -24,9 +24,13 @@ def delivery_id(name: str | list[str]) -> str:
 
 
 def merge(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Rows of both, without the stored rows of a delivery that ``incoming`` brings again."""
+    """Rows of both, without the stored rows of a delivery that ``incoming`` brings again.
+
+    Deliveries are few and large, so their ids are broadcast: a shuffle by them would send all
+    rows of a delivery to one task.
+    """
     again = incoming.select(DELIVERY).distinct()
-    return stored.join(again, DELIVERY, "left_anti").select(*stored.columns).unionByName(incoming)
+    return stored.join(F.broadcast(again), DELIVERY, "left_anti").select(*stored.columns).unionByName(incoming)
 
 
 def split_expected(clean_df: DataFrame, months: list[tuple[int, int]] | None) -> tuple[DataFrame, DataFrame]:

@@ -137,6 +137,19 @@ def test_merge_keeps_other_deliveries(spark):
     assert deliveries.delivery_id("x/2021/01/") == deliveries.delivery_id("x/2021/01") != deliveries.delivery_id("y/2021/01")
 
 
+def test_merge_does_not_shuffle_by_delivery(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if incoming rows were estimated too large
+    try:
+        stored = spark.createDataFrame([("a", 1), ("b", 3), (None, 4), (None, 4)], "delivery string, n int")
+        merged = deliveries.merge(stored, spark.createDataFrame([("a", 7), ("a", 7), (None, 9)], "delivery string, n int"))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert sorted(map(str, map(tuple, merged.collect()))) == sorted(map(str, [("a", 7), ("a", 7), ("b", 3), (None, 4), (None, 4), (None, 9)]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_command_line(spark, scratch, capsys):
     import os
 
