@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarmac.llm import decontam, html, mixing, pii, quality, textnum, toxicity
+from tarmac.llm import decontam, html, learn, mixing, pii, quality, textnum, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -84,6 +84,33 @@ def test_toxic_accuracy_on_the_table(spark):
     assert got.filter("predicted = quality").count() / got.count() >= 0.95
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, documents, monkeypatch):
+    r = random.Random(8)
+    rows = [(i, prose(r, 7600, ["vexwort"] * 300 * (i % 3 == 0))) for i in range(60)]
+    assert min(len(t) for _, t in rows) > 1 << 15  # longer than any text that was once learned from
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(60)]
+    monkeypatch.setattr(learn, "SHARD_ROWS", 30)
+    monkeypatch.setattr(learn, "PART_BYTES", 1 << 18)
+    monkeypatch.setattr(toxicity, "PIECE", 1000)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.classify(documents(rows), known).collect()
+    assert all(g["predicted"] == (g["doc_id"] % 3 == 0) for g in got)
+    again = {g["doc_id"]: g["score"] for g in toxicity.classify(documents(rows).repartition(7), known).collect()}
+    assert all(abs(again[g["doc_id"]] - g["score"]) < 0.02 for g in got)
+
+
+def test_words_are_counted_over_all_texts(spark, documents):
+    n = 6600  # more than were once sampled; each rare word is in exactly MIN_TEXTS of them
+    rows = [(i, f"common rare{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" if i < 26 * 26 * toxicity.MIN_TEXTS else "common") for i in range(n)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(n)], "doc_id long, quality int, toxic int")
+    learned = learn.labelled_shards(documents(rows), labels, "toxic", textnum.fold(F.col("doc_id"), 5) != 9, toxicity._sequences, "ids binary, language int")
+    assert learned.count() == n
+    known = toxicity._known_words(learned, {0: 2000, 1: 2000})
+    of = lambda word: known[toxicity._slot(toxicity._hash_words([word]))[0]]
+    assert of("common") and all(of(f"rare{chr(97 + a)}{chr(97 + b)}") for a in range(26) for b in range(26))
+    assert not of("vexwort")
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><script>if (a < b) "</p>"</script></head><body>
 <header class="masthead"><h1>Site</h1></header><nav><ul><li><a href="/">Menu</a></li></ul></nav>
 <div class="cookie-notice">We set cookies and more cookies than you would like to read about here</div>
