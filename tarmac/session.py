@@ -25,6 +25,7 @@ def local_session(app: str = "tarmac", cores: int | str = "*", shuffle_partition
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.ui.retainedExecutions", "10000")  # tests look up the plans of what they ran
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TARMAC_DRIVER_MEMORY", "8g"))
         .getOrCreate()
