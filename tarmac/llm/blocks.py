@@ -34,9 +34,10 @@ NO_ID = np.iinfo(np.int64).max  # a null doc_id comes after all others
 
 @dataclass
 class Parts:
-    """2 ** bits hash parts."""
+    """2 ** bits hash parts, asked by so many blocks."""
 
     bits: int
+    n_blocks: int = LEAST
 
     def split(self, keys: np.ndarray) -> list[tuple[int, int, int]]:
         """(part, from, to) of sorted keys."""
@@ -52,7 +53,7 @@ def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART
     part_bits = max(LEAST, -(-total // part_bytes)).bit_length()
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
     rows = docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows, Parts(part_bits - 1)
+    return rows, Parts(part_bits - 1, n_blocks)
 
 
 class Block:
@@ -110,12 +111,13 @@ def copy_mask(block: Block, marks: dict[int, bytes]) -> np.ndarray:
     """Which rows of the block ``later_copies`` marked."""
     data = marks.get(0, b"")
     marked = {data[k : k + 24] for k in range(0, len(data), 24)}
-    if not marked:
-        return np.zeros(len(block.ids), bool)
-    ids = block.ids.astype("<i8")
+    mask = np.zeros(len(block.ids), bool)
     at = block.offsets
     text = memoryview(block.data)
-    return np.array([i.tobytes() + hashlib.md5(text[a:b]).digest() in marked for i, a, b in zip(ids, at[:-1], at[1:])], bool)
+    some = np.frombuffer(b"".join(m[:8] for m in marked), "<i8")
+    for k in np.flatnonzero(np.isin(block.ids, some)).tolist():  # the text is digested where the id is marked
+        mask[k] = block.ids[k].astype("<i8").tobytes() + hashlib.md5(text[at[k] : at[k + 1]]).digest() in marked
+    return mask
 
 
 def message(parts: list[int], block: int | list[int], data: list[bytes]) -> pa.Table:
@@ -170,8 +172,8 @@ def unpack_bits(data: bytes, n: int) -> np.ndarray:
 # Keys travel as the 40 bits after the part's: a chance meeting only costs an idle check later.
 
 
-def send_keys(parts: Parts, number: int, keys: np.ndarray, often: np.ndarray) -> pa.Table:
-    """One message per part: the sorted distinct keys, and for each whether the block alone repeats it."""
+def send_keys(parts: Parts, number: int, keys: np.ndarray, often: np.ndarray, dense: np.ndarray | None = None) -> pa.Table:
+    """One message per part: the sorted distinct keys, and for each whether the block alone repeats it, or even crowds it."""
     to, data = [], []
     for part, a, b in parts.split(keys):
         short = (keys[a:b] << np.uint64(parts.bits)) >> np.uint64(24)
@@ -180,26 +182,31 @@ def send_keys(parts: Parts, number: int, keys: np.ndarray, often: np.ndarray) ->
             + (short >> np.uint64(8)).astype(np.uint32).tobytes()
             + (short & np.uint64(255)).astype(np.uint8).tobytes()
             + pack_bits(often[a:b])
+            + (b"" if dense is None else pack_bits(dense[a:b]))
         )
         to.append(part)
     return message(to, number, data)
 
 
 def reply_shared(crowd: int) -> Callable[[list[int], list[bytes]], list[bytes]]:
-    """For each key two bits: it is repeated somewhere; at least ``crowd`` blocks have it."""
+    """For each key two bits: it is repeated somewhere; at least ``crowd`` blocks have it, or one crowds it alone."""
 
     def reply(blocks: list[int], data: list[bytes]) -> list[bytes]:
-        keys, often, sizes = [], [], []
+        keys, often, dense, sizes = [], [], [], []
         for d in data:
             n = int(np.frombuffer(d, np.uint32, 1)[0])
             high = np.frombuffer(d, np.uint32, n, 4).astype(np.uint64)
             low = np.frombuffer(d, np.uint8, n, 4 + 4 * n).astype(np.uint64)
             keys.append((high << np.uint64(8)) | low)
-            often.append(unpack_bits(d[4 + 5 * n :], n))
+            at = 4 + 5 * n + -(-n // 8)
+            often.append(unpack_bits(d[4 + 5 * n : at], n))
+            dense.append(unpack_bits(d[at:], n) if len(d) > at else np.zeros(n, bool))
             sizes.append(n)
         _, back, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         shared = (count[back] > 1) | np.concatenate(often)
-        hot = count[back] >= crowd
+        hot = count >= crowd
+        hot[back[np.concatenate(dense)]] = True
+        hot = hot[back]
         ends = np.cumsum(sizes)
         return [pack_bits(np.concatenate((shared[e - n : e], hot[e - n : e]))) for e, n in zip(ends, sizes)]
 

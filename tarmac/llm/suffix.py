@@ -14,8 +14,10 @@ that they are equal are verified byte by byte. Equal pieces share one entry with
 document; where an anchor has several different pieces, their strings are sorted once more,
 shift by shift.
 
-An anchor found in very many blocks (a passage that a large share of all documents holds) is
-not gathered in one part: its strings travel singly and meet by their own hash.
+An anchor with very many different pieces (the edge of a passage that a large share of all
+documents holds) is not gathered in one part: its strings travel singly and meet by their own
+hash. It is known by the number of blocks that have it, or by one block that has more than its
+share, so the pieces of any other anchor are about ``CROWD`` at most.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ from tarmac.llm import blocks, textnum
 LENGTH = 50  # bytes of a string
 GRAM = 24  # bytes of an anchor
 STEPS = LENGTH - GRAM + 1  # places of the anchor in the string
-BLOCK_BYTES = 3 << 19  # text in a block, about
-PART_BYTES = 8 << 20  # text for each hash part, about
-SLICES = 16  # of a part's keys, sorted one after another to bound its memory
-CROWD = 48  # blocks; an anchor in so many sends its strings singly
+BLOCK_BYTES = 3 << 20  # text in a block, about
+PART_BYTES = 16 << 20  # text for each hash part, about
+WINDOW = 1 << 15  # string starts whose anchors are sought at once, in the processor's cache
+SLICES = 8  # of a part's keys, sorted one after another to bound its memory
+CROWD = 1 << 16  # different pieces; an anchor that may have so many sends its strings singly
 
 _POSITION = np.uint64((1 << 24) - 1)
 
@@ -44,21 +47,54 @@ def sort_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
 
     Classes count up in that order. Ties keep the order given.
     """
-    n = len(starts)
-    if n == 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    prefix = textnum.PrefixHash(data)
-    wide = np.concatenate((data, np.zeros(8, np.uint8)))
+    classes = piece_classes(data, starts, ends)
+    return np.argsort(classes, kind="stable"), classes
+
+
+def piece_classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The class of each piece as ``sort_pieces`` has it; equal pieces are put together first, so that only different ones are sorted."""
+    if len(starts) == 0:
+        return np.empty(0, np.int64)
     length = ends - starts
-    head = np.zeros(n, np.uint64)
-    for k in range(8):
-        head = (head << np.uint64(8)) | np.where(length > k, wide[np.minimum(starts + k, len(data))], np.uint8(0)).astype(np.uint64)
-    order = np.argsort(head, kind="stable")
+    digest = textnum.digests(data, starts, ends, long=int(length.max()))
+    _, one, back = np.unique(digest, return_index=True, return_inverse=True)
+    if not _same_bytes(data, starts, starts[one[back]], length, length[one[back]]).all():  # a collision: all are sorted
+        one = back = np.arange(len(starts))
+    order, new = _sort_distinct(data, starts[one], length[one])
+    classes = np.empty(len(order), np.int64)
+    classes[order] = np.cumsum(new) - 1
+    return classes[back]
+
+
+def _sort_distinct(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, whether each piece in that order differs from the one before it)."""
+    n = len(starts)
+    eight = textnum.eights(data)
+    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
+    heads = []
+    for k in (0, 8):
+        left = np.minimum(length - k, 8)
+        some = eight[np.where(left > 0, starts + k, 0)].byteswap()
+        heads.append(np.where(left > 0, some & (ones << (8 * (8 - np.maximum(left, 1))).astype(np.uint64)), np.uint64(0)))
+    order = np.lexsort(heads[::-1])
     run_new = np.ones(n, bool)
-    run_new[1:] = head[order][1:] != head[order][:-1]
+    run_new[1:] = False
+    for head in heads:
+        run_new[1:] |= head[order][1:] != head[order][:-1]
+    if run_new.all():
+        return order, run_new
+    # Only pieces of runs of several go on, in a sequence of their own.
     run = np.cumsum(run_new) - 1
-    run_start = np.flatnonzero(run_new)
-    run_size = np.diff(np.append(run_start, n))
+    tied = np.flatnonzero(np.bincount(run)[run] > 1)
+    some = order[tied]
+    run = np.cumsum(run_new[tied]) - 1
+    run_start = np.flatnonzero(run_new[tied])
+    run_size = np.diff(np.append(run_start, len(tied)))
+    starts, length = starts[some], length[some]
+    data = _gather(data, starts, length)
+    starts = np.cumsum(length) - length
+    prefix = textnum.PrefixHash(data)
+    wide = np.append(data, np.uint8(0))
 
     def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of pieces a and b, by binary search over hash comparisons."""
@@ -78,13 +114,14 @@ def sort_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
         """Piece a sorts before piece b."""
         common = extension(a, b)
         end_a, end_b = common >= length[a], common >= length[b]
-        byte_a = wide[np.minimum(starts[a] + common, len(data))]
-        byte_b = wide[np.minimum(starts[b] + common, len(data))]
+        byte_a = wide[starts[a] + common]
+        byte_b = wide[starts[b] + common]
         return np.where(end_a | end_b, end_a & ~end_b, byte_a < byte_b)
 
     # Bottom-up mergesort inside the runs of one head: all runs take each round together.
     width = 1
-    place = np.arange(n) - run_start[run]
+    place = np.arange(len(tied)) - run_start[run]
+    sorted_ = np.arange(len(tied))
     while True:
         active = np.flatnonzero(run_size[run] > width)
         if not len(active):
@@ -96,13 +133,13 @@ def sort_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
         other_low = np.where(is_left, np.minimum(base + width, stop), base)
         other_high = np.where(is_left, np.minimum(base + 2 * width, stop), np.minimum(base + width, stop))
         low, high = other_low.copy(), other_high.copy()
-        mine = order[active]
+        mine = sorted_[active]
         while True:  # how many of the other half sort before each piece (of equals: the left half's)
             live = np.flatnonzero(low < high)
             if not len(live):
                 break
             middle = (low[live] + high[live]) // 2
-            theirs, own = order[middle], mine[live]
+            theirs, own = sorted_[middle], mine[live]
             ahead = before(theirs, own)
             tie = np.flatnonzero(~ahead & ~is_left[live])
             ahead[tie] = ~before(own[tie], theirs[tie])
@@ -110,29 +147,34 @@ def sort_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
             high[live] = np.where(ahead, high[live], middle)
         half = np.where(is_left, base, base + width)
         target = base + (active - half) + (low - other_low)
-        merged = order.copy()
+        merged = sorted_.copy()
         merged[target] = mine
-        order = merged
+        sorted_ = merged
         width *= 2
 
-    new = np.ones(n, bool)
-    a, b = order[:-1], order[1:]
-    alike = np.flatnonzero((length[a] == length[b]) & ~run_new[1:])
-    common = extension(a[alike], b[alike])
-    alike = alike[common == length[a[alike]]]
-    new[alike[_same_bytes(data, starts[a[alike]], starts[b[alike]], length[a[alike]])] + 1] = False
-    classes = np.empty(n, np.int64)
-    classes[order] = np.cumsum(new) - 1
-    return order, classes
-
-
-def _same_bytes(data: np.ndarray, p: np.ndarray, q: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Whether the pieces really are equal: collision verification."""
-    same = np.ones(len(p), bool)
-    top = int(length.max()) if len(length) else 0
-    for k in range(top):
-        live = length > k
-        same[live] &= data[p[live] + k] == data[q[live] + k]
+    order[tied] = some[sorted_]
+    new = run_new.copy()
+    a, b = sorted_[:-1], sorted_[1:]
+    alike = np.flatnonzero((length[a] == length[b]) & ~run_new[tied][1:])
+    same = _same_bytes(data, starts[a[alike]], starts[b[alike]], length[a[alike]], length[b[alike]])
+    new[tied[1:]] = True
+    new[tied[alike[same] + 1]] = False
+    return order, new
+
+
+def _same_bytes(data: np.ndarray, p: np.ndarray, q: np.ndarray, size_p: np.ndarray, size_q: np.ndarray) -> np.ndarray:
+    """Whether the pieces really are equal: collision verification, eight bytes at a time."""
+    same = size_p == size_q
+    eight = textnum.eights(data)
+    live = np.flatnonzero(same & (p != q) & (size_p > 0))
+    k = 0
+    while len(live):
+        left = size_p[live] - k
+        drop = (8 * np.maximum(8 - left, 0)).astype(np.uint64)
+        differ = (eight[p[live] + k] ^ eight[q[live] + k]) << drop != 0
+        same[live[differ]] = False
+        live = live[~differ & (left > 8)]
+        k += 8
     return same
 
 
@@ -141,36 +183,36 @@ class _Anchored:
 
     def __init__(self, block: blocks.Block, copies: np.ndarray):
         place, key, first, last = [], [], [], []
-        for chunk, base in block.chunks(1 << 19):
-            n = len(chunk.data)
-            if n < LENGTH:
-                continue
-            gram = textnum.PrefixHash(chunk.data).windows(GRAM)
-            packed = (gram & ~_POSITION) | (np.arange(len(gram), dtype=np.uint64) & _POSITION)
+        # Strings do not cross rows, and none starts in a copy.
+        valid = np.ones(max(0, len(block.data) - LENGTH + 1), bool)
+        for b in block.offsets[1:].tolist():
+            valid[max(0, b - LENGTH + 1) : b] = False
+        for row in np.flatnonzero(copies).tolist():
+            valid[block.offsets[row] : block.offsets[row + 1]] = False
+        for base in range(0, len(valid), WINDOW):
+            ok = valid[base : base + WINDOW]
+            n = len(ok)
+            gram = _grams(block.data[base : base + n + LENGTH - 1])
+            packed = (gram & ~_POSITION) | np.arange(len(gram), dtype=np.uint64)
             low, width = packed, 1
             while 2 * width <= STEPS:
                 low = np.minimum(low[: len(low) - width], low[width:])
                 width *= 2
-            low = np.minimum(low[: n - LENGTH + 1], low[STEPS - width : STEPS - width + n - LENGTH + 1])
-            # Strings do not cross rows.
-            left = np.repeat(chunk.offsets[1:], np.diff(chunk.offsets))[: n - LENGTH + 1] - np.arange(n - LENGTH + 1)
-            whole = np.repeat(~copies[chunk.first : chunk.first + len(chunk)], np.diff(chunk.offsets))[: n - LENGTH + 1]
-            starts = np.flatnonzero((left >= LENGTH) & whole)
-            if not len(starts):
-                continue
-            high = starts & ~int(_POSITION)  # a chunk over 16 MB wraps the packed position
-            at = (low[starts] & _POSITION).astype(np.int64) + high
-            at = np.where(at < starts, at + int(_POSITION) + 1, at)
-            new = np.ones(len(at), bool)
-            new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
-            begin = np.flatnonzero(new)
-            place.append(at[begin] + base)
-            key.append(textnum.mix(gram[at[begin]]))  # the smallest hashes crowd near zero: spread them over the parts
-            first.append(starts[begin] + base)
-            last.append(starts[np.append(begin[1:], len(at)) - 1] + base)
+            low = np.minimum(low[:n], low[STEPS - width : STEPS - width + n])
+            turn = np.ones(n + 1, bool)
+            turn[1:-1] = (low[1:] != low[:-1]) | (ok[1:] != ok[:-1])
+            begin = np.flatnonzero(turn[:-1] & ok)
+            at = (low[begin] & _POSITION).astype(np.int64)
+            place.append(at + base)
+            key.append(gram[at])
+            first.append(begin + base)
+            last.append(np.flatnonzero(turn[1:] & ok) + base)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-        self.place, self.key = join(place, np.int64), join(key, np.uint64)
-        self.first, self.last = join(first, np.int64), join(last, np.int64)
+        place, key, first, last = join(place, np.int64), join(key, np.uint64), join(first, np.int64), join(last, np.int64)
+        new = np.ones(len(place) + 1, bool)  # an anchor cut by a window's end is one again
+        new[1:-1] = (place[1:] != place[:-1]) | (first[1:] != last[:-1] + 1)
+        self.place, self.first, self.last = place[new[:-1]], first[new[:-1]], last[new[1:]]
+        self.key = textnum.mix(key[new[:-1]])  # the smallest hashes crowd near zero: spread them over the parts
         self.row = np.searchsorted(block.offsets, self.first, "right") - 1
         self.ids = block.ids[self.row]
 
@@ -182,6 +224,28 @@ class _Anchored:
         np.maximum.at(high, back, self.ids)
         return keys, back, low < high
 
+    def dense(self, data: np.ndarray, back: np.ndarray, n_keys: int, least: int) -> np.ndarray:
+        """Keys with ``least`` different pieces here, by digests."""
+        some = np.flatnonzero((np.bincount(back, minlength=n_keys) >= least)[back])
+        digest = textnum.digests(data, self.first[some], self.last[some] + LENGTH, long=LENGTH + STEPS)
+        _, one = np.unique(digest ^ textnum.mix(self.key[some]), return_index=True)
+        return np.bincount(back[some[one]], minlength=n_keys) >= least
+
+
+_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)]
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes from each place on, read as three words; it orders anchors and brings them together, no more."""
+    words = textnum.eights(data)[: len(data) - 7].copy()
+    n = len(data) - GRAM + 1
+    found = words[:n] * _FACTORS[0]
+    for k in (1, 2):
+        found += words[8 * k : 8 * k + n] * _FACTORS[k]
+    found ^= found >> np.uint64(32)
+    found *= _FACTORS[0]
+    return found
+
 
 class _Pieces:
     """The distinct pieces a block sends: of each shared anchor its piece, of a crowded one its strings."""
@@ -202,7 +266,7 @@ class _Pieces:
         self.ids = anchored.ids[owner]
         place = anchored.place[owner]
         end = self.last + LENGTH
-        _, self.piece = sort_pieces(block.data, self.first, end)
+        self.piece = piece_classes(block.data, self.first, end)
         n = int(self.piece.max()) + 1 if len(self.piece) else 0
         self.low = np.full(n, blocks.NO_ID)
         np.minimum.at(self.low, self.piece, self.ids)
@@ -214,7 +278,7 @@ class _Pieces:
         alone = one >= len(whole)
         if alone.any():
             at = self.begin[alone]
-            key[alone] = textnum.mix(_string_hash(block.data, at))
+            key[alone] = textnum.digests(block.data, at, at + LENGTH)
         order = np.argsort(key, kind="stable")
         self.rank = np.empty(n, np.int64)  # place of each distinct piece among those sent
         self.rank[order] = np.arange(n)
@@ -222,10 +286,6 @@ class _Pieces:
         self.data = block.data
 
 
-def _string_hash(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return textnum.PrefixHash(data).raw(starts, starts + LENGTH)
-
-
 def _gather(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The pieces one after another."""
     ends = np.cumsum(length)
@@ -281,47 +341,64 @@ def _masks(length: np.ndarray, shift: np.ndarray, low: np.ndarray, data: np.ndar
     """The mask of each piece among pieces that hold every string's anchor group whole."""
     ends = np.cumsum(length)
     starts = ends - length
-    _, piece = sort_pieces(data, starts, ends)
+    piece = piece_classes(data, starts, ends)
     n_pieces = int(piece.max()) + 1 if len(piece) else 0
     least = np.full(n_pieces, blocks.NO_ID)
     np.minimum.at(least, piece, low)
     strings = length - LENGTH + 1
-    full = (np.uint64(1) << strings.astype(np.uint64)) - np.uint64(1)
-    mask = np.where(least[piece] < low, full, np.uint64(0))
+    mask = np.where(least[piece] < low, _full(strings), np.uint64(0))
 
     # Different pieces of one anchor may still share strings: compare these, shift by shift.
     one = np.zeros(n_pieces, np.int64)
     one[piece] = np.arange(len(piece))
-    anchor = textnum.PrefixHash(data).of(starts + shift, starts + shift + GRAM)[one]
+    anchor = textnum.digests(data, starts[one] + shift[one], starts[one] + shift[one] + GRAM)
     _, kind, count = np.unique(anchor, return_inverse=True, return_counts=True)
-    several = one[(count[kind] > 1)]
+    longer = np.bincount(kind, strings[one] > 1) > 0  # different single strings share none
+    several = np.flatnonzero((count > 1)[kind] & longer[kind])
     if len(several):
-        per = strings[several]
-        owner = np.repeat(piece[several], per)
+        of = one[several]
+        per = strings[of]
+        owner = np.repeat(np.arange(len(several)), per)
         step = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-        at = np.repeat(starts[several], per) + step
-        group = _string_classes(data, at)
+        text = _gather(data, starts[of], length[of])
+        group = _string_classes(text, (np.cumsum(length[of]) - length[of])[owner] + step)
         first = np.full(int(group.max()) + 1, blocks.NO_ID)
-        np.minimum.at(first, group, least[owner])
+        np.minimum.at(first, group, least[several][owner])
         # The smallest document of each string of each distinct piece, then of every copy of the piece.
-        width = int(strings.max())
-        table = np.full((n_pieces, width), blocks.NO_ID)
+        width = int(per.max())
+        table = np.full((len(several), width), blocks.NO_ID)
         table[owner, step] = first[group]
-        rows = np.flatnonzero(np.isin(piece, piece[several]))
-        smaller = table[piece[rows]] < low[rows][:, None]
-        smaller &= np.arange(width) < strings[rows][:, None]
-        mask[rows] = (smaller.astype(np.uint64) << np.arange(width, dtype=np.uint64)).sum(1, dtype=np.uint64)
+        row_of = np.full(n_pieces, -1)
+        row_of[several] = np.arange(len(several))
+        rows = np.flatnonzero(row_of[piece] >= 0)
+        row = row_of[piece[rows]]
+        found = np.zeros(len(rows), np.uint64)
+        for k in range(width):
+            smaller = (table[row, k] < low[rows]) & (k < strings[rows])
+            found |= smaller.astype(np.uint64) << np.uint64(k)
+        mask[rows] = found
     return mask
 
 
+def _full(strings: np.ndarray) -> np.ndarray:
+    """The mask of all strings."""
+    return (np.uint64(1) << strings.astype(np.uint64)) - np.uint64(1)
+
+
 def _string_classes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Class of each string. Strings with one hash are verified; a collision is sorted out by ``sort_pieces``."""
-    hashes = _string_hash(data, starts)
+    """Class of each string. Strings with one hash are verified; a collision is sorted out by ``piece_classes``."""
+    hashes = textnum.PrefixHash(data).raw(starts, starts + LENGTH)
     _, one, group = np.unique(hashes, return_index=True, return_inverse=True)
-    same = np.ones(len(starts), bool)
-    for k in range(LENGTH):
-        same &= data[starts + k] == data[starts[one[group]] + k]
-    return group if same.all() else sort_pieces(data, starts, starts + LENGTH)[1]
+    size = np.full(len(starts), LENGTH)
+    same = _same_bytes(data, starts, starts[one[group]], size, size)
+    return group if same.all() else piece_classes(data, starts, starts + LENGTH)
+
+
+def _counts(flags: np.ndarray) -> np.ndarray:
+    """How many are set before each place, and in all."""
+    counts = np.zeros(len(flags) + 1, np.int32 if len(flags) < 1 << 31 else np.int64)
+    np.cumsum(flags, dtype=counts.dtype, out=counts[1:])
+    return counts
 
 
 def remove_later_copies(docs: DataFrame) -> DataFrame:
@@ -333,10 +410,12 @@ def remove_later_copies(docs: DataFrame) -> DataFrame:
     """
     rows, parts = blocks.deal(docs, BLOCK_BYTES, PART_BYTES)
     copies = blocks.later_copies(rows)
+    share = max(2, -(-CROWD // parts.n_blocks))  # of a block in the pieces that an anchor may have
 
     def first(block: blocks.Block, marks: dict) -> pa.Table:
-        keys, _, often = _Anchored(block, blocks.copy_mask(block, marks)).keys()
-        return blocks.send_keys(parts, block.number, keys, often)
+        anchored = _Anchored(block, blocks.copy_mask(block, marks))
+        keys, back, often = anchored.keys()
+        return blocks.send_keys(parts, block.number, keys, often, anchored.dense(block.data, back, len(keys), share))
 
     anchors = blocks.answer(blocks.meet(rows, [copies], first, blocks.MESSAGE), blocks.reply_shared(CROWD))
 
@@ -353,19 +432,28 @@ def remove_later_copies(docs: DataFrame) -> DataFrame:
             mask[a:b] = np.frombuffer(verdicts[part], np.uint64)
         mask = mask[p.rank[p.piece]] if len(p.piece) else mask
         per = p.last - p.first + 1
-        mask = np.where(p.ids > p.low[p.piece], np.uint64(0xFFFFFFFFFFFFFFFF), mask)
-        owner = np.repeat(np.arange(len(per)), per)
+        full = _full(p.last - p.first + 1)
+        mask = np.where(p.ids > p.low[p.piece], full, mask)
+        # Ranges to take out: whole pieces, and single strings of the others.
+        whole = np.flatnonzero(mask == full)
+        some = np.flatnonzero((mask != full) & (mask != 0))
+        per = (p.last - p.first + 1)[some]
+        owner = np.repeat(some, per)
         step = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         gone = (mask[owner] >> step.astype(np.uint64)) & np.uint64(1) == 1
-        removed = textnum.covered((p.first[owner] + step)[gone], LENGTH, len(block.data))
+        single = (p.first[owner] + step)[gone]
+        edges = np.zeros(len(block.data) + 1, np.int32)
+        np.add.at(edges, np.concatenate((p.first[whole], single)), 1)
+        np.add.at(edges, np.concatenate((p.last[whole], single)) + LENGTH, -1)
+        removed = np.cumsum(edges[:-1], out=edges[:-1]) > 0
         size = np.diff(block.offsets)
         removed |= np.repeat(copied & (size >= LENGTH), size)
-        total = np.concatenate(([0], np.cumsum(removed)))
+        total = _counts(removed)
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
         edge = block.offsets[:-1][block.offsets[:-1] < len(removed)]
         opens[edge] = removed[edge]
-        spans = np.concatenate(([0], np.cumsum(opens)))
+        spans = _counts(opens)
         at = block.offsets
         kept = memoryview(block.data[~removed].tobytes())
         left = at - total[at]
@@ -373,8 +461,8 @@ def remove_later_copies(docs: DataFrame) -> DataFrame:
             {
                 "doc_id": block.doc_id,
                 "n_bytes": np.diff(at),
-                "n_removed": total[at[1:]] - total[at[:-1]],
-                "n_spans": spans[at[1:]] - spans[at[:-1]],
+                "n_removed": (total[at[1:]] - total[at[:-1]]).astype(np.int64),
+                "n_spans": (spans[at[1:]] - spans[at[:-1]]).astype(np.int64),
                 "kept_sha256": [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(left[:-1], left[1:])],
             }
         )

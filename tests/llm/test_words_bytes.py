@@ -107,6 +107,67 @@ def test_hash_collisions_are_verified(monkeypatch):
     assert classes[1] not in (classes[0], classes[2])
 
 
+def test_equal_pieces_are_not_compared_by_extension(monkeypatch):
+    compared = []
+    raw = textnum.PrefixHash.raw
+    monkeypatch.setattr(textnum.PrefixHash, "raw", lambda self, start, end: (compared.append(len(start)), raw(self, start, end))[1])
+    piece = b"a passage that many documents have, word for word, and more"
+    text = b"".join(piece + bytes([97 + k % 3]) for k in range(3000))
+    starts = np.arange(3000) * (len(piece) + 1)
+    order, classes = suffix.sort_pieces(np.frombuffer(text, np.uint8), starts, starts + len(piece) + 1)
+    assert classes.tolist() == [k % 3 for k in range(3000)]
+    assert order.tolist() == sorted(range(3000), key=lambda k: k % 3)
+    assert sum(compared) < 1000
+
+
+def _block(texts, number=0):
+    import pyarrow as pa
+
+    return blocks.Block(pa.table({"block": pa.array([number] * len(texts), pa.int32()), "doc_id": range(len(texts)), "text": texts}))
+
+
+def test_anchors_do_not_depend_on_windows(monkeypatch):
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab cd") for _ in range(r.choice([0, 49, 50, 51, 300, 2000]))) for _ in range(40)] + ["x" * 400]
+    block, found = _block(texts), []
+    copies = np.arange(len(texts)) % 7 == 3
+    for window in (1 << 15, 64, 1):
+        monkeypatch.setattr(suffix, "WINDOW", window, raising=False)
+        a = suffix._Anchored(block, copies)
+        found.append([x.tolist() for x in (a.place, a.key, a.first, a.last, a.ids)])
+    assert found[0] == found[1] == found[2]
+    starts = [k for a, b in zip(found[0][2], found[0][3]) for k in range(a, b + 1)]
+    at = block.offsets.tolist()
+    assert starts == [k for i in range(len(texts)) if not copies[i] for k in range(at[i], at[i + 1] - 49)]
+
+
+def test_passage_of_every_block_travels_in_whole_pieces():
+    """An anchor is crowded by its different pieces, not by the number of blocks."""
+    parts = blocks.Parts(2, 64)
+    share = -(-suffix.CROWD // 64)
+    key = np.array([1 << 62], np.uint64)
+    flags = lambda yes: np.array([yes])
+
+    def hot(dense):
+        tables = [blocks.send_keys(parts, b, key, flags(False), flags(d)) for b, d in enumerate(dense)]
+        replies = blocks.reply_shared(suffix.CROWD)(list(range(64)), [t["data"][0].as_py() for t in tables])
+        shared, crowded = zip(*(blocks.read_shared(parts, key, {1: r}) for r in replies))
+        assert np.all(shared)
+        return {bool(c[0]) for c in crowded}
+
+    assert hot([False] * 64) == {False}
+    assert hot([False] * 63 + [True]) == {True}
+    passage = "the very same long passage stands in all of these rows, word for word"
+    anchored = suffix._Anchored(block := _block([passage] * 9), np.zeros(9, bool))
+    keys, back, _ = anchored.keys()
+    assert not anchored.dense(block.data, back, len(keys), 2).any()
+    anchored = suffix._Anchored(block := _block([f"{passage}{k}" for k in range(9)]), np.zeros(9, bool))
+    keys, back, _ = anchored.keys()
+    assert anchored.dense(block.data, back, len(keys), 5).any()  # a digit may make an anchor of its own
+    assert not anchored.dense(block.data, back, len(keys), 10).any()
+    assert share > 9
+
+
 @pytest.mark.parametrize("crowd", [2, 1 << 30])
 def test_block_replies_line_up(crowd):
     parts = blocks.Parts(2)
